@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -21,7 +21,10 @@ from ..operators.matching import (
     key_overlap,
     patient_to_sample,
 )
+from ..operators.ordering import first_per_key
 from ..operators.projection import valid_sample
+from ..operators.summaries import label_counts
+from ..sources.matrix import matrix_columns, scan_cell_matrix
 from . import Cohort
 
 
@@ -122,11 +125,8 @@ def assign_cells(cells: DataFrame, cell_samples: DataFrame) -> DataFrame:
     return cells.join(cell_samples, "cell_id").select("study", "sample_id", "gene", "value")
 
 
-def sum_cohort(
-    cells: DataFrame, metadata: DataFrame, header: DataFrame, study: str, order: str = "row"
-) -> Cohort:
-    """Counts summed per sample, with the samples' response and number of cells."""
-    labelled = label_cells(metadata, header, order)
+def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
+    """Summed counts with the response and number of cells of their samples."""
     rolled = roll_up_cells(labelled, F.col("row")).select(
         F.lit(study).alias("study"),
         "sample_id",
@@ -136,9 +136,41 @@ def sum_cohort(
         F.lit("pseudobulk RNA counts from single-cell counts").alias("expression_format"),
         F.lit("single_cell_pseudobulk").alias("dataset_role"),
     )
+    return Cohort(rolled.join(counts.select("sample_id").distinct(), "sample_id", "left_semi"), counts)
+
+
+def sum_cells(cells: DataFrame, metadata: DataFrame, study: str, order: str = "row") -> Cohort:
+    """Counts of a long cell table (study, cell_id, gene, value) summed per sample."""
+    labelled = label_cells(metadata, cells.select("cell_id").distinct(), order)
     counts = pseudobulk_sum(assign_cells(cells, cell_to_sample(labelled, F.col("row"))))
-    samples = rolled.join(counts.select("sample_id").distinct(), "sample_id", "left_semi")
-    return Cohort(samples, counts)
+    return sum_cohort(labelled, counts, study)
+
+
+def sum_cell_file(
+    spark: SparkSession, path: str, metadata: DataFrame, study: str, sep: str = ",", order: str = "row"
+) -> Cohort:
+    """Counts of a gene x cell text summed per sample."""
+    labelled = label_cells(metadata, matrix_columns(spark, path, sep), order)
+    cells = scan_cell_matrix(spark, path, study, cell_to_sample(labelled, F.col("row")), sep)
+    return sum_cohort(labelled, pseudobulk_sum(cells), study)
+
+
+def to_log_cpm(cohort: Cohort) -> Cohort:
+    """The cohort with log2(CPM + 1) instead of counts."""
+    named = F.lit("pseudobulk log2(CPM + 1) from single-cell counts")
+    return Cohort(cohort.samples.withColumn("expression_format", named), log_cpm(cohort.expr))
+
+
+def cohort_summary(cohort: Cohort, dataset: str) -> DataFrame:
+    """One row: samples, cells, genes and labels of a cohort."""
+    n_genes = cohort.expr.select("gene").distinct().agg(F.count(F.lit(1))).scalar()
+    cells = [F.sum("n_cells").alias("n_cells_used")] if "n_cells" in cohort.samples.columns else []
+    return cohort.samples.agg(
+        F.lit(dataset).alias("dataset"),
+        F.count(F.lit(1)).alias("n_samples"),
+        *cells,
+        *label_counts(F.col("response_binary")),
+    ).select("*", n_genes.alias("n_genes"))
 
 
 def cells_of_patients(cell_ids: DataFrame, samples: DataFrame, order: Column) -> DataFrame:
@@ -153,22 +185,44 @@ def cells_of_patients(cell_ids: DataFrame, samples: DataFrame, order: Column) ->
     )
 
 
-def mean_cohort(cells: DataFrame, samples: DataFrame, order: str = "row") -> Cohort:
-    """Measurements averaged per sample, cells found through the patient in their id."""
-    samples = samples.withColumns(
+def normalise_samples(samples: DataFrame) -> DataFrame:
+    return samples.withColumns(
         {c: normalise_sample_id(F.col(c)) for c in ("sample_id", "patient_id")}
     )
-    cell_ids = cells.select("cell_id").distinct()
-    means = pseudobulk_mean(assign_cells(cells, cells_of_patients(cell_ids, samples, F.col(order))))
-    described = samples.groupBy("sample_id").agg(
-        *[
-            F.min_by(c, order).alias(c)
-            for c in ("patient_id", "response", "response_binary", "dataset_role", "notes")
-        ]
-    )
+
+
+def mean_cohort(samples: DataFrame, means: DataFrame, order: str = "row") -> Cohort:
+    """Averaged measurements with the first metadata row of their samples."""
+    described = first_per_key(
+        samples.select(
+            "sample_id", "patient_id", "response", "response_binary", "dataset_role", "notes", order
+        ).dropna(subset=["sample_id"]),
+        ["sample_id"],
+        F.col(order),
+    ).drop(order)
     return Cohort(described.join(means.select("sample_id").distinct(), "sample_id", "left_semi"), means)
 
 
+def mean_cells(cells: DataFrame, samples: DataFrame, order: str = "row") -> Cohort:
+    """A long cell table (study, cell_id, gene, value) averaged per sample.
+
+    A cell belongs to the first sample of the patient named in its id.
+    """
+    samples = normalise_samples(samples)
+    assigned = cells_of_patients(cells.select("cell_id").distinct(), samples, F.col(order))
+    return mean_cohort(samples, pseudobulk_mean(assign_cells(cells, assigned)), order)
+
+
+def mean_cell_file(
+    spark: SparkSession, path: str, samples: DataFrame, study: str, sep: str = "\t", order: str = "row"
+) -> Cohort:
+    """A gene x cell text averaged per sample, cells found through the patient in their id."""
+    samples = normalise_samples(samples)
+    assigned = cells_of_patients(matrix_columns(spark, path, sep), samples, F.col(order))
+    cells = scan_cell_matrix(spark, path, study, assigned, sep)
+    return mean_cohort(samples, pseudobulk_mean(cells), order)
+
+
 def fuse_pseudobulk(
     cohorts: dict[str, Cohort], allow_mixed: bool = False
 ) -> tuple[Cohort, DataFrame]:

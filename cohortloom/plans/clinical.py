@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import CLINICAL_COLUMNS
@@ -16,11 +16,12 @@ from ..operators.projection import column_or_null, conform
 from ..sources.attributes import extract_labelled_attributes
 
 
-def clinical_from_table(table: DataFrame, study: str) -> DataFrame:
+def clinical_from_table(table: DataFrame, study: str | Column) -> DataFrame:
     """Clinical rows of a cleaned table with ``patient_id`` and optional response or event.
 
     The label comes from ``survival_event`` when the table has that column,
-    otherwise from the response under policy ``main``.
+    otherwise from the response under policy ``main``. ``study`` is a name, or
+    a column of a table that holds several studies.
     """
     if "patient_id" not in table.columns:
         raise ValueError(f"clinical table of {study} has no column patient_id")
@@ -34,7 +35,7 @@ def clinical_from_table(table: DataFrame, study: str) -> DataFrame:
         response.alias("response"),
         event.alias("survival_event"),
         event.alias("response_binary"),
-        F.lit(study).alias("study"),
+        (F.lit(study) if isinstance(study, str) else study).alias("study"),
         "row",
     )
 
@@ -57,7 +58,7 @@ def clinical_from_attributes(lines: DataFrame, study: str) -> DataFrame:
 
 
 def build_clinical(cohorts: dict[str, DataFrame]) -> DataFrame:
-    """Union of clinical rows, one dict entry per study; the first row of a patient counts.
+    """Union of clinical rows; the first row of a patient counts. No study is in two entries.
 
     Rows without a patient id are left out: they can match nothing.
     """

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.summaries import stack
+from ..session import settle
 
 
 def write_table(
@@ -26,13 +27,13 @@ def summary_rows(
 ) -> DataFrame:
     """One summary row per dataset.
 
-    A dataset whose preparation fails gets a row with the ``error`` alone, and
-    the others still come out.
+    Each row is computed and stored on its own: a dataset that fails gets a
+    row with the ``error`` alone, and the others still come out.
     """
     rows = []
     for dataset, prepare in datasets.items():
         try:
-            row = prepare().withColumn(name, F.lit(dataset))
+            row = settle(prepare().withColumn(name, F.lit(dataset)), "summary")
         except Exception as error:  # noqa: BLE001 - any failure is reported as data
             row = spark.createDataFrame([(dataset, str(error))], f"{name} string, error string")
         rows.append(row)

@@ -46,6 +46,7 @@ def scan_matrix_long(
     skip_gene_pattern: str | None = None,
     clean_gene: Callable[[Column], Column] = clean_gene_id,
     na_tokens: Sequence[str] = NA_TOKENS,
+    relabel: DataFrame | None = None,
 ) -> DataFrame:
     """(study, sample_id, gene, raw, value, gene_row) of a gene x sample matrix.
 
@@ -53,7 +54,9 @@ def scan_matrix_long(
     column. Columns named in ``drop_columns`` (any case) and columns not
     matching ``sample_pattern`` are left out. Lines without a gene, and lines
     whose gene matches ``skip_gene_pattern``, are skipped; values beyond the
-    header are ignored. ``raw`` is the text, NULL where missing.
+    header are ignored. ``raw`` is the text, NULL where missing. ``relabel``
+    (cell_id, sample_id) replaces column names, and drops columns it lacks,
+    once per column instead of once per value.
     """
     header_line = first_line(spark, path)
     names = header_names(header_line, sep)
@@ -69,6 +72,9 @@ def scan_matrix_long(
     if not samples:
         raise ValueError(f"no sample column in {path}")
     header = spark.createDataFrame(samples, "idx int, sample_id string")
+    if relabel is not None:
+        named = header.withColumnRenamed("sample_id", "cell_id")
+        header = named.join(relabel, "cell_id").select("idx", "sample_id")
     # The header is one line, of known length; a longer one is joined by a shuffle.
     if len(header_line.encode()) <= HEADER_BROADCAST_BYTES:
         header = F.broadcast(header)
@@ -92,20 +98,29 @@ def scan_matrix_long(
     )
 
 
-def scan_cell_matrix(spark: SparkSession, path: str, study: str, sep: str = "\t") -> DataFrame:
-    """(study, cell_id, gene, raw, value) of a gene x cell text; visit rows under the header are skipped."""
+def matrix_columns(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """(idx, cell_id) of the columns of a matrix after the gene column, from its header alone."""
+    names = header_names(first_line(spark, path), sep)[1:]
+    return spark.createDataFrame(list(enumerate(names)), "idx int, cell_id string")
+
+
+def scan_cell_matrix(
+    spark: SparkSession, path: str, study: str, cell_samples: DataFrame, sep: str = ","
+) -> DataFrame:
+    """(study, sample_id, gene, raw, value) of a gene x cell text, cells under their sample.
+
+    ``cell_samples`` is (cell_id, sample_id). Visit rows under the header
+    (``Pre_``, ``Post_``) are skipped; cells without a sample are left out.
+    """
     return scan_matrix_long(
         spark,
         path,
         study,
         sep=sep,
-        gene_column=matrix_first_column(spark, path, sep),
+        gene_column=header_names(first_line(spark, path), sep)[0],
         drop_columns=(),
         skip_gene_pattern="^(Pre|Post)_",
         clean_gene=strip,
         na_tokens=(),
-    ).withColumnRenamed("sample_id", "cell_id")
-
-
-def matrix_first_column(spark: SparkSession, path: str, sep: str) -> str:
-    return header_names(first_line(spark, path), sep)[0]
+        relabel=cell_samples,
+    )

@@ -104,5 +104,6 @@ def _rows_without_comments(
         .select(text.alias("text"), *order)
         .filter(F.btrim("text") != "")
     )
-    parsed = F.from_csv("text", schema.simpleString().removeprefix("struct<").removesuffix(">"), {"sep": sep})
+    columns = ", ".join(f"`{field.name.replace('`', '``')}` string" for field in schema)
+    parsed = F.from_csv("text", columns, {"sep": sep})
     return lines.withColumn("parsed", parsed).select("parsed.*", *(["_row"] if order else []))
