@@ -26,7 +26,7 @@ def split_fields(line: Column, sep: str) -> Column:
     plain = F.split(line, re.escape(sep))
     mark = re.escape(sep)
     quoted = F.regexp_extract_all(
-        line, F.lit(rf'(?<=^|{mark})("(?:[^"]|"")*+"|[^{mark}"]*+)'), F.lit(1)
+        line, F.lit(rf'(?<=^|{mark})("[^"]*+(?:""[^"]*+)*+"|[^{mark}"]*+)'), F.lit(1)
     )
     return F.when(line.contains('"'), quoted).otherwise(plain)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,7 +98,12 @@ def _rows_without_comments(
     spark: SparkSession, path: str, sep: str, comment: str, schema: T.StructType, order: list[Column]
 ) -> DataFrame:
     header = first_line(spark, path, comment)
-    text = F.split_part("value", F.lit(comment), F.lit(1))
+    sign = re.escape(comment)
+    # A sign inside quotes starts no comment; only a line with a quote pays for looking.
+    unquoted = rf'^((?:[^"{sign}]*+"[^"]*+")*+[^"{sign}]*+)'
+    text = F.when(
+        F.col("value").contains('"'), F.regexp_extract("value", unquoted, 1)
+    ).otherwise(F.split_part("value", F.lit(comment), F.lit(1)))
     lines = (
         spark.read.text(path)
         .filter(F.col("value") != header)

@@ -76,7 +76,7 @@ def scanned_commented(t: Tables):
         F.expr("IF(p_partkey % 3 = 0, '#rest', p_type)").alias("type"),
         F.translate("p_brand", "#", "-").alias("brand"),
     )
-    scanned = scan_table(t.spark, written(t, source, "portal", sep="\t"), sep="\t", comment="#")
+    scanned = scan_table(t.spark, written(t, source, "portal", sep="\t", comment="~"), sep="\t", comment="#")
     return drop_technical(scanned).withColumn("brand", F.translate("brand", "-", "#"))
 
 
