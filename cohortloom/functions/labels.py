@@ -19,6 +19,15 @@ def label(response: Column, policy: str) -> Column:
     return chain.cast("int")
 
 
+def add_label(df: DataFrame, response: str, policy: str, name: str = "response_binary") -> DataFrame:
+    """Add the label of a response column.
+
+    The response is a column by then, so that the rules refer to it and do not
+    each repeat the expression that made it.
+    """
+    return df.withColumn(name, label(F.col(response), policy))
+
+
 def label_policy_table(spark: SparkSession) -> DataFrame:
     """The policies as a table, one row per token."""
     rows = [

@@ -15,8 +15,13 @@ def missing_to_null(text: Column, na_tokens: Sequence[str] = NA_TOKENS) -> Colum
 
 
 def to_number(text: Column) -> Column:
-    """Number in a text, NULL when it is none. NaN and infinities never come out."""
-    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """Number in a text, NULL when it is none. NaN and infinities never come out.
+
+    A text that ends in a digit and is not hexadecimal is a plain number or
+    fails to parse; only other texts are compared with the pattern.
+    """
+    plain = F.right(text, F.lit(1)).between("0", "9") & ~text.contains("x") & ~text.contains("X")
+    number = F.when(plain | text.rlike(NUMBER_PATTERN), text.try_cast("double"))
     return F.when(F.abs(number) < float("inf"), number)
 
 

@@ -81,31 +81,39 @@ def last_symbol_map(ids: DataFrame, symbols: DataFrame) -> DataFrame:
     protein only are represented by the latest of them; pairs are formed for
     the symbols shared between proteins alone.
     """
-    left = _with_group_count(_first_rows(ids, "id"), "id", "proteins")
-    right = _with_group_count(
-        _first_rows(symbols, "symbol").withColumnRenamed("first_row", "right_row"), "symbol", "proteins"
+    ids = ids.dropna(subset=["protein_id", "id"])
+    places = _first_rows(symbols, "symbol").withColumnRenamed("first_row", "right_row")
+    shared = (
+        places.groupBy("symbol").agg(F.count(F.lit(1)).alias("proteins")).filter("proteins > 1")
+        .select("symbol", F.lit(True).alias("shared"))
     )
+    places = places.join(shared, "symbol", "left")
     entry = F.struct("symbol", "right_row")
-    latest = right.groupBy("protein_id").agg(
+    latest = places.groupBy("protein_id").agg(
         F.max_by(entry, "right_row").alias("any"),
-        F.max_by(entry, F.when(F.col("proteins") == 1, F.col("right_row"))).alias("own"),
+        F.max_by(entry, F.when(F.col("shared").isNull(), F.col("right_row"))).alias("own"),
+    )
+    proteins = ids.groupBy("id").agg(
+        F.min("protein_id").alias("protein_id"), F.max("protein_id").alias("other")
     )
+    is_single = F.col("protein_id") == F.col("other")
     single = (
-        left.filter(F.col("proteins") == 1)
-        .join(latest, "protein_id")
+        proteins.filter(is_single).join(latest, "protein_id")
         .select("id", F.col("any.symbol").alias("symbol"))
     )
-    several = left.filter(F.col("proteins") > 1).drop("proteins")
-    own = (
+    several = _first_rows(ids.join(proteins.filter(~is_single).select("id"), "id", "left_semi"), "id")
+    from_own = (
         several.join(latest.filter(F.col("own").isNotNull()), "protein_id")
         .select("id", "own.symbol", F.struct("first_row", "own.right_row").alias("position"))
     )
-    shared = (
-        several.join(right.filter(F.col("proteins") > 1), "protein_id")
+    from_shared = (
+        several.join(places.filter("shared"), "protein_id")
         .groupBy("id", "symbol")
         .agg(F.min(F.struct("first_row", "right_row")).alias("position"))
     )
-    rest = own.unionByName(shared).groupBy("id").agg(F.max_by("symbol", "position").alias("symbol"))
+    rest = (
+        from_own.unionByName(from_shared).groupBy("id").agg(F.max_by("symbol", "position").alias("symbol"))
+    )
     return single.unionByName(rest)
 
 
@@ -117,10 +125,6 @@ def _first_rows(aliases: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _with_group_count(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key)
-
-
 def apply_gene_map(
     expr: DataFrame, gene_map: DataFrame, unmatched: Literal["drop", "keep"]
 ) -> DataFrame:

@@ -80,7 +80,7 @@ def matrix_profile(cells: DataFrame) -> DataFrame:
         cells.select("study", "sample_id").distinct()
         .groupBy("study").agg(F.count(F.lit(1)).alias("n_samples"))
     )
-    return rows.join(samples, "study")
+    return merge_rows("study", [rows, samples])
 
 
 def numeric_samples(cells: DataFrame) -> DataFrame:
@@ -128,6 +128,16 @@ def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def merge_rows(key: str, summaries: Sequence[DataFrame]) -> DataFrame:
+    """Figures of several summaries side by side, one row per key value.
+
+    Summaries are stacked and grouped instead of joined: a join on a key that
+    is one constant would be planned as a cross join.
+    """
+    table = stack(summaries)
+    return table.groupBy(key).agg(*[F.max(c).alias(c) for c in table.columns if c != key])
+
+
 def stack(summaries: Sequence[DataFrame]) -> DataFrame:
     """Summary rows of several datasets in one table; a figure a dataset lacks is NULL."""
     table = summaries[0]

@@ -10,7 +10,7 @@ from ..functions.fixed_values import (
     SAMPLE_COLUMN_CANDIDATES,
     SAMPLE_COLUMN_WORDS,
 )
-from ..functions.labels import label
+from ..functions.labels import add_label
 from ..functions.numeric import log2_cpm, mean_with_zeros, total_value
 from ..functions.text import normalise_sample_id, patient_from_cell_id, strip
 from ..operators.genes import SAMPLE_KEYS, common_genes, on_genes, require_genes
@@ -75,11 +75,12 @@ def label_cells(metadata: DataFrame, header: DataFrame, order: str = "row") -> D
             "cell_id",
             sample.alias("sample_id"),
             response.alias("response"),
-            label(response, "recist").alias("response_binary"),
             F.col(order).alias("row"),
         )
         .filter(valid_sample(F.col("sample_id")))
+        .transform(add_label, "response", "recist")
         .join(header.select("cell_id"), "cell_id", "left_semi")
+        .select("cell_id", "sample_id", "response", "response_binary", "row")
     )
 
 

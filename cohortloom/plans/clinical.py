@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import CLINICAL_COLUMNS
-from ..functions.labels import label
+from ..functions.labels import add_label, label
 from ..functions.numeric import to_number
 from ..functions.text import clean_text, drop_visit_suffix
 from ..operators.ordering import first_per_key
@@ -25,31 +25,35 @@ def clinical_from_table(table: DataFrame, study: str | Column) -> DataFrame:
     """
     if "patient_id" not in table.columns:
         raise ValueError(f"clinical table of {study} has no column patient_id")
-    response = clean_text(column_or_null(table, "response"), keep_empty=True)
     if "survival_event" in table.columns:
         event = to_number(F.col("survival_event").cast("string")).cast("int")
     else:
-        event = label(response, "main")
-    return table.select(
-        clean_text(F.col("patient_id").cast("string"), keep_empty=True).alias("patient_id"),
-        response.alias("response"),
-        event.alias("survival_event"),
-        event.alias("response_binary"),
-        (F.lit(study) if isinstance(study, str) else study).alias("study"),
-        "row",
+        event = label(F.col("response"), "main")
+    return (
+        table.withColumns(
+            {
+                "patient_id": clean_text(F.col("patient_id").cast("string"), keep_empty=True),
+                "response": clean_text(column_or_null(table, "response"), keep_empty=True),
+                "study": F.lit(study) if isinstance(study, str) else study,
+            }
+        )
+        .withColumn("survival_event", event)
+        .select(
+            "patient_id", "response", "survival_event",
+            F.col("survival_event").alias("response_binary"), "study", "row",
+        )
     )
 
 
 def clinical_from_attributes(lines: DataFrame, study: str) -> DataFrame:
     """Clinical rows of the attribute lines of one cohort."""
-    event = label(F.col("response"), "main")
     return (
         extract_labelled_attributes(lines)
+        .transform(add_label, "response", "main")
         .withColumns(
             {
                 "patient_id": drop_visit_suffix(F.col("patient_id")),
-                "survival_event": event,
-                "response_binary": event,
+                "survival_event": F.col("response_binary"),
                 "study": F.lit(study),
             }
         )

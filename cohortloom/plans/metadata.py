@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import label
+from ..functions.labels import add_label
 from ..functions.text import (
     bracket_patient,
     bracket_sample,
@@ -59,14 +59,16 @@ def standardise_metadata(table: DataFrame, spec: MetadataSpec) -> DataFrame:
         "notes": F.lit(spec.notes).cast("string"),
         **spec.derive(table),
     }
-    response = columns.get("response", F.lit(None).cast("string"))
-    binary = label(response, "responder") if spec.fixed_label is None else F.lit(spec.fixed_label)
+    columns.setdefault("response", F.lit(None).cast("string"))
     standard = table.select(
         F.lit(spec.study).alias("study"),
         F.lit(spec.role).alias("dataset_role"),
-        binary.alias("response_binary"),
         *[value.alias(name) for name, value in columns.items()],
     )
+    if spec.fixed_label is None:
+        standard = add_label(standard, "response", "responder")
+    else:
+        standard = standard.withColumn("response_binary", F.lit(spec.fixed_label))
     return conform(standard)
 
 

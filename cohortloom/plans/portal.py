@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import label
+from ..functions.labels import add_label
 from ..functions.text import first_informative, strip
 from ..operators.genes import mean_duplicates
 from ..operators.matching import join_patients, reconcile
-from ..operators.projection import carry_optional
+from ..operators.projection import carry_optional, prefer_order
 from ..operators.summaries import label_counts
 from . import Cohort
 
@@ -69,18 +69,16 @@ def portal_metadata(spec: PortalSpec, samples: DataFrame, patients: DataFrame) -
     def informative(names: tuple[str, ...]):
         return first_informative([F.col(f"`{n}`") for n in names if n in clinical.columns])
 
-    response = informative(spec.response_columns)
     return clinical.select(
         F.lit(spec.study).alias("study"),
         strip(F.col(f"`{spec.sample_column}`")).alias("sample_id"),
         strip(F.col(f"`{spec.patient_column}`")).alias("patient_id"),
-        response.alias("response"),
-        label(response, "portal").alias("response_binary"),
+        informative(spec.response_columns).alias("response"),
         informative(spec.treatment_columns).alias("treatment"),
         F.lit(spec.expression_format).alias("expression_format"),
         F.lit(spec.role).alias("dataset_role"),
         *carry_optional(clinical, PORTAL_COLUMNS),
-    )
+    ).transform(add_label, "response", "portal").transform(prefer_order, PORTAL_COLUMNS)
 
 
 def prepare_portal_study(

@@ -13,6 +13,7 @@ from ..operators.summaries import (
     distinct_values,
     matches_keywords,
     matrix_profile,
+    merge_rows,
     numeric_samples,
     table_shape,
 )
@@ -53,7 +54,7 @@ def profile_matrix(cells: DataFrame, main_genes: DataFrame, first: int = 20) ->
         .groupBy("study")
         .agg(F.count_if("is_numeric").alias("n_numeric_samples"))
     )
-    return matrix_profile(cells).join(heads, "study").join(overlap, "study")
+    return merge_rows("study", [matrix_profile(cells), heads, overlap])
 
 
 

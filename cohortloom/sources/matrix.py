@@ -32,7 +32,7 @@ def split_fields(line: Column, sep: str) -> Column:
 
 
 def unquote(field: Column) -> Column:
-    return F.btrim(field, F.lit('"'))
+    return F.when(field.startswith('"'), F.btrim(field, F.lit('"'))).otherwise(field)
 
 
 def scan_matrix_long(
