@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import mean_value
 from ..functions.text import contains_any
+from ..session import settle
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -83,16 +85,30 @@ def matrix_profile(cells: DataFrame) -> DataFrame:
     return merge_rows("study", [rows, samples])
 
 
+def broken_cell() -> Column:
+    """True for a cell of a raw matrix that holds a text that is no number."""
+    return F.col("raw").isNotNull() & F.col("value").isNull()
+
+
 def numeric_samples(cells: DataFrame) -> DataFrame:
     """(study, sample_id, is_numeric): no cell of the sample holds a text that is no number."""
-    broken = F.col("raw").isNotNull() & F.col("value").isNull()
-    return cells.groupBy("study", "sample_id").agg((F.count_if(broken) == 0).alias("is_numeric"))
+    return cells.groupBy("study", "sample_id").agg((F.count_if(broken_cell()) == 0).alias("is_numeric"))
+
 
+def mean_of_numeric_samples(cells: DataFrame) -> DataFrame:
+    """One mean per sample and gene; a sample with at least one text that is no number is left out.
 
-def numeric_samples_only(cells: DataFrame) -> DataFrame:
-    """Drop every sample that holds at least one text that is no number."""
-    keep = numeric_samples(cells).filter("is_numeric").select("study", "sample_id")
-    return cells.join(keep, ["study", "sample_id"], "left_semi")
+    The cells are aggregated and stored once, so that finding the samples to
+    leave out does not read the raw matrix again.
+    """
+    means = settle(
+        cells.groupBy("study", "sample_id", "gene").agg(
+            mean_value(F.col("value")).alias("value"), F.count_if(broken_cell()).alias("n_broken")
+        ),
+        "means",
+    )
+    broken = means.filter("n_broken > 0").select("study", "sample_id").distinct()
+    return means.join(broken, ["study", "sample_id"], "left_anti").drop("n_broken")
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], first: int = 12) -> DataFrame:

@@ -24,6 +24,7 @@ from ..operators.matching import (
 from ..operators.ordering import first_per_key
 from ..operators.projection import valid_sample
 from ..operators.summaries import label_counts
+from ..session import settle
 from ..sources.matrix import matrix_columns, scan_cell_matrix
 from . import Cohort
 
@@ -127,7 +128,8 @@ def assign_cells(cells: DataFrame, cell_samples: DataFrame) -> DataFrame:
 
 
 def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
-    """Summed counts with the response and number of cells of their samples."""
+    """Summed counts, stored, with the response and number of cells of their samples."""
+    counts = settle(counts, "counts")
     rolled = roll_up_cells(labelled, F.col("row")).select(
         F.lit(study).alias("study"),
         "sample_id",
@@ -143,8 +145,8 @@ def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
 def sum_cells(cells: DataFrame, metadata: DataFrame, study: str, order: str = "row") -> Cohort:
     """Counts of a long cell table (study, cell_id, gene, value) summed per sample."""
     labelled = label_cells(metadata, cells.select("cell_id").distinct(), order)
-    counts = pseudobulk_sum(assign_cells(cells, cell_to_sample(labelled, F.col("row"))))
-    return sum_cohort(labelled, counts, study)
+    placed = assign_cells(cells, cell_to_sample(labelled, F.col("row")))
+    return sum_cohort(labelled, pseudobulk_sum(placed), study)
 
 
 def sum_cell_file(
@@ -193,7 +195,8 @@ def normalise_samples(samples: DataFrame) -> DataFrame:
 
 
 def mean_cohort(samples: DataFrame, means: DataFrame, order: str = "row") -> Cohort:
-    """Averaged measurements with the first metadata row of their samples."""
+    """Averaged measurements, stored, with the first metadata row of their samples."""
+    means = settle(means, "means")
     described = first_per_key(
         samples.select(
             "sample_id", "patient_id", "response", "response_binary", "dataset_role", "notes", order

@@ -27,7 +27,7 @@ from ..operators.genes import (
     symbol_aliases,
 )
 from ..operators.matching import join_on_sample_key, reconcile
-from ..operators.summaries import distinct_texts, label_counts, numeric_samples_only
+from ..operators.summaries import distinct_texts, label_counts, mean_of_numeric_samples
 from ..session import settle
 from . import Cohort
 
@@ -62,13 +62,13 @@ def visit_cohort(
     text that is no number is left out.
     """
     visit = parse_visit_column(F.col("sample_id"), study)
-    numeric = numeric_samples_only(cells.filter(visit.isNotNull()))
+    expr = mean_of_numeric_samples(cells.filter(visit.isNotNull()))
     samples = (
-        samples_of(numeric)
+        samples_of(expr)
         .withColumn("visit", visit)
         .select(*SAMPLE_KEYS, "visit.*", F.lit(category).alias("treatment_category"))
     )
-    return Cohort(samples, mean_duplicates(numeric))
+    return Cohort(samples, expr)
 
 
 def gene_map(alias: DataFrame, unmatched: Literal["drop", "keep"]) -> DataFrame:

@@ -20,12 +20,7 @@ from ..functions.text import (
 )
 from ..operators.projection import column_or_null, conform
 from ..operators.summaries import group_sizes
-from ..sources.attributes import (
-    attribute_values,
-    named_attributes,
-    pivot_attributes,
-    scan_attribute_lines,
-)
+from ..sources.attributes import named_attributes, pivot_attributes, scan_attribute_lines
 
 
 @dataclass(frozen=True)
@@ -46,8 +41,7 @@ class MetadataSpec:
 
 def extract_metadata(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
     """One row per sample of an attribute-line file, one column per attribute."""
-    values = attribute_values(scan_attribute_lines(spark, path))
-    return pivot_attributes(named_attributes(values), names)
+    return pivot_attributes(named_attributes(scan_attribute_lines(spark, path)), names)
 
 
 def standardise_metadata(table: DataFrame, spec: MetadataSpec) -> DataFrame:

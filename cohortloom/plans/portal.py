@@ -12,7 +12,8 @@ from ..functions.text import first_informative, strip
 from ..operators.genes import mean_duplicates
 from ..operators.matching import join_patients, reconcile
 from ..operators.projection import carry_optional, prefer_order
-from ..operators.summaries import label_counts
+from ..operators.summaries import label_counts, merge_rows
+from ..session import settle
 from . import Cohort
 
 PORTAL_COLUMNS = (
@@ -86,30 +87,33 @@ def prepare_portal_study(
 ) -> tuple[Cohort, DataFrame]:
     """A portal study as a cohort, and its summary row.
 
-    ``cells`` is the melted matrix (study, sample_id, gene, value).
+    ``cells`` is the melted matrix (study, sample_id, gene, value). It is
+    averaged and stored once; everything after that reads the stored table.
     """
     metadata = portal_metadata(spec, samples, patients)
-    expr = mean_duplicates(cells.withColumn("sample_id", strip(F.col("sample_id"))))
+    expr = settle(mean_duplicates(cells.withColumn("sample_id", strip(F.col("sample_id")))), "expr")
     ids = expr.select("sample_id").distinct()
     clean = metadata.join(ids, "sample_id", "left_semi")
     measured = expr.join(metadata.select("sample_id").distinct(), "sample_id", "left_semi")
-    presence = reconcile(metadata, ids, "sample_id")
-    sides = presence.agg(
-        F.count_if(~F.col("in_right")).alias("n_missing_samples_from_expression"),
-        F.count_if(~F.col("in_left")).alias("n_expression_samples_without_metadata"),
-        F.count_if("in_right").alias("n_expression_samples"),
-    )
-    n_genes = expr.select("gene").distinct().agg(F.count(F.lit(1))).scalar()
-    n_clinical = metadata.agg(F.count(F.lit(1))).scalar()
-    summary = clean.agg(
-        F.lit(spec.study).alias("dataset"),
-        F.lit(spec.expression_format).alias("expression_format"),
-        F.count(F.lit(1)).alias("n_clean_samples"),
-        *label_counts(F.col("response_binary"), "n_response_binary"),
-    ).select(
-        "*",
-        n_genes.alias("n_expression_genes"),
-        n_clinical.alias("n_clinical_samples"),
-        *[sides.select(c).scalar().alias(c) for c in sides.columns],
+    dataset = F.lit(spec.study).alias("dataset")
+    n_rows = F.count(F.lit(1))
+    summary = merge_rows(
+        "dataset",
+        [
+            clean.agg(
+                dataset,
+                F.lit(spec.expression_format).alias("expression_format"),
+                n_rows.alias("n_clean_samples"),
+                *label_counts(F.col("response_binary"), "n_response_binary"),
+            ),
+            reconcile(metadata, ids, "sample_id").agg(
+                dataset,
+                F.count_if(~F.col("in_right")).alias("n_missing_samples_from_expression"),
+                F.count_if(~F.col("in_left")).alias("n_expression_samples_without_metadata"),
+                F.count_if("in_right").alias("n_expression_samples"),
+            ),
+            expr.select("gene").distinct().agg(dataset, n_rows.alias("n_expression_genes")),
+            metadata.agg(dataset, n_rows.alias("n_clinical_samples")),
+        ],
     )
     return Cohort(clean, measured), summary

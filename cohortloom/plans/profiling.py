@@ -17,6 +17,7 @@ from ..operators.summaries import (
     numeric_samples,
     table_shape,
 )
+from ..session import settle
 from ..sources.matrix import scan_matrix_long
 from ..sources.tables import detect_separator
 
@@ -61,9 +62,9 @@ def profile_matrix(cells: DataFrame, main_genes: DataFrame, first: int = 20) ->
 def profile_matrix_file(
     spark: SparkSession, path: str, dataset: str, main_genes: DataFrame
 ) -> DataFrame:
-    """Summary row of a matrix file of unknown separator."""
+    """Summary row of a matrix file of unknown separator; the text is parsed once and stored."""
     sep = detect_separator(spark, path)
-    cells = scan_matrix_long(spark, path, dataset, sep=sep, drop_columns=())
+    cells = settle(scan_matrix_long(spark, path, dataset, sep=sep, drop_columns=()), "cells")
     return profile_matrix(cells, main_genes).withColumns(
         {"file": F.lit(path), "separator": F.lit(sep)}
     )

@@ -50,34 +50,29 @@ def _with_fields(lines: DataFrame) -> DataFrame:
     )
 
 
-def attribute_values(lines: DataFrame, prefixes: Sequence[str] = ATTRIBUTE_PREFIXES) -> DataFrame:
-    """(file, line_no, block, key, sample_idx, value): one row per sample of the useful lines."""
-    useful = F.lit(False)
-    for prefix in prefixes:
-        useful = useful | F.col("key").startswith(prefix)
-    return (
-        lines.filter(useful)
-        .select("file", "line_no", "block", "key", F.posexplode("fields").alias("sample_idx", "value"))
-        .withColumn("value", clean_text(F.col("value")))
-    )
-
-
-def named_attributes(values: DataFrame) -> DataFrame:
-    """(file, name, sample_idx, value): every line under the name of its column.
+def named_attributes(lines: DataFrame, prefixes: Sequence[str] = ATTRIBUTE_PREFIXES) -> DataFrame:
+    """(file, name, sample_idx, value): the useful lines, each under the name of its column.
 
     A characteristics line is named by the label of its first value; a name
     that a file uses again becomes ``name_2``, ``name_3``. Any other line is
-    named by its key, and the last line of a key counts.
+    named by its key, and the last line of a key counts. Names are found on
+    whole lines; values are exploded afterwards.
     """
-    line = ["file", "line_no"]
+    useful = F.lit(False)
+    for prefix in prefixes:
+        useful = useful | F.col("key").startswith(prefix)
+    lines = lines.filter(useful)
     is_characteristic = F.col("key") == CHARACTERISTICS_KEY
-    first_value = F.max(F.when(F.col("sample_idx") == 0, F.col("value")))
-    lines = values.groupBy(*line, "block", "key").agg(first_value.alias("first_value"))
 
     labelled = lines.filter(is_characteristic).select(
-        *line, "block", attribute_slug(F.col("first_value")).alias("slug")
+        "file", "line_no", "block", clean_text(F.get("fields", F.lit(0))).alias("first_value")
+    )
+    numbered = number_within(
+        labelled.withColumn("slug", attribute_slug(F.col("first_value"))).drop("first_value"),
+        ["file", "slug"],
+        F.col("line_no"),
+        F.col("block"),
     )
-    numbered = number_within(labelled, ["file", "slug"], F.col("line_no"), F.col("block"))
     suffix = F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise("")
     named = _settle_collisions(numbered.withColumn("name", F.concat("slug", suffix)))
 
@@ -86,9 +81,14 @@ def named_attributes(values: DataFrame) -> DataFrame:
         .groupBy("file", attribute_key(F.col("key")).alias("name"))
         .agg(F.max("line_no").alias("line_no"))
     )
-    names = named.select(*line, "name").unionByName(last_of_key.select(*line, "name"))
+    names = named.select("file", "line_no", "name").unionByName(last_of_key.select("file", "line_no", "name"))
+    values = (
+        lines.join(names, ["file", "line_no"])
+        .select("file", "name", "key", F.posexplode("fields").alias("sample_idx", "field"))
+        .withColumn("value", clean_text(F.col("field")))
+    )
     text = F.when(is_characteristic, after_first_colon(F.col("value"))).otherwise(F.col("value"))
-    return values.join(names, line).select("file", "name", "sample_idx", text.alias("value"))
+    return values.select("file", "name", "sample_idx", text.alias("value"))
 
 
 def _settle_collisions(named: DataFrame) -> DataFrame:

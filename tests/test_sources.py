@@ -127,10 +127,10 @@ def test_extract_metadata(spark, tmp_path):
 
 def attribute_rows(spark, labels):
     lines = [
-        ("f", i, 0, A.CHARACTERISTICS_KEY, 0, f"{label}: {i}") for i, label in enumerate(labels)
+        ("f", i, 0, A.CHARACTERISTICS_KEY, [f"{label}: {i}"]) for i, label in enumerate(labels)
     ]
     return spark.createDataFrame(
-        lines, "file string, line_no int, block int, key string, sample_idx int, value string"
+        lines, "file string, line_no int, block int, key string, fields array<string>"
     )
 
 

@@ -6,8 +6,8 @@ from cohortloom.functions.fixed_values import PORTAL_KEYWORDS
 from cohortloom.functions.numeric import to_number
 from cohortloom.operators.summaries import (
     distinct_values,
+    mean_of_numeric_samples,
     numeric_samples,
-    numeric_samples_only,
     preview,
     table_shape,
 )
@@ -104,15 +104,13 @@ def samples_that_are_numeric(t: Tables):
 @query(
     "numeric_only",
     f"""
-    SELECT study, sample_id, gene, count(value) AS n, coalesce(sum(value), 0) AS total FROM ({RAW_CELLS}) c
+    SELECT study, sample_id, gene, sum(value) / count(value) AS value FROM ({RAW_CELLS}) c
     WHERE (study, sample_id) NOT IN (SELECT (study, sample_id) FROM ({RAW_CELLS}) WHERE broken)
     GROUP BY study, sample_id, gene
     """,
 )
 def numeric_only(t: Tables):
-    return numeric_samples_only(raw_cells(t)).groupBy("study", "sample_id", "gene").agg(
-        F.count("value").alias("n"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("total")
-    )
+    return mean_of_numeric_samples(raw_cells(t))
 
 
 @query(

@@ -11,7 +11,6 @@ from cohortloom.plans.profiling import profile_matrix_file, relevant_names
 from cohortloom.session import new_path
 from cohortloom.sinks.tables import write_table
 from cohortloom.sources.attributes import (
-    attribute_values,
     extract_labelled_attributes,
     named_attributes,
     pivot_attributes,
@@ -304,7 +303,7 @@ NAMED_VALUES = f"""
 
 @query("attribute_lines", NAMED_VALUES)
 def attribute_lines(t: Tables):
-    return named_attributes(attribute_values(conversation_lines(t)))
+    return named_attributes(conversation_lines(t))
 
 
 @query(
@@ -319,7 +318,7 @@ def attribute_lines(t: Tables):
 )
 def attribute_records(t: Tables):
     names = ["title", "description", "characteristics_user_pt_id_a"]
-    return pivot_attributes(named_attributes(attribute_values(conversation_lines(t))), names)
+    return pivot_attributes(named_attributes(conversation_lines(t)), names)
 
 
 @query(
