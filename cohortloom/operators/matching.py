@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
+def rejected_ids(sides: dict[str, DataFrame], key: str) -> DataFrame:
+    """(side, n_rejected): rows of each side whose id is NULL. They match nothing, not even each other."""
+    counts = [
+        rows.agg(F.lit(name).alias("side"), F.count_if(F.col(key).isNull()).alias("n_rejected"))
+        for name, rows in sides.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def unmatched_summary(presence: DataFrame, key: str, first: int = 20) -> DataFrame:
     """Per side: number of ids the other side lacks, and the first ones in sorted order."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -60,6 +60,22 @@ def carry_optional(df: DataFrame, taken: Sequence[str]) -> list[Column]:
     ]
 
 
+def drop_missing(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """Rows with all the named columns present, and an observation of the rows before and after.
+
+    The counts (``rows_before``, ``rows_after``) are taken while the rows pass
+    by; they are there once an action on the result has run.
+    """
+    present = F.lit(True)
+    for name in columns:
+        present = present & F.col(f"`{name}`").isNotNull()
+    seen = Observation()
+    observed = df.observe(
+        seen, F.count(F.lit(1)).alias("rows_before"), F.count_if(present).alias("rows_after")
+    )
+    return observed.dropna(subset=list(columns)), seen
+
+
 def melt(df: DataFrame, ids: Sequence[str], name: str = "gene", value: str = "value") -> DataFrame:
     """Wide to long: every column that is not an id becomes rows."""
     values = [c for c in df.columns if c not in ids]

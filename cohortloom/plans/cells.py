@@ -62,6 +62,8 @@ def identify_cells(metadata: DataFrame, header: DataFrame, order: str = "row") -
     best = best_key_column(key_overlap(metadata, candidates, header, "cell_id")).first()
     if best is not None:
         return metadata.withColumn("cell_id", F.col(f"`{best['column']}`").cast("string"))
+    if "idx" not in header.columns:
+        raise ValueError("no metadata column matches the cells, and the cells have no position")
     return join_by_position(header, metadata, [order]).drop("idx")
 
 
@@ -261,7 +263,7 @@ def fuse_pseudobulk(
     for more_samples, more_expr in zip(sample_parts[1:], expr_parts[1:]):
         samples, expr = samples.unionByName(more_samples), expr.unionByName(more_expr)
     genes = require_genes(common_genes(expr, list(cohorts)), ", ".join(cohorts))
-    n_genes = F.lit(genes.count())
+    n_genes = F.lit(genes.count()).cast("bigint")
     n_samples = F.count(F.lit(1)).alias("n_samples")
     summary = (
         samples.groupBy("dataset_source").agg(n_samples)

@@ -169,5 +169,5 @@ def merge_labelled_studies(
         F.count(F.lit(1)).alias("n_samples"),
         *label_counts(F.col("response_binary")),
         formats.alias("expression_formats"),
-    ).withColumn("n_common_genes", F.lit(n_genes))
+    ).withColumn("n_common_genes", F.lit(n_genes).cast("bigint"))
     return Cohort(samples, on_genes(expr, genes)), summary

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cohortloom.operators.projection import conform, valid_sample
+from cohortloom.operators.projection import conform, drop_missing, valid_sample
 from cohortloom.operators.summaries import (
     column_types, distinct_texts, distinct_values, group_sizes, matrix_profile, table_shape, value_counts,
 )
@@ -246,6 +246,13 @@ def test_summaries(spark):
     assert conform(df.withColumnRenamed("k", "study")).columns[0] == "study"
 
 
+def test_drop_missing_counts_rows(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", None)], "k string, v int")
+    kept, seen = drop_missing(df, ["k", "v"])
+    assert rows(kept) == [("a", 1)]
+    assert seen.get == {"rows_before": 3, "rows_after": 1}
+
+
 def test_matrix_profile_file(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text("Gene;s1;s2\nENSG1.2;1;x\nENSG1.3;;2\n;1;1\n")

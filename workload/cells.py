@@ -246,4 +246,4 @@ def fused_values(t: Tables):
 )
 def fused_summary(t: Tables):
     _, summary = _fused(t)
-    return summary.withColumn("n_genes", F.col("n_genes").cast("bigint"))
+    return summary

@@ -7,6 +7,7 @@ from cohortloom.operators.matching import (
     best_key_column,
     join_by_position,
     key_overlap,
+    rejected_ids,
     unmatched_summary,
 )
 from cohortloom.operators.ordering import with_position
@@ -158,7 +159,7 @@ def sheet_to_samples(t: Tables):
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'A')
     SELECT sample_id, patient_id, treatment_phase, therapy_type,
            'targeted_therapy' AS treatment_category, count(*) AS n_genes,
-           CAST(sum(round(value, 6)) AS DECIMAL(28,2)) AS total
+           CAST(CAST(sum(value) AS DECIMAL(28,2)) AS DOUBLE) AS total
     FROM (SELECT sample_id, patient_id, treatment_phase, therapy_type, gene,
                  CAST(max(value) AS DECIMAL(18,2)) AS value
           FROM cells WHERE NOT broken GROUP BY ALL)
@@ -188,7 +189,7 @@ def pre_post_cohort(t: Tables):
     cohort = visit_cohort(cells, "COHORT")
     totals = cohort.expr.groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("n_genes"),
-        F.sum(F.col("value").cast("decimal(18,2)")).alias("total"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
     )
     return cohort.samples.drop("study").join(totals, "sample_id")
 
@@ -267,6 +268,19 @@ def reconciled_ids(t: Tables):
     )
 
 
+@query(
+    "rejected_ids",
+    """
+    SELECT 'documents' AS side, count(*) FILTER (WHERE quality IS NULL) AS n_rejected
+    FROM documents LEFT JOIN labels USING (doc_id)
+    UNION ALL SELECT 'labels', count(*) FILTER (WHERE quality IS NULL) FROM labels
+    """,
+)
+def rejected(t: Tables):
+    documents = t.documents.join(t.labels, "doc_id", "left")
+    return rejected_ids({"documents": documents, "labels": t.labels}, "quality")
+
+
 def portal_samples(t: Tables):
     """Orders as the sample table of a portal study."""
     return t.orders.select(

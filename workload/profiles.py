@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.fixed_values import PORTAL_KEYWORDS
 from cohortloom.functions.numeric import to_number
+from cohortloom.operators.projection import drop_missing
 from cohortloom.operators.summaries import (
     distinct_values,
     mean_of_numeric_samples,
@@ -34,6 +35,20 @@ def missing_cells(t: Tables):
     return table_shape(labelled_documents(t))
 
 
+@query(
+    "drop_missing",
+    """
+    SELECT source, count(*) AS n_labelled, CAST(sum(quality) AS BIGINT) AS n_good
+    FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY source
+    """,
+)
+def dropped_missing(t: Tables):
+    kept, _ = drop_missing(labelled_documents(t), ["quality"])
+    return kept.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_labelled"), F.sum(F.col("quality").cast("bigint")).alias("n_good")
+    )
+
+
 @query(
     "distinct_values",
     """

@@ -14,6 +14,7 @@ from cohortloom.sources.attributes import (
     extract_labelled_attributes,
     named_attributes,
     pivot_attributes,
+    scan_attribute_lines,
 )
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
 from cohortloom.sources.matrix import scan_matrix_long
@@ -36,7 +37,7 @@ def written(t: Tables, df, label: str, sep: str = ",", **options) -> str:
     "scan_table",
     """
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS priority,
-           o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price
+           o_orderstatus AS status, o_totalprice AS price
     FROM orders
     """,
 )
@@ -48,7 +49,7 @@ def scanned_table(t: Tables):
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
     )
     scanned = strip_column_names(scan_table(t.spark, written(t, source, "orders")))
-    return scanned.withColumn("price", F.col("price").cast("decimal(18,2)"))
+    return scanned.withColumn("price", F.col("price").cast("double"))
 
 
 @query("scan_gzip_alias", f"SELECT protein_id, alias, source FROM ({ALIAS_TABLE})")
@@ -255,6 +256,31 @@ def melted(t: Tables):
     return melt(wide, ["c_custkey"])
 
 
+@query(
+    "scan_attribute_text",
+    """
+    SELECT CASE role WHEN 'system' THEN '!Sample_title' ELSE '!Sample_characteristics_ch1' END AS key,
+           len(string_split(line, ' ')) AS n_fields, md5(replace(line, ' ', '|')) AS digest, count(*) AS n
+    FROM (SELECT role, conv_id || 'k' || turn || ' ' || replace(replace(text, chr(10), ' '), chr(9), ' ') || ' end' AS line
+          FROM conversations WHERE turn % 3 <> 2)
+    GROUP BY ALL
+    """,
+)
+def scanned_attribute_text(t: Tables):
+    words = F.expr("concat(conv_id, 'k', turn, ' ', translate(text, '\\n\\t', '  '), ' end')")
+    key = F.expr(
+        """CASE WHEN turn % 3 = 2 THEN '!Series_summary' WHEN role = 'system' THEN '!Sample_title'
+           ELSE '!Sample_characteristics_ch1' END"""
+    )
+    path = new_path(t.spark, "series")
+    t.conversations.select(F.concat_ws("\t", key, F.translate(words, " ", "\t"))).write.text(path, compression="gzip")
+    return (
+        scan_attribute_lines(t.spark, path)
+        .groupBy("key", F.size("fields").cast("bigint").alias("n_fields"), F.md5(F.array_join("fields", "|")).alias("digest"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def conversation_lines(t: Tables):
     """Conversations as attribute lines: file = conversation, line = turn, values = all words of the text."""
     label = F.expr(
