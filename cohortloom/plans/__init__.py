@@ -1,12 +1,3 @@
 """User-level operations, composed of the scans and operators."""
 
-from typing import NamedTuple
-
-from pyspark.sql import DataFrame
-
-
-class Cohort(NamedTuple):
-    """A cohort in long form: one row per sample, and one row per sample and gene."""
-
-    samples: DataFrame
-    expr: DataFrame
+from ..cohort import Cohort  # noqa: F401

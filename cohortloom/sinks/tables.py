@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cohort import Cohort
 from ..operators.summaries import stack
 from ..session import settle
 
@@ -22,6 +23,17 @@ def write_table(
         writer.format(fmt).save(path)
 
 
+def write_cohort(cohort: Cohort, path: str) -> None:
+    """A cohort as Parquet: measurements by study, samples beside them."""
+    write_table(cohort.expr, f"{path}/expr", partition_by=["study"])
+    write_table(cohort.samples, f"{path}/samples")
+
+
+def read_cohort(spark: SparkSession, path: str) -> Cohort:
+    expr = spark.read.parquet(f"{path}/expr").withColumn("study", F.col("study").cast("string"))
+    return Cohort(spark.read.parquet(f"{path}/samples"), expr.select("study", "sample_id", "gene", "value"))
+
+
 def summary_rows(
     spark: SparkSession, datasets: dict[str, Callable[[], DataFrame]], name: str = "dataset"
 ) -> DataFrame:

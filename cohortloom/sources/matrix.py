@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import GENE_COLUMN_CANDIDATES, NA_TOKENS, TECHNICAL_COLUMNS
 from ..functions.numeric import missing_to_null, to_number
 from ..functions.text import clean_gene_id, strip
+from ..cohort import Cohort
 from ..operators.projection import first_present
 from .tables import first_line, header_names
 
@@ -75,15 +76,9 @@ def scan_matrix_long(
     if relabel is not None:
         named = header.withColumnRenamed("sample_id", "cell_id")
         header = named.join(relabel, "cell_id").select("idx", "sample_id")
-    # The header is one line, of known length; a longer one is joined by a shuffle.
-    if len(header_line.encode()) <= HEADER_BROADCAST_BYTES:
-        header = F.broadcast(header)
 
     lines = (
-        spark.read.text(path)
-        .filter(F.col("value") != header_line)
-        .select(split_fields(F.col("value"), sep).alias("fields"), F.monotonically_increasing_id().alias("gene_row"))
-        .filter(F.size("fields") >= 2)
+        _field_lines(spark, path, header_line, sep)
         .withColumn("gene", clean_gene(unquote(F.get("fields", F.lit(gene_at)))))
         .filter(F.col("gene").isNotNull() & (F.col("gene") != ""))
     )
@@ -91,13 +86,77 @@ def scan_matrix_long(
         lines = lines.filter(~F.col("gene").rlike(skip_gene_pattern))
     raw = missing_to_null(unquote(F.col("field")), na_tokens)
     return (
-        lines.select("gene", "gene_row", F.posexplode("fields").alias("idx", "field"))
-        .join(header, "idx")
+        lines.select("gene", F.col("line").alias("gene_row"), F.posexplode("fields").alias("idx", "field"))
+        .join(_bounded(header, header_line), "idx")
         .select(F.lit(study).alias("study"), "sample_id", "gene", raw.alias("raw"), "gene_row")
         .withColumn("value", to_number(F.col("raw")))
     )
 
 
+def _field_lines(spark: SparkSession, path: str, header_line: str, sep: str) -> DataFrame:
+    """(line, fields) of the lines after the header; ``line`` numbers them.
+
+    A gzip file is one task, so its lines are spread before they are split.
+    """
+    lines = (
+        spark.read.text(path)
+        .filter(F.col("value") != header_line)
+        .withColumn("line", F.monotonically_increasing_id())
+    )
+    if path.endswith(".gz"):
+        lines = lines.hint("rebalance")
+    fields = split_fields(F.col("value"), sep)
+    return lines.select("line", fields.alias("fields")).filter(F.size("fields") >= 2)
+
+
+def _bounded(columns: DataFrame, header_line: str) -> DataFrame:
+    """Columns of a header: one line, of known length; a longer one is joined by a shuffle."""
+    return F.broadcast(columns) if len(header_line.encode()) <= HEADER_BROADCAST_BYTES else columns
+
+
+def scan_wide_dataset(
+    spark: SparkSession,
+    path: str,
+    metadata: Sequence[str],
+    sample: str = "sample_id",
+    study: str | None = None,
+    sep: str = ",",
+    na_tokens: Sequence[str] = NA_TOKENS,
+) -> Cohort:
+    """A sample x gene text as a cohort: the named columns describe samples, all others are genes.
+
+    ``study`` is a constant, or the column ``study`` of the file.
+    """
+    header_line = first_line(spark, path)
+    names = header_names(header_line, sep)
+    described = [(i, name) for i, name in enumerate(names) if name in metadata]
+    genes = [(i, name) for i, name in enumerate(names) if name not in metadata]
+    if sample not in dict(map(reversed, described)):
+        raise ValueError(f"{path} has no metadata column {sample}")
+    lines = _field_lines(spark, path, header_line, sep)
+
+    def field(i: int) -> Column:
+        return missing_to_null(unquote(F.get("fields", F.lit(i))), na_tokens)
+
+    samples = lines.select(*[field(i).alias(name) for i, name in described])
+    if study is not None:
+        samples = samples.withColumn("study", F.lit(study))
+    study_of = F.lit(study) if study is not None else field(names.index("study"))
+    header = spark.createDataFrame(genes, "idx int, gene string")
+    expr = (
+        lines.select(
+            study_of.alias("study"),
+            field(names.index(sample)).alias("sample_id"),
+            F.posexplode("fields").alias("idx", "field"),
+        )
+        .join(_bounded(header, header_line), "idx")
+        .select("study", "sample_id", "gene", missing_to_null(unquote(F.col("field")), na_tokens).alias("raw"))
+        .withColumn("value", to_number(F.col("raw")))
+        .drop("raw")
+    )
+    return Cohort(samples, expr)
+
+
 def matrix_columns(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """(idx, cell_id) of the columns of a matrix after the gene column, from its header alone."""
     names = header_names(first_line(spark, path), sep)[1:]

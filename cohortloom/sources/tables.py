@@ -94,6 +94,13 @@ def scan_table(
     )
 
 
+def read_alias(spark: SparkSession, path: str) -> DataFrame:
+    """(protein_id, alias, source, row) of a tab-separated alias table, in file order."""
+    return scan_table(spark, path, sep="\t", with_row=True).select(
+        F.col("`#string_protein_id`").alias("protein_id"), "alias", "source", F.col("_row").alias("row")
+    )
+
+
 def _rows_without_comments(
     spark: SparkSession, path: str, sep: str, comment: str, schema: T.StructType, order: list[Column]
 ) -> DataFrame:

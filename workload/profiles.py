@@ -12,6 +12,7 @@ from cohortloom.operators.summaries import (
     preview,
     table_shape,
 )
+from cohortloom.plans.clinical import clinical_from_table
 from cohortloom.plans.profiling import profile_relevant, profile_table
 from cohortloom.sinks.tables import summary_rows
 
@@ -160,6 +161,6 @@ def dataset_summary(t: Tables):
         return lambda: profile_table(getattr(t, name), name)
 
     datasets = {name: profile(name) for name in TABLES}
-    datasets["broken"] = lambda: profile_table(t.part.select("absent"), "broken")
+    datasets["broken"] = lambda: clinical_from_table(t.part, "broken")
     rows = summary_rows(t.spark, datasets)
     return rows.withColumn("failed", F.col("error").isNotNull()).drop("error")

@@ -9,7 +9,7 @@ from cohortloom.plans.cells import mean_cell_file
 from cohortloom.plans.cohorts import visit_cohort
 from cohortloom.plans.profiling import profile_matrix_file, relevant_names
 from cohortloom.session import new_path
-from cohortloom.sinks.tables import write_table
+from cohortloom.sinks.tables import read_cohort, write_cohort, write_table
 from cohortloom.sources.attributes import (
     extract_labelled_attributes,
     named_attributes,
@@ -17,7 +17,7 @@ from cohortloom.sources.attributes import (
     scan_attribute_lines,
 )
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
-from cohortloom.sources.matrix import scan_matrix_long
+from cohortloom.sources.matrix import scan_matrix_long, scan_wide_dataset
 from cohortloom.sources.tables import detect_separator, scan_table
 
 from .mapping import ALIAS_TABLE, alias_table
@@ -281,6 +281,26 @@ def scanned_attribute_text(t: Tables):
     )
 
 
+@query(
+    "scan_wide",
+    """
+    SELECT c_mktsegment AS study, c_name AS sample_id, 'c_nationkey' AS gene, CAST(c_nationkey AS DOUBLE) AS value
+    FROM customer
+    UNION ALL
+    SELECT c_mktsegment, c_name, 'c_acctbal', CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END FROM customer
+    """,
+)
+def scanned_wide(t: Tables):
+    wide = t.customer.select(
+        F.col("c_name").alias("sample_id"), "c_nationkey", F.col("c_mktsegment").alias("study"),
+        F.expr("IF(c_custkey % 3 = 0, 'NA', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING))").alias("c_acctbal"),
+    )
+    cohort = scan_wide_dataset(t.spark, written(t, wide, "wide"), ["study", "sample_id"])
+    path = new_path(t.spark, "cohort")
+    write_cohort(cohort, path)
+    return read_cohort(t.spark, path).expr
+
+
 def conversation_lines(t: Tables):
     """Conversations as attribute lines: file = conversation, line = turn, values = all words of the text."""
     label = F.expr(
