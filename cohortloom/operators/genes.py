@@ -81,40 +81,34 @@ def last_symbol_map(ids: DataFrame, symbols: DataFrame) -> DataFrame:
     protein only are represented by the latest of them; pairs are formed for
     the symbols shared between proteins alone.
     """
-    ids = ids.dropna(subset=["protein_id", "id"])
     places = _first_rows(symbols, "symbol").withColumnRenamed("first_row", "right_row")
-    shared = (
-        places.groupBy("symbol").agg(F.count(F.lit(1)).alias("proteins")).filter("proteins > 1")
-        .select("symbol", F.lit(True).alias("shared"))
-    )
-    places = places.join(shared, "symbol", "left")
+    in_several = places.groupBy("symbol").agg((F.count(F.lit(1)) > 1).alias("shared"))
+    places = settle(places.join(in_several, "symbol"), "symbol-places")
     entry = F.struct("symbol", "right_row")
     latest = places.groupBy("protein_id").agg(
         F.max_by(entry, "right_row").alias("any"),
-        F.max_by(entry, F.when(F.col("shared").isNull(), F.col("right_row"))).alias("own"),
-    )
-    proteins = ids.groupBy("id").agg(
-        F.min("protein_id").alias("protein_id"), F.max("protein_id").alias("other")
+        F.max_by(entry, F.when(~F.col("shared"), F.col("right_row"))).alias("own"),
     )
-    is_single = F.col("protein_id") == F.col("other")
-    single = (
-        proteins.filter(is_single).join(latest, "protein_id")
-        .select("id", F.col("any.symbol").alias("symbol"))
+    proteins = (
+        ids.dropna(subset=["protein_id", "id"]).groupBy("id")
+        .agg((F.min("protein_id") == F.max("protein_id")).alias("single"))
     )
-    several = _first_rows(ids.join(proteins.filter(~is_single).select("id"), "id", "left_semi"), "id")
-    from_own = (
-        several.join(latest.filter(F.col("own").isNotNull()), "protein_id")
-        .select("id", "own.symbol", F.struct("first_row", "own.right_row").alias("position"))
+    placed = _first_rows(ids, "id").join(proteins, "id")
+    chosen = F.when(F.col("single"), F.col("any")).otherwise(F.col("own"))
+    from_protein = (
+        placed.join(latest, "protein_id")
+        .select("id", "first_row", chosen.alias("entry"))
+        .filter(F.col("entry").isNotNull())
+        .select("id", "entry.symbol", F.struct("first_row", "entry.right_row").alias("position"))
     )
     from_shared = (
-        several.join(places.filter("shared"), "protein_id")
+        placed.filter(~F.col("single")).join(places.filter("shared"), "protein_id")
         .groupBy("id", "symbol")
         .agg(F.min(F.struct("first_row", "right_row")).alias("position"))
     )
-    rest = (
-        from_own.unionByName(from_shared).groupBy("id").agg(F.max_by("symbol", "position").alias("symbol"))
+    return (
+        from_protein.unionByName(from_shared).groupBy("id").agg(F.max_by("symbol", "position").alias("symbol"))
     )
-    return single.unionByName(rest)
 
 
 def _first_rows(aliases: DataFrame, name: str) -> DataFrame:

@@ -99,7 +99,9 @@ def merge_cohorts(
     Clinical columns and the score are joined to the samples, not to the
     measurements: the long table is only filtered. A sample needs a clinical
     row of its study with a label; the score is optional and matched by
-    patient alone.
+    patient alone. Genes and samples are stored, so that the filters on the
+    long table know their size; ``expr`` is read three times and is best a
+    stored table itself.
     """
     genes = require_genes(common_genes(expr, studies), ", ".join(studies))
     members = samples_of(expr.filter(F.col("study").isin(*studies)))
@@ -108,7 +110,9 @@ def merge_cohorts(
     )
     if score is not None:
         samples = samples.join(score, "patient_id", "left")
-    samples = samples.withColumn("survival_event", F.col("survival_event").cast("int"))
+    samples = settle(
+        samples.withColumn("survival_event", F.col("survival_event").cast("int")), "samples"
+    )
     kept = on_genes(expr, genes).join(
         samples.select(*SAMPLE_KEYS).distinct(), list(SAMPLE_KEYS), "left_semi"
     )
