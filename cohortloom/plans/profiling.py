@@ -64,7 +64,7 @@ def profile_matrix_file(
 ) -> DataFrame:
     """Summary row of a matrix file of unknown separator; the text is parsed once and stored."""
     sep = detect_separator(spark, path)
-    cells = settle(scan_matrix_long(spark, path, dataset, sep=sep, drop_columns=()), "cells")
+    cells = settle(scan_matrix_long(spark, path, dataset, sep=sep, drop_columns=(), keep_unnamed=True), "cells")
     return profile_matrix(cells, main_genes).withColumns(
         {"file": F.lit(path), "separator": F.lit(sep)}
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..cohort import Cohort
 from ..functions.fixed_values import ATTRIBUTE_KEYWORDS
+from ..functions.text import clean_gene_symbol, clean_text, strip
 from ..operators.genes import gene_index, gene_overlap, mean_duplicates, on_genes
 from ..operators.summaries import group_sizes, merge_rows, stack
 from ..session import settle
@@ -63,7 +64,8 @@ def main_dataset(spark: SparkSession, paths: Mapping[str, str], out: str) -> Dat
     write_table(clinical, f"{out}/clinical")
     numeric = scan_wide_dataset(spark, paths["numeric_matrix"], ["patient_id"], "patient_id", first)
     symbols = scan_matrix_long(
-        spark, paths["symbol_matrix"], second, detect_separator(spark, paths["symbol_matrix"])
+        spark, paths["symbol_matrix"], second, detect_separator(spark, paths["symbol_matrix"]),
+        clean_gene=strip,
     )
     converted = convert_gene_ids(numeric.expr, read_alias(spark, paths["alias"]), "drop")
     expr = settle(converted.unionByName(mean_duplicates(symbols)), "expr")
@@ -79,7 +81,7 @@ def visit_dataset(spark: SparkSession, path: str, main_genes: DataFrame, out: st
     """The pre/post cohort, whole and on the main genes; returns the samples per visit and therapy."""
     cells = scan_matrix_long(
         spark, path, VISIT_STUDY, detect_separator(spark, path), "Gene Symbol",
-        sample_pattern=r"^\s*Patient\s+\d+\s+(Pre|Post)-",
+        sample_pattern=r"^\s*Patient\s+\d+\s+(Pre|Post)-", clean_gene=clean_gene_symbol,
     )
     write_cohort(visit_cohort(cells, VISIT_STUDY), f"{out}/visits")
     cohort = read_cohort(spark, f"{out}/visits")
@@ -158,8 +160,9 @@ def portal_datasets(spark: SparkSession, paths: Mapping[str, Mapping[str, str]],
 
     def prepare(study: str):
         files = paths[study]
-        matrix = scan_table(spark, files["expression"], sep="\t", comment="#").columns[0]
-        cells = scan_matrix_long(spark, files["expression"], study, "\t", matrix)
+        cells = scan_matrix_long(
+            spark, files["expression"], study, "\t", clean_gene=clean_text, comment="#"
+        )
         tables = [scan_table(spark, files[kind], sep="\t", comment="#") for kind in ("samples", "patients")]
         cohort, summary = prepare_portal_study(PORTAL_SPECS[study], cells, *tables)
         write_cohort(cohort, f"{out}/{study}")

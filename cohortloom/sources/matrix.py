@@ -17,7 +17,7 @@ from ..functions.numeric import missing_to_null, to_number
 from ..functions.text import clean_gene_id, strip
 from ..cohort import Cohort
 from ..operators.projection import first_present
-from .tables import first_line, header_names
+from .tables import first_line, header_names, without_comment
 
 HEADER_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -48,18 +48,20 @@ def scan_matrix_long(
     clean_gene: Callable[[Column], Column] = clean_gene_id,
     na_tokens: Sequence[str] = NA_TOKENS,
     relabel: DataFrame | None = None,
+    keep_unnamed: bool = False,
+    comment: str | None = None,
 ) -> DataFrame:
     """(study, sample_id, gene, raw, value, gene_row) of a gene x sample matrix.
 
     The gene column is the first known name in the header, else the first
     column. Columns named in ``drop_columns`` (any case) and columns not
-    matching ``sample_pattern`` are left out. Lines without a gene, and lines
-    whose gene matches ``skip_gene_pattern``, are skipped; values beyond the
-    header are ignored. ``raw`` is the text, NULL where missing. ``relabel``
+    matching ``sample_pattern`` are left out. Lines without a gene (unless
+    ``keep_unnamed``) and lines whose gene matches ``skip_gene_pattern`` are
+    skipped; values beyond the header are ignored. ``raw`` is the text, NULL where missing. ``relabel``
     (cell_id, sample_id) replaces column names, and drops columns it lacks,
     once per column instead of once per value.
     """
-    header_line = first_line(spark, path)
+    header_line = first_line(spark, path, comment)
     names = header_names(header_line, sep)
     gene_name = gene_column or first_present(names, GENE_COLUMN_CANDIDATES)
     gene_at = names.index(gene_name)
@@ -77,11 +79,11 @@ def scan_matrix_long(
         named = header.withColumnRenamed("sample_id", "cell_id")
         header = named.join(relabel, "cell_id").select("idx", "sample_id")
 
-    lines = (
-        _field_lines(spark, path, header_line, sep)
-        .withColumn("gene", clean_gene(unquote(F.get("fields", F.lit(gene_at)))))
-        .filter(F.col("gene").isNotNull() & (F.col("gene") != ""))
+    lines = _field_lines(spark, path, header_line, sep, comment).withColumn(
+        "gene", clean_gene(unquote(F.get("fields", F.lit(gene_at))))
     )
+    if not keep_unnamed:
+        lines = lines.filter(F.col("gene").isNotNull() & (F.col("gene") != ""))
     if skip_gene_pattern:
         lines = lines.filter(~F.col("gene").rlike(skip_gene_pattern))
     raw = missing_to_null(unquote(F.col("field")), na_tokens)
@@ -93,7 +95,9 @@ def scan_matrix_long(
     )
 
 
-def _field_lines(spark: SparkSession, path: str, header_line: str, sep: str) -> DataFrame:
+def _field_lines(
+    spark: SparkSession, path: str, header_line: str, sep: str, comment: str | None = None
+) -> DataFrame:
     """(line, fields) of the lines after the header; ``line`` numbers them.
 
     A gzip file is one task, so its lines are spread before they are split.
@@ -105,6 +109,8 @@ def _field_lines(spark: SparkSession, path: str, header_line: str, sep: str) ->
     )
     if path.endswith(".gz"):
         lines = lines.hint("rebalance")
+    if comment:
+        lines = lines.withColumn("value", without_comment(F.col("value"), comment))
     fields = split_fields(F.col("value"), sep)
     return lines.select("line", fields.alias("fields")).filter(F.size("fields") >= 2)
 

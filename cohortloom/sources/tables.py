@@ -101,16 +101,21 @@ def read_alias(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def without_comment(line: Column, comment: str) -> Column:
+    """The line up to its first comment sign outside quotes."""
+    sign = re.escape(comment)
+    unquoted = rf'^((?:[^"{sign}]*+"[^"]*+")*+[^"{sign}]*+)'
+    # Only a line with a quote pays for looking at quotes.
+    return F.when(line.contains('"'), F.regexp_extract(line, unquoted, 1)).otherwise(
+        F.split_part(line, F.lit(comment), F.lit(1))
+    )
+
+
 def _rows_without_comments(
     spark: SparkSession, path: str, sep: str, comment: str, schema: T.StructType, order: list[Column]
 ) -> DataFrame:
     header = first_line(spark, path, comment)
-    sign = re.escape(comment)
-    # A sign inside quotes starts no comment; only a line with a quote pays for looking.
-    unquoted = rf'^((?:[^"{sign}]*+"[^"]*+")*+[^"{sign}]*+)'
-    text = F.when(
-        F.col("value").contains('"'), F.regexp_extract("value", unquoted, 1)
-    ).otherwise(F.split_part("value", F.lit(comment), F.lit(1)))
+    text = without_comment(F.col("value"), comment)
     lines = (
         spark.read.text(path)
         .filter(F.col("value") != header)

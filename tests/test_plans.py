@@ -260,6 +260,7 @@ def test_matrix_profile_file(spark, tmp_path):
     row = profile_matrix_file(spark, str(path), "D", main).first().asDict()
     assert (row["separator"], row["n_unique_genes"], row["n_samples"], row["n_missing_cells"]) == (";", 1, 2, 1)
     assert (row["n_numeric_samples"], row["n_common_genes"], row["n_main_genes"]) == (1, 1, 2)
+    assert (row["n_rows"], row["n_missing_genes"]) == (3, 1)
 
 
 def test_matrix_profile_counts_missing_genes(spark):

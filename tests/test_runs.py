@@ -85,7 +85,7 @@ def test_portal_datasets(spark, put, tmp_path):
 
     def study(name, gene):
         return {
-            "expression": put(f"{name}_e.txt", f"Hugo_Symbol\tEntrez_Gene_Id\ts1\ts2\nTP53\t1\t1.0\tNA\n{gene}\t2\t3\t4\n"),
+            "expression": put(f"{name}_e.txt", f"#version\nHugo_Symbol\tEntrez_Gene_Id\ts1\ts2\n# note\tx\ty\tz\nTP53\t1\t1.0\tNA\n{gene}\t2\t3\t4\n"),
             "samples": put(f"{name}_s.txt", "#x\nSAMPLE_ID\tPATIENT_ID\tRESPONSE\ns1\tp1\tCR\ns2\tp2\tSD\ns3\tp3\tPD\n"),
             "patients": put(f"{name}_p.txt", "#x\nPATIENT_ID\tSEX\np1\tMale\n"),
         }
