@@ -146,7 +146,9 @@ def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
 
 def sum_cells(cells: DataFrame, metadata: DataFrame, study: str, order: str = "row") -> Cohort:
     """Counts of a long cell table (study, cell_id, gene, value) summed per sample."""
-    labelled = label_cells(metadata, cells.select("cell_id").distinct(), order)
+    # Cell ids and labelled cells are each read twice.
+    header = settle(cells.select("cell_id").distinct(), "cells")
+    labelled = settle(label_cells(metadata, header, order), "labelled")
     placed = assign_cells(cells, cell_to_sample(labelled, F.col("row")))
     return sum_cohort(labelled, pseudobulk_sum(placed), study)
 
@@ -155,7 +157,7 @@ def sum_cell_file(
     spark: SparkSession, path: str, metadata: DataFrame, study: str, sep: str = ",", order: str = "row"
 ) -> Cohort:
     """Counts of a gene x cell text summed per sample."""
-    labelled = label_cells(metadata, matrix_columns(spark, path, sep), order)
+    labelled = settle(label_cells(metadata, matrix_columns(spark, path, sep), order), "labelled")
     cells = scan_cell_matrix(spark, path, study, cell_to_sample(labelled, F.col("row")), sep)
     return sum_cohort(labelled, pseudobulk_sum(cells), study)
 
