@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of every operator: ASCII only.
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 BLANK = r"[\x20\x09-\x0D]+"
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -37,9 +38,48 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare != "", F.split(bare, BLANK)).otherwise(F.array().cast("array<string>"))
 
 
-def remainder(ids: Column, divisor: int) -> Column:
-    """crc32 of the id written as text, modulo ``divisor``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % divisor
+def ahead(items: Column, by: int) -> Column:
+    """The array without its first ``by`` elements."""
+    return F.slice(items, by + 1, F.greatest(F.size(items) - by, F.lit(0)))
+
+
+def paired(items: Column, by: int, join) -> Column:
+    """``join(items[i], items[i + by])`` for every i that has both; ``items`` should be a plain column.
+
+    Written with slices instead of an index into the array, as a lambda that
+    refers to an outer array may make Spark build that array once per element.
+    """
+    return F.zip_with(F.slice(items, 1, F.greatest(F.size(items) - by, F.lit(0))), ahead(items, by), join)
+
+
+def with_windows(df: DataFrame, source: str, name: str, size: int, join) -> DataFrame:
+    """Adds an array with one value for every ``size`` consecutive elements of the array ``source``.
+
+    A window of ``width`` elements and the one that begins ``step`` later make one of
+    ``width + step``. Each doubling is a projection of its own, so that no array is computed twice.
+    """
+    width, made = 1, [source]
+    while width < size:
+        step = min(width, size - width)
+        width += step
+        made.append(name if width == size else f"{name}_{width}")
+        df = df.select("*", paired(F.col(made[-2]), step, join).alias(made[-1]))
+    return df.drop(*made[1:-1])
+
+
+def hash_pair(a: Column, b: Column) -> Column:
+    return F.xxhash64(a, b)
+
+
+def exploded(df: DataFrame, items: Column, name: str, *keep) -> DataFrame:
+    """A row for every element of an array that is not null, with the columns to keep.
+
+    The outer form is used as the inner one makes Spark push a filter on the
+    array's size below the projections that build the array, which then build
+    it again, one inside the other.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import decontaminate, quality_rules, simhash, urls
 from .common import Run
 
-_MODULES = (simhash,)
+_MODULES = (simhash, decontaminate, urls, quality_rules)
 
 QUERIES: dict[str, Run] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
