@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, quality_rules, simhash, urls
+from . import decontaminate, line_dedup, quality_rules, simhash, toxicity, urls, warc
 from .common import Run
 
-_MODULES = (simhash, decontaminate, urls, quality_rules, line_dedup)
+_MODULES = (simhash, decontaminate, urls, quality_rules, line_dedup, warc, toxicity)
 
 QUERIES: dict[str, Run] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
