@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, quality_classifier, quality_rules, sentence_pieces, simhash, toxicity, urls, warc
+from . import (
+    decontaminate,
+    language_model,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    sentence_pieces,
+    simhash,
+    toxicity,
+    urls,
+    warc,
+)
 from .common import Run
 
-_MODULES = (simhash, decontaminate, urls, sentence_pieces, quality_rules, warc, line_dedup, toxicity, quality_classifier)
+_MODULES = (
+    simhash,
+    decontaminate,
+    urls,
+    language_model,
+    sentence_pieces,
+    quality_rules,
+    warc,
+    line_dedup,
+    toxicity,
+    quality_classifier,
+)
 
 QUERIES: dict[str, Run] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
