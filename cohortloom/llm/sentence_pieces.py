@@ -221,20 +221,18 @@ _OTHER = ArrayType(StructType([StructField("score", DoubleType()), StructField("
 
 
 def with_pieces(
-    docs: DataFrame, model: Pieces, keep: list[str], text_col: str = "text", n: int = N_BEST, prefix: str = ""
+    docs: DataFrame, model: Pieces, keep: list[str], text_col: str = "text", n: int = N_BEST
 ) -> DataFrame:
     """The columns to keep, and ``ids``, ``n_pieces``, ``score``, ``others`` and ``round_trip`` of every text.
 
     ``ids`` is the best segmentation, ``others`` up to n - 1 further ones as
     edits of it, in order. ``round_trip`` tells whether the ids decode to the
     very text. Null and empty texts have no piece and score 0. Whole texts are
-    encoded; a task holds one of them at a time beside its batch. Columns that
-    are kept under a new column's name are refused; ``prefix`` renames the new ones.
+    encoded; a task holds one of them at a time beside its batch. Where a kept
+    column has a new column's name, underscores are added to the new one.
     """
-    names = [prefix + x for x in ("ids", "n_pieces", "score", "others", "round_trip")]
-    clash = {x.lower() for x in names} & {c.lower() for c in keep}
-    if clash:
-        raise ValueError(f"columns of these names are there: {sorted(clash)}")
+    kept = docs.select(*[col(c) for c in keep])
+    names = [free_name(kept, x) for x in ("ids", "n_pieces", "score", "others", "round_trip")]
     kinds = [ArrayType(IntegerType()), LongType(), DoubleType(), _OTHER, BooleanType()]
     schema = StructType([*[docs.schema[c] for c in keep], *[StructField(x, k) for x, k in zip(names, kinds)]])
     rows_at_once = 512
