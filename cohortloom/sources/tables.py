@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +38,69 @@ def first_line(spark: SparkSession, path: str, comment: str | None = None) -> st
 
 
 def header_names(line: str, sep: str) -> list[str]:
-    """Column names of a header line: stripped, empty ones named, repeated ones numbered ``.1``, ``.2``."""
+    """Column names of a header line: stripped, empty ones named, repeated ones numbered ``.1``, ``.2``.
+
+    Names that differ only in case count as repeated, as a table of Spark cannot tell them apart.
+    """
     names: list[str] = []
-    seen: dict[str, int] = {}
+    taken: set[str] = set()
     for i, name in enumerate(next(csv.reader([line], delimiter=sep))):
-        name = name.strip() or f"Unnamed: {i}"
-        count = seen.get(name, 0)
-        seen[name] = count + 1
-        names.append(f"{name}.{count}" if count else name)
+        name = base = name.strip() or f"Unnamed: {i}"
+        count = 0
+        while name.lower() in taken:
+            count += 1
+            name = f"{base}.{count}"
+        taken.add(name.lower())
+        names.append(name)
     return names
 
 
-def detect_separator(spark: SparkSession, path: str) -> str:
+def data_lines(spark: SparkSession, paths: str | Sequence[str], comment: str | None = None) -> DataFrame:
+    """(value) of the lines after the header of every file: its first line that is neither blank nor a comment.
+
+    The CSV reader drops the first line of a file and no other, even if it
+    comes again; a separator that no text holds keeps lines whole. Blank lines
+    and, with ``comment``, lines that begin with it are left out.
+    """
+    options = {"sep": "\u0001\u0002\u0001", "quote": "", "header": True, "comment": comment or ""}
+    return spark.read.csv(paths if isinstance(paths, str) else list(paths), schema="value string", **options)
+
+
+def header_groups(
+    spark: SparkSession, path: str, sep: str = ",", comment: str | None = None
+) -> list[tuple[str, str | list[str]]]:
+    """Header lines of a file or folder, each with the files that have it.
+
+    A single file costs the read of its first line, a folder one pass over its
+    first lines' blocks. Files whose columns differ in more than their order
+    are refused.
+    """
+    files = spark.read.text(path).inputFiles()
+    if len(files) < 2:
+        return [(first_line(spark, path, comment), path)]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        "value",
+        F.monotonically_increasing_id().alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    lines = lines.filter((F.col("block") == 0) & (F.btrim("value") != ""))
+    if comment:
+        lines = lines.filter(~F.col("value").startswith(comment))
+    groups: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "line").alias("header")).orderBy("file").collect():
+        groups.setdefault(row["header"], []).append(row["file"])
+    names = {frozenset(header_names(header, sep)) for header in groups}
+    if len(names) > 1:
+        raise ValueError(f"the files of {path} have different columns")
+    if not groups:
+        raise ValueError(f"no line in {path}")
+    return list(groups.items()) if len(groups) > 1 else [(next(iter(groups)), path)]
+
+
+def detect_separator(spark: SparkSession, path: str, comment: str | None = None) -> str:
     """First of comma, tab and semicolon that splits the header; else what the header suggests."""
-    line = first_line(spark, path)
+    line = first_line(spark, path, comment)
     for sep in SEPARATORS:
         if len(next(csv.reader([line], delimiter=sep))) > 1:
             return sep
@@ -72,26 +122,40 @@ def scan_table(
     na_tokens: Sequence[str] = NA_TOKENS,
     comment: str | None = None,
     with_row: bool = False,
+    multi_line: bool = False,
+    max_columns: int = 1_000_000,
 ) -> DataFrame:
     """All-text table of a delimited file or folder, plain or gzipped.
 
-    Missing-value tokens become NULL. With ``comment``, comment lines are
-    dropped and a line is cut at a later comment sign, which leaves its
+    Missing-value tokens become NULL. A doubled quote inside quotes is a quote,
+    a backslash a backslash. ``multi_line`` lets quoted fields hold line
+    breaks; a file is then read by one task. Files of a folder that order their
+    columns differently are matched by name. With ``comment``, comment lines
+    are dropped and a line is cut at a later comment sign, which leaves its
     remaining columns NULL. ``with_row`` adds the file order as ``_row``.
+    Tables with more than ``max_columns`` columns fail.
     """
-    names = header_names(first_line(spark, path, comment), sep)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    order = [row_order().alias("_row")] if with_row else []
-    if comment is None:
-        rows = spark.read.csv(path, schema=schema, sep=sep, header=True, maxColumns=1_000_000)
-        rows = rows.select(*[F.col(f"`{c}`") for c in names], *order)
-    else:
-        rows = _rows_without_comments(spark, path, sep, comment, schema, order)
-    # Spark splits only plain files; what a gzip file yields is spread by the next shuffle.
-    return rows.select(
-        *[missing_to_null(F.col(f"`{c}`"), na_tokens).alias(c) for c in names],
-        *(["_row"] if with_row else []),
-    )
+    if comment is not None and multi_line:
+        raise ValueError("comments are looked for line by line")
+    parts = []
+    for header, files in header_groups(spark, path, sep, comment):
+        names = header_names(header, sep)
+        # read by place, so that no name can clash with another
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        order = [row_order().alias("_row")] if with_row else []
+        if comment is None:
+            options = {"escape": '"', "header": True, "multiLine": multi_line, "maxColumns": max_columns}
+            rows = spark.read.csv(files, schema=schema, sep=sep, **options).select(*schema.names, *order)
+        else:
+            rows = _rows_without_comments(spark, files, sep, comment, schema, order)
+        # Spark splits only plain files; what a gzip file yields is spread by the next shuffle.
+        parts.append(
+            rows.select(
+                *[missing_to_null(F.col(f"_c{i}"), na_tokens).alias(c) for i, c in enumerate(names)],
+                *(["_row"] if with_row else []),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_alias(spark: SparkSession, path: str) -> DataFrame:
@@ -112,16 +176,13 @@ def without_comment(line: Column, comment: str) -> Column:
 
 
 def _rows_without_comments(
-    spark: SparkSession, path: str, sep: str, comment: str, schema: T.StructType, order: list[Column]
+    spark: SparkSession, files: str | list[str], sep: str, comment: str, schema: T.StructType, order: list[Column]
 ) -> DataFrame:
-    header = first_line(spark, path, comment)
-    text = without_comment(F.col("value"), comment)
     lines = (
-        spark.read.text(path)
-        .filter(F.col("value") != header)
-        .select(text.alias("text"), *order)
+        data_lines(spark, files, comment)
+        .select(without_comment(F.col("value"), comment).alias("text"), *order)
         .filter(F.btrim("text") != "")
     )
-    columns = ", ".join(f"`{field.name.replace('`', '``')}` string" for field in schema)
-    parsed = F.from_csv("text", columns, {"sep": sep})
+    columns = ", ".join(f"{field.name} string" for field in schema)
+    parsed = F.from_csv("text", columns, {"sep": sep, "escape": '"'})
     return lines.withColumn("parsed", parsed).select("parsed.*", *(["_row"] if order else []))

@@ -11,7 +11,7 @@ from cohortloom.plans.metadata import COHORT_SPECS, extract_metadata, standardis
 from cohortloom.sinks.tables import write_table
 from cohortloom.sources import attributes as A
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
-from cohortloom.sources.matrix import matrix_columns, scan_cell_matrix, scan_matrix_long
+from cohortloom.sources.matrix import cell_columns, scan_cell_matrix, scan_matrix_long
 from cohortloom.sources.tables import detect_separator, header_names, matrix_header, scan_table
 
 
@@ -87,9 +87,9 @@ def test_scan_matrix_selects_samples(spark, tmp_path):
 
 def test_scan_cell_matrix(spark, tmp_path):
     path = put(tmp_path, "c.txt", "\tA_P1_x\tB_P2_y\tC_P1_z\nPre_P1\tPre_P1\tPost_P2\tPre_P1\n\nG1\t1\t2\t3\t9\n G1 \t4\tx\t\n")
-    assert rows(matrix_columns(spark, path, "\t")) == [(0, "A_P1_x"), (1, "B_P2_y"), (2, "C_P1_z")]
+    assert rows(cell_columns(spark, path, "\t")) == [(0, "A_P1_x"), (1, "B_P2_y"), (2, "C_P1_z")]
     samples = spark.createDataFrame([("A_P1_x", "S1"), ("C_P1_z", "S1")], "cell_id string, sample_id string")
-    cells = scan_cell_matrix(spark, path, "S", samples, "\t")
+    cells = scan_cell_matrix(spark, path, "S", samples, "\t", skip_gene_pattern="^(Pre|Post)_", min_fields=2)
     assert rows(cells, "sample_id", "gene", "raw", "value") == sorted(
         [("S1", "G1", "1", 1.0), ("S1", "G1", "3", 3.0), ("S1", "G1", "4", 4.0), ("S1", "G1", "", None)], key=repr
     )
@@ -190,3 +190,60 @@ def test_write_table_round_trip(spark, tmp_path):
     write_table(df, str(tmp_path / "c"), "csv")
     assert rows(scan_table(spark, str(tmp_path / "c"))) == [("s", "a", "1.5"), ("t", None, None)]
     assert strip(F.lit(" x ")) is not None
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    path = put(tmp_path, "q.csv", 'a,b,c\n1,"a ""b"" c",z\n3,"k\\",m\n4,"two\nlines",n\n')
+    assert rows(scan_table(spark, path, multi_line=True)) == sorted(
+        [("1", 'a "b" c', "z"), ("3", "k\\", "m"), ("4", "two\nlines", "n")], key=repr
+    )
+    commented = put(tmp_path, "qc.csv", '# x\na,b\n1,"a ""b"" c"\n')
+    assert rows(scan_table(spark, commented, comment="#")) == [("1", 'a "b" c')]
+    matrix = put(tmp_path, "qm.csv", 'Gene,s1\n"G ""1""",2\n')
+    assert rows(scan_matrix_long(spark, matrix, "S", clean_gene=strip), "gene", "value") == [('G "1"', 2.0)]
+
+
+def test_names_that_differ_in_case(spark, tmp_path):
+    table = scan_table(spark, put(tmp_path, "c.csv", "RESPONSE,response\nPD,CR\n"))
+    assert table.columns == ["RESPONSE", "response.1"] and rows(table) == [("PD", "CR")]
+
+
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    path = put(tmp_path, "h.csv", "Gene,s1\nA,1\nGene,s1\nB,2\n")
+    assert rows(scan_matrix_long(spark, path, "S"), "gene", "raw") == [("A", "1"), ("B", "2"), ("Gene", "s1")]
+    assert rows(scan_table(spark, path)) == [("A", "1"), ("B", "2"), ("Gene", "s1")]
+
+
+def test_files_of_a_folder_are_matched_by_name(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    put(folder, "1.csv", "Gene,s1,s2\nA,1,2\n")
+    put(folder, "2.csv", "Gene,s2,s1\nB,3,4\n")
+    cells = scan_matrix_long(spark, str(folder), "S")
+    assert rows(cells, "gene", "sample_id", "value") == [("A", "s1", 1.0), ("A", "s2", 2.0), ("B", "s1", 4.0), ("B", "s2", 3.0)]
+    assert cells.select("gene_row").distinct().count() == 2
+    assert rows(scan_table(spark, str(folder)), "Gene", "s1", "s2") == [("A", "1", "2"), ("B", "4", "3")]
+    put(folder, "3.csv", "Gene,s1,other\nC,1,2\n")
+    with pytest.raises(ValueError, match="different columns"):
+        scan_table(spark, str(folder))
+
+
+def test_missing_genes_and_short_lines(spark, tmp_path):
+    path = put(tmp_path, "na.csv", "Gene,s1\nNA,1\nNone,2\nnull,3\nA,4\nlonely\n")
+    assert rows(scan_matrix_long(spark, path, "S"), "gene", "raw") == [("A", "4")]
+    kept = scan_matrix_long(spark, path, "S", keep_unnamed=True)
+    assert kept.filter("gene is null").count() == 3
+
+
+def test_gene_candidates_of_a_study(spark, tmp_path):
+    path = put(tmp_path, "p.txt", "Hugo_Symbol\tgene_id\ts1\nTP53\t7157\t1\n")
+    cells = scan_matrix_long(
+        spark, path, "S", "\t", gene_candidates=("Hugo_Symbol", "Gene Symbol", "GENE_SYMBOL"), drop_columns=("gene_id",)
+    )
+    assert rows(cells, "sample_id", "gene") == [("s1", "TP53")]
+
+
+def test_counts_keep_genes_called_pre(spark, tmp_path):
+    path = put(tmp_path, "n.csv", ",A,B\nPre_B1,1,2\nG,3,4\n")
+    samples = spark.createDataFrame([("A", "S1"), ("B", "S1")], "cell_id string, sample_id string")
+    assert rows(scan_cell_matrix(spark, path, "S", samples).select("gene").distinct()) == [("G",), ("Pre_B1",)]
