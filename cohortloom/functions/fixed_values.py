@@ -134,6 +134,11 @@ GENE_COLUMN_CANDIDATES = (
     "Unnamed: 0",
 )
 
+# The gene column of a portal study, of most extra cohorts, and of the targeted extra cohort.
+PORTAL_GENE_COLUMNS = ("Hugo_Symbol", "Gene Symbol", "GENE_SYMBOL")
+EXTRA_GENE_COLUMNS = ("Gene", "gene", "GENE", "Gene Name", "Unnamed: 0")
+TARGETED_GENE_COLUMNS = ("GENE_ID", "Gene", "gene", "GENE", "Gene Name", "Unnamed: 0")
+
 # Columns of cell metadata that may name the sample, by preference.
 SAMPLE_COLUMN_CANDIDATES = (
     "sample",
@@ -185,8 +190,8 @@ FORMAT_RULES = (
     ("fpkm", "FPKM"),
     ("zscore", "z-score"),
     ("count", "counts"),
-    ("mrna", "mRNA expression"),
-    ("expression", "mRNA expression"),
+    ("mrna", "mRNA expression, format exact à confirmer"),
+    ("expression", "mRNA expression, format exact à confirmer"),
 )
 FORMAT_UNKNOWN = "unknown"
 

@@ -83,7 +83,7 @@ def last_symbol_map(ids: DataFrame, symbols: DataFrame) -> DataFrame:
     """
     places = _first_rows(symbols, "symbol").withColumnRenamed("first_row", "right_row")
     in_several = places.groupBy("symbol").agg((F.count(F.lit(1)) > 1).alias("shared"))
-    places = settle(places.join(in_several, "symbol"), "symbol-places")
+    places = places.join(in_several, "symbol")
     entry = F.struct("symbol", "right_row")
     latest = places.groupBy("protein_id").agg(
         F.max_by(entry, "right_row").alias("any"),

@@ -25,7 +25,7 @@ from ..operators.ordering import first_per_key
 from ..operators.projection import valid_sample
 from ..operators.summaries import label_counts
 from ..session import settle
-from ..sources.matrix import matrix_columns, scan_cell_matrix
+from ..sources.matrix import cell_columns, scan_cell_matrix
 from . import Cohort
 
 
@@ -132,6 +132,8 @@ def assign_cells(cells: DataFrame, cell_samples: DataFrame) -> DataFrame:
 def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
     """Summed counts, stored, with the response and number of cells of their samples."""
     counts = settle(counts, "counts")
+    if counts.isEmpty():
+        raise ValueError(f"no cell of {study} belongs to a sample, or no gene has a row")
     rolled = roll_up_cells(labelled, F.col("row")).select(
         F.lit(study).alias("study"),
         "sample_id",
@@ -146,9 +148,7 @@ def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
 
 def sum_cells(cells: DataFrame, metadata: DataFrame, study: str, order: str = "row") -> Cohort:
     """Counts of a long cell table (study, cell_id, gene, value) summed per sample."""
-    # Cell ids and labelled cells are each read twice.
-    header = settle(cells.select("cell_id").distinct(), "cells")
-    labelled = settle(label_cells(metadata, header, order), "labelled")
+    labelled = label_cells(metadata, cells.select("cell_id").distinct(), order)
     placed = assign_cells(cells, cell_to_sample(labelled, F.col("row")))
     return sum_cohort(labelled, pseudobulk_sum(placed), study)
 
@@ -157,7 +157,7 @@ def sum_cell_file(
     spark: SparkSession, path: str, metadata: DataFrame, study: str, sep: str = ",", order: str = "row"
 ) -> Cohort:
     """Counts of a gene x cell text summed per sample."""
-    labelled = settle(label_cells(metadata, matrix_columns(spark, path, sep), order), "labelled")
+    labelled = label_cells(metadata, cell_columns(spark, path, sep), order)
     cells = scan_cell_matrix(spark, path, study, cell_to_sample(labelled, F.col("row")), sep)
     return sum_cohort(labelled, pseudobulk_sum(cells), study)
 
@@ -201,6 +201,8 @@ def normalise_samples(samples: DataFrame) -> DataFrame:
 def mean_cohort(samples: DataFrame, means: DataFrame, order: str = "row") -> Cohort:
     """Averaged measurements, stored, with the first metadata row of their samples."""
     means = settle(means, "means")
+    if means.isEmpty():
+        raise ValueError("no cell belongs to a sample, or no gene has a row")
     described = first_per_key(
         samples.select(
             "sample_id", "patient_id", "response", "response_binary", "dataset_role", "notes", order
@@ -226,8 +228,9 @@ def mean_cell_file(
 ) -> Cohort:
     """A gene x cell text averaged per sample, cells found through the patient in their id."""
     samples = normalise_samples(samples)
-    assigned = cells_of_patients(matrix_columns(spark, path, sep), samples, F.col(order))
-    cells = scan_cell_matrix(spark, path, study, assigned, sep)
+    assigned = cells_of_patients(cell_columns(spark, path, sep), samples, F.col(order))
+    # visit rows and lines of one field stand under the header of such a text
+    cells = scan_cell_matrix(spark, path, study, assigned, sep, skip_gene_pattern="^(Pre|Post)_", min_fields=2)
     return mean_cohort(samples, pseudobulk_mean(cells), order)
 
 

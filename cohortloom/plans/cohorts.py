@@ -28,7 +28,6 @@ from ..operators.genes import (
 )
 from ..operators.matching import join_on_sample_key, reconcile
 from ..operators.summaries import distinct_texts, label_counts, mean_of_numeric_samples
-from ..session import settle
 from . import Cohort
 
 
@@ -72,16 +71,14 @@ def visit_cohort(
 
 
 def gene_map(alias: DataFrame, unmatched: Literal["drop", "keep"]) -> DataFrame:
-    """(id, symbol) from an alias table (protein_id, alias, source, row), stored.
+    """(id, symbol) from an alias table (protein_id, alias, source, row).
 
     ``drop`` maps numeric ids and lets the latest symbol win; ``keep`` maps
     Ensembl ids and lets the first symbol win.
     """
     if unmatched == "drop":
-        pairs = last_symbol_map(entrez_aliases(alias), symbol_aliases(alias))
-    else:
-        pairs = first_symbol_map(ensembl_aliases(alias), preferred_symbol_aliases(alias))
-    return settle(pairs, "gene-map")
+        return last_symbol_map(entrez_aliases(alias), symbol_aliases(alias))
+    return first_symbol_map(ensembl_aliases(alias), preferred_symbol_aliases(alias))
 
 
 def convert_gene_ids(
@@ -99,9 +96,9 @@ def merge_cohorts(
     Clinical columns and the score are joined to the samples, not to the
     measurements: the long table is only filtered. A sample needs a clinical
     row of its study with a label; the score is optional and matched by
-    patient alone. Genes and samples are stored, so that the filters on the
-    long table know their size; ``expr`` is read three times and is best a
-    stored table itself.
+    patient alone. Genes are stored, so that the filter on the long table
+    knows their size; ``expr`` is read three times and is best a stored table
+    itself.
     """
     genes = require_genes(common_genes(expr, studies), ", ".join(studies))
     members = samples_of(expr.filter(F.col("study").isin(*studies)))
@@ -110,9 +107,7 @@ def merge_cohorts(
     )
     if score is not None:
         samples = samples.join(score, "patient_id", "left")
-    samples = settle(
-        samples.withColumn("survival_event", F.col("survival_event").cast("int")), "samples"
-    )
+    samples = samples.withColumn("survival_event", F.col("survival_event").cast("int"))
     kept = on_genes(expr, genes).join(
         samples.select(*SAMPLE_KEYS).distinct(), list(SAMPLE_KEYS), "left_semi"
     )
@@ -120,8 +115,11 @@ def merge_cohorts(
 
 
 def align_to_genes(expr: DataFrame, genes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Measurements on a target gene list, and the overlap per study."""
-    return on_genes(expr, genes), gene_overlap(genes, expr)
+    """Measurements on a target gene list, and the overlap per study; fails if no gene is on the list."""
+    aligned = on_genes(expr, genes)
+    if aligned.isEmpty():
+        raise ValueError("no common gene found between the measurements and the gene list")
+    return aligned, gene_overlap(genes, expr)
 
 
 def attach_metadata(expr: DataFrame, metadata: DataFrame) -> Cohort:
@@ -146,32 +144,37 @@ def merge_labelled_studies(
 ) -> tuple[Cohort, DataFrame]:
     """Union of studies on their common genes, and one summary row per study.
 
-    Genes are what the labelled samples of every study have. A missing study
-    name is filled in, and samples without label are dropped on request.
+    Genes are those that every dataset has, in whatever sample. Datasets are
+    told apart by their names here; the study column, which may name something
+    else, is filled in where it is missing. Samples without label are dropped
+    on request.
     """
-    parts = []
+
+    def named(table: DataFrame, name: str) -> DataFrame:
+        return table.withColumn("study", F.coalesce("study", F.lit(name)) if "study" in table.columns else F.lit(name))
+
+    parts, owned = [], []
     for name, cohort in cohorts.items():
-        samples = cohort.samples.withColumn("study", F.coalesce("study", F.lit(name)))
+        samples = named(cohort.samples, name).withColumn("_dataset", F.lit(name))
         if drop_missing:
             samples = samples.dropna(subset=["response_binary"])
-        expr = cohort.expr.withColumn("study", F.coalesce("study", F.lit(name))).join(
-            samples.select(*SAMPLE_KEYS), list(SAMPLE_KEYS), "left_semi"
-        )
-        parts.append(Cohort(samples, expr))
+        all_expr = named(cohort.expr, name)
+        owned.append(all_expr.select(F.lit(name).alias("study"), "gene"))
+        parts.append(Cohort(samples, all_expr.join(samples.select(*SAMPLE_KEYS), list(SAMPLE_KEYS), "left_semi")))
     samples = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.samples for p in parts]
     )
     expr = reduce(DataFrame.unionByName, [p.expr for p in parts])
-    genes = require_genes(common_genes(expr, list(cohorts)), ", ".join(cohorts))
+    genes = require_genes(common_genes(reduce(DataFrame.unionByName, owned), list(cohorts)), ", ".join(cohorts))
     n_genes = genes.count()
     formats = (
         distinct_texts(F.col("expression_format"))
         if "expression_format" in samples.columns
         else F.lit(None).cast("string")
     )
-    summary = samples.groupBy(F.col("study").alias("source_dataset")).agg(
+    summary = samples.groupBy(F.col("_dataset").alias("source_dataset")).agg(
         F.count(F.lit(1)).alias("n_samples"),
         *label_counts(F.col("response_binary")),
         formats.alias("expression_formats"),
     ).withColumn("n_common_genes", F.lit(n_genes).cast("bigint"))
-    return Cohort(samples, on_genes(expr, genes)), summary
+    return Cohort(samples.drop("_dataset"), on_genes(expr, genes)), summary

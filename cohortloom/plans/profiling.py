@@ -40,17 +40,26 @@ def relevant_names(names: DataFrame, column: str, keywords: Sequence[str]) -> Da
     return names.filter(matches_keywords(F.col(column), keywords))
 
 
-def profile_relevant(df: DataFrame, keywords: Sequence[str], max_columns: int = 25, first: int = 12) -> DataFrame:
-    """Distinct values of the first relevant columns."""
+def profile_relevant(
+    df: DataFrame, keywords: Sequence[str], max_columns: int | None = None, first: int = 12
+) -> DataFrame:
+    """Number and first examples of the distinct values of the relevant columns, of all unless told otherwise."""
     return distinct_values(df, relevant_columns(df, keywords)[:max_columns], first)
 
 
 def profile_matrix(cells: DataFrame, main_genes: DataFrame, first: int = 20) -> DataFrame:
-    """Per study: shape of a scanned matrix, numeric samples among the first ones, overlap with the main genes."""
+    """Per study: shape of a scanned matrix, numeric samples among the first ones, overlap with the main genes.
+
+    The first samples are those that stand first in the header, if the cells
+    have a ``column``; else those with the smallest ids.
+    """
     overlap = gene_overlap(main_genes, cells.filter(F.col("gene").isNotNull()))
+    flags, order = numeric_samples(cells), ["sample_id"]
+    if "column" in cells.columns:
+        places = cells.groupBy("study", "sample_id").agg(F.min("column").alias("_place"))
+        flags, order = flags.join(places, ["study", "sample_id"]), ["_place", "sample_id"]
     heads = (
-        numeric_samples(cells)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("study").orderBy("sample_id")))
+        flags.withColumn("_rank", F.row_number().over(Window.partitionBy("study").orderBy(*order)))
         .filter(F.col("_rank") <= first)
         .groupBy("study")
         .agg(F.count_if("is_numeric").alias("n_numeric_samples"))
@@ -60,11 +69,14 @@ def profile_matrix(cells: DataFrame, main_genes: DataFrame, first: int = 20) ->
 
 
 def profile_matrix_file(
-    spark: SparkSession, path: str, dataset: str, main_genes: DataFrame
+    spark: SparkSession, path: str, dataset: str, main_genes: DataFrame, comment: str | None = None
 ) -> DataFrame:
     """Summary row of a matrix file of unknown separator; the text is parsed once and stored."""
-    sep = detect_separator(spark, path)
-    cells = settle(scan_matrix_long(spark, path, dataset, sep=sep, drop_columns=(), keep_unnamed=True), "cells")
+    sep = detect_separator(spark, path, comment)
+    cells = scan_matrix_long(
+        spark, path, dataset, sep=sep, drop_columns=(), keep_unnamed=True, comment=comment, with_column=True
+    )
+    cells = settle(cells, "cells")
     return profile_matrix(cells, main_genes).withColumns(
         {"file": F.lit(path), "separator": F.lit(sep)}
     )

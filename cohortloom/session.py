@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     name a folder that all executors see.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    on_cluster = not context.master.startswith("local")
     if not folder:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if on_cluster:
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = _local_folders.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="cohortloom-")
-        )
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="cohortloom-")
+        folder = _local_folders[context.applicationId]
+    elif on_cluster and re.match("/tmp/|/var/tmp/|file:/+(tmp|var/tmp)/", folder + "/"):
+        # it may be mounted on all of them, which cannot be told from here
+        warnings.warn(f"spark.checkpoint.dir is {folder}: every executor must see that folder", stacklevel=3)
     return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/cohortloom/{label}-{uuid.uuid4().hex}"
+    """Fresh path below the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/cohortloom/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..cohort import Cohort
 from ..operators.summaries import stack
@@ -30,7 +31,10 @@ def write_cohort(cohort: Cohort, path: str) -> None:
 
 
 def read_cohort(spark: SparkSession, path: str) -> Cohort:
-    expr = spark.read.parquet(f"{path}/expr").withColumn("study", F.col("study").cast("string"))
+    """A stored cohort; the study, which is a folder's name, is read as text and not guessed to be a number."""
+    stored = spark.read.parquet(f"{path}/expr").schema
+    schema = StructType([StructField(f.name, StringType() if f.name == "study" else f.dataType) for f in stored])
+    expr = spark.read.schema(schema).parquet(f"{path}/expr")
     return Cohort(spark.read.parquet(f"{path}/samples"), expr.select("study", "sample_id", "gene", "value"))
 
 

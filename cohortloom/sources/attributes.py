@@ -22,6 +22,7 @@ from ..functions.text import (
     strip,
 )
 from ..operators.ordering import number_within
+from ..session import settle
 
 
 def scan_attribute_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -61,7 +62,8 @@ def named_attributes(lines: DataFrame, prefixes: Sequence[str] = ATTRIBUTE_PREFI
     useful = F.lit(False)
     for prefix in prefixes:
         useful = useful | F.col("key").startswith(prefix)
-    lines = lines.filter(useful)
+    # read several times below: stored once, with its line numbers
+    lines = settle(lines.filter(useful), "attribute-lines")
     is_characteristic = F.col("key") == CHARACTERISTICS_KEY
 
     labelled = lines.filter(is_characteristic).select(
@@ -126,14 +128,34 @@ def _settle_collisions(named: DataFrame) -> DataFrame:
     return untouched.unionByName(walked)
 
 
+#: Columns that attribute names may become; tables of more names are refused, or kept as maps.
+MAX_NAMES = 10_000
+
+
+def attribute_maps(attributes: DataFrame) -> DataFrame:
+    """One row per sample of a file, with a map from every name to its value; names need not be known.
+
+    Names are one per line of the file, which bounds what is gathered for a sample. A null name is left out.
+    """
+    entry = F.struct("name", "value")
+    return (
+        attributes.filter(F.col("name").isNotNull())
+        .groupBy("file", "sample_idx")
+        .agg(F.map_from_entries(F.array_sort(F.collect_set(entry))).alias("attributes"))
+    )
+
+
 def pivot_attributes(attributes: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row per sample of a file, one column per name; shorter lines are padded with NULL.
 
     Without ``names`` the distinct names are read first: they are the columns
-    of the result, some tens of words.
+    of the result, at most ``MAX_NAMES``; more of them fail.
     """
     if names is None:
-        names = sorted(row[0] for row in attributes.select("name").distinct().collect())
+        found = attributes.select("name").dropna().distinct().limit(MAX_NAMES + 1).collect()
+        if len(found) > MAX_NAMES:
+            raise ValueError(f"more than {MAX_NAMES} attribute names: use attribute_maps")
+        names = sorted(row[0] for row in found)
     return (
         attributes.groupBy("file", "sample_idx").pivot("name", list(names)).agg(F.first("value", ignorenulls=True))
     )

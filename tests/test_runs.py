@@ -2,9 +2,16 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from cohortloom.cohort import Cohort
 from cohortloom.plans import runs
-from cohortloom.sinks.tables import read_cohort
+from cohortloom.plans.cells import mean_cell_file, sum_cell_file
+from cohortloom.plans.cohorts import align_to_genes, merge_labelled_studies
+from cohortloom.plans.inspection import inspect_files
+from cohortloom.plans.profiling import profile_matrix_file
+from cohortloom.sinks.features import to_features, to_sparse_features
+from cohortloom.sinks.tables import read_cohort, write_cohort
 from cohortloom.sources.matrix import scan_wide_dataset
 from cohortloom.sources.tables import read_alias
 
@@ -53,12 +60,17 @@ def test_main_visit_and_extra_datasets(spark, put, tmp_path):
     assert rows(genes) == [(0, "TP53")]
     main = read_cohort(spark, f"{out}/main")
     assert rows(main.samples, "study", "patient_id", "response", "survival_event", "cytolytic_score") == [
-        ("GSE78220", "Pt1", "CR", 1, "0.5"), ("GSE91061", "Pt1", "PD", 0, "0.5"), ("GSE91061", "Pt2", "SD", 1, None),
+        ("GSE78220", "Pt1", "CR", 1, 0.5), ("GSE91061", "Pt1", "PD", 0, 0.5), ("GSE91061", "Pt2", "SD", 1, None),
     ]
     assert rows(main.expr, "study", "sample_id", "gene", "value") == [
         ("GSE78220", "Pt1.baseline", "TP53", 15.0), ("GSE91061", "Pt1", "TP53", 1.5), ("GSE91061", "Pt2", "TP53", 3.0),
     ]
 
+    ready = spark.read.parquet(f"{out}/main_ml_ready")
+    assert rows(ready, "sample_id", "survival_event", "features") == sorted(
+        [("Pt1.baseline", 1, [15.0]), ("Pt1", 0, [1.5]), ("Pt2", 1, [3.0])], key=repr
+    )
+
     sizes = runs.visit_dataset(
         spark, put("v.csv", "Ensembl,Gene Symbol,Patient 1 Pre-RAFi,Patient 1 Post-RAFi\ne,TP53,1,2\ne,,1,2\ne,X,3,4\n"), genes, out
     )
@@ -77,6 +89,8 @@ def test_main_visit_and_extra_datasets(spark, put, tmp_path):
     row = summary.first().asDict()
     assert (row["n_metadata_samples"], row["n_clean_samples"], row["n_common_genes"], row["n_extra_genes"]) == (2, 1, 1, 2)
     assert (row["n_missing_samples_from_expression"], row["n_expression_samples_without_metadata"]) == (1, 1)
+    assert (row["n_expression_rows_raw"], row["n_expression_cols_raw"]) == (2, 3)
+    assert rows(spark.read.parquet(f"{out}/GSE196434_ml_ready"), "sample_id", "features") == [("EY-00", [2.0])]
     assert rows(read_cohort(spark, f"{out}/GSE196434_aligned").expr, "sample_id", "gene", "value") == [("EY-00", "TP53", 2.0)]
 
 
@@ -118,6 +132,83 @@ def test_cell_datasets(spark, put, tmp_path):
         out,
     )
     assert rows(summary) == [("GSE120575", 1, 1), ("MENDELEY", 1, 1), ("TOTAL_FUSION", 2, 1)]
+    assert rows(read_cohort(spark, f"{out}/MENDELEY_counts").samples, "study") == [("MENDELEY_MELANOMA_CITESEQ",)]
+    assert rows(spark.read.parquet(f"{out}/GSE120575_summary"), "n_samples", "n_genes") == [(1, 2)]
+    assert rows(spark.read.parquet(f"{out}/single_cell_ml_ready"), "study") == [("GSE120575",), ("MENDELEY",)]
     fused = read_cohort(spark, f"{out}/single_cell")
     got = {(r.study, r.sample_id, r.gene): round(r.value, 4) for r in fused.expr.collect()}
     assert got == {("MENDELEY", "S1", "G"): 17.9316, ("GSE120575", "Pre_x", "G"): 2.0}
+
+
+def test_inspect_files(spark, put):
+    genes = spark.createDataFrame([(0, "TP53")], "idx int, gene string")
+    matrix = put("data_mrna_tpm.txt", "Gene\tz\ta\nTP53\t1\tx\nKRAS\t2\t3\n")
+    files = {
+        "ONE": [matrix, put("data_clinical_sample.txt", "SAMPLE_ID\tRESPONSE\ns1\tCR\n")],
+        "TWO": [put("readme.md", "text"), "/no/such/data_expression.txt"],
+    }
+    found = {r["file"].rsplit("/", 1)[-1]: r.asDict() for r in inspect_files(spark, files, genes).collect()}
+    assert len(found) == 4
+    one = found["data_mrna_tpm.txt"]
+    assert (one["dataset"], one["file_type"], one["format"], one["n_common_genes"], one["n_numeric_samples"]) == (
+        "ONE", "expression", "TPM", 1, 1,
+    )
+    assert found["data_clinical_sample.txt"]["relevant_columns"] == "SAMPLE_ID; RESPONSE"
+    assert found["readme.md"]["file_type"] == "other"
+    assert found["data_expression.txt"]["error"]
+
+
+def test_first_samples_stand_first_in_the_header(spark, put):
+    header = "Gene," + ",".join(f"s{i:02}" for i in range(20, 0, -1)) + ",a\n"
+    path = put("m.csv", header + "G," + ",".join(["1"] * 20) + ",text\n")
+    genes = spark.createDataFrame([(0, "G")], "idx int, gene string")
+    assert profile_matrix_file(spark, path, "S", genes).first()["n_numeric_samples"] == 20
+
+
+def test_a_numeric_looking_study_is_text(spark, tmp_path):
+    cohort = Cohort(
+        spark.createDataFrame([("007", "s")], "study string, sample_id string"),
+        spark.createDataFrame([("007", "s", "G", 1.0)], "study string, sample_id string, gene string, value double"),
+    )
+    write_cohort(cohort, str(tmp_path / "c"))
+    assert rows(read_cohort(spark, str(tmp_path / "c")).expr) == [("007", "s", "G", 1.0)]
+
+
+def test_merge_by_dataset_name(spark):
+    """The study column names something else or is missing; a gene of an unlabelled sample counts."""
+    def cohort(study, rows_):
+        samples = spark.createDataFrame([("s1", 1), ("s2", None)], "sample_id string, response_binary int")
+        expr = spark.createDataFrame(rows_, "sample_id string, gene string, value double")
+        if study:
+            samples, expr = samples.withColumn("study", F.lit(study)), expr.withColumn("study", F.lit(study))
+        return Cohort(samples, expr)
+
+    both = {"K": cohort("X", [("s1", "A", 1.0), ("s2", "B", 2.0)]), "L": cohort(None, [("s1", "A", 3.0), ("s1", "B", 4.0)])}
+    merged, summary = merge_labelled_studies(both)
+    assert rows(merged.expr, "study", "sample_id", "gene") == [("L", "s1", "A"), ("L", "s1", "B"), ("X", "s1", "A")]
+    assert rows(summary, "source_dataset", "n_samples", "n_common_genes") == [("K", 1, 2), ("L", 1, 2)]
+
+
+def test_guards(spark, put):
+    expr = spark.createDataFrame([("S", "s", "G", 1.0)], "study string, sample_id string, gene string, value double")
+    with pytest.raises(ValueError, match="no common gene"):
+        align_to_genes(expr, spark.createDataFrame([(0, "H")], "idx int, gene string"))
+    metadata = spark.createDataFrame([("c9", "S1", "PD", 1)], "barcode string, sample string, RECIST string, row int")
+    with pytest.raises(ValueError, match="no cell"):
+        sum_cell_file(spark, put("c.csv", "gene,c9\n"), metadata, "S")
+    samples = spark.createDataFrame(
+        [("x", "P1", "R", 1, "role", None, 1)],
+        "sample_id string, patient_id string, response string, response_binary int, dataset_role string, notes string, row int",
+    )
+    with pytest.raises(ValueError, match="no cell"):
+        mean_cell_file(spark, put("t.txt", "\tA_P9_x\nG\t1\n"), samples, "S")
+
+
+def test_features_refuse_repeats_and_may_be_sparse(spark):
+    expr = spark.createDataFrame(
+        [("S", "a", "G", 1.0), ("S", "a", "H", None), ("S", "b", "H", 2.0)], "study string, sample_id string, gene string, value double"
+    )
+    index = spark.createDataFrame([(0, "G"), (1, "H")], "idx int, gene string")
+    assert rows(to_sparse_features(expr, index)) == [("S", "a", 2, [0], [1.0]), ("S", "b", 2, [1], [2.0])]
+    with pytest.raises(Exception, match="several values"):
+        to_features(expr.unionByName(expr), index).collect()
