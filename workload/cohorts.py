@@ -128,20 +128,17 @@ def ml_ready_samples(t: Tables):
     "matrix_to_samples",
     f"""
     SELECT study, sample_id, replace(replace(sample_id, '.baseline', ''), '.OnTx', '') AS patient_id,
-           count(*) AS n_genes, sum(value) AS total
+           count(*) AS n_genes, CAST(sum(CAST(round(value * 60) AS BIGINT)) AS BIGINT) AS total
     FROM (SELECT study, sample_id, gene, avg(value) AS value
-          FROM ({VISIT_EXPRESSION}) GROUP BY study, sample_id, gene HAVING count(*) = 1)
+          FROM ({VISIT_EXPRESSION}) GROUP BY study, sample_id, gene)
     GROUP BY study, sample_id
     """,
 )
 def sheet_to_samples(t: Tables):
-    cells = visit_expression(t)
-    unique = cells.groupBy("study", "sample_id", "gene").agg(
-        F.max("value").alias("value"), F.count(F.lit(1)).alias("n")
-    )
-    cohort = matrix_to_samples(unique.filter("n = 1").drop("n"))
+    # repeated genes are averaged by the operator; sixtieths make the sum one of whole numbers
+    cohort = matrix_to_samples(visit_expression(t))
     totals = cohort.expr.groupBy("study", "sample_id").agg(
-        F.count(F.lit(1)).alias("n_genes"), F.sum("value").alias("total")
+        F.count(F.lit(1)).alias("n_genes"), F.sum(F.round(F.col("value") * 60).cast("bigint")).alias("total")
     )
     return cohort.samples.join(totals, ["study", "sample_id"])
 
@@ -195,22 +192,24 @@ def pre_post_cohort(t: Tables):
 
 
 METADATA_ID = """
-    'MGH-' || (o_orderkey // 3) || CASE o_orderkey % 3 WHEN 0 THEN '_bam' WHEN 1 THEN '.bam' ELSE '' END
+    'MGH-' || CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END || (o_orderkey // 3)
+    || CASE o_orderkey % 3 WHEN 0 THEN '_bam' WHEN 1 THEN '.bam' ELSE '' END
 """
 
 
 def order_metadata(t: Tables):
-    """Samples written in three ways; every eleventh order is left out."""
+    """Samples written in three ways; every eleventh order has an id of its own, which nothing measured has."""
+    own = F.when(F.col("o_orderkey") % 11 == 0, "x").otherwise("")
     suffix = F.when(F.col("o_orderkey") % 3 == 0, "_bam").when(F.col("o_orderkey") % 3 == 1, ".bam").otherwise("")
-    return t.orders.filter("o_orderkey % 11 <> 0").select(
-        F.concat(F.lit("MGH-"), F.expr("o_orderkey div 3").cast("string"), suffix).alias("sample_id"),
+    return t.orders.select(
+        F.concat(F.lit("MGH-"), own, F.expr("o_orderkey div 3").cast("string"), suffix).alias("sample_id"),
         F.col("o_orderpriority").alias("treatment"),
     )
 
 
 def measured_orders(t: Tables):
     """Measurements under yet another spelling of the sample id."""
-    return t.lineitem.filter("l_orderkey % 3 = 0").select(
+    return t.lineitem.select(
         F.concat(F.lit(" MGH_"), F.expr("l_orderkey div 3").cast("string")).alias("sample_id"),
         F.col("l_partkey").cast("string").alias("gene"),
         F.col("l_quantity").alias("value"),
@@ -218,12 +217,13 @@ def measured_orders(t: Tables):
 
 
 ORDER_METADATA = f"""
-    SELECT {METADATA_ID} AS sample_id, 'MGH_' || (o_orderkey // 3) AS sample_key, o_orderpriority AS treatment
-    FROM orders WHERE o_orderkey % 11 <> 0
+    SELECT {METADATA_ID} AS sample_id, o_orderpriority AS treatment,
+           'MGH_' || CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END || (o_orderkey // 3) AS sample_key
+    FROM orders
 """
 MEASURED_ORDERS = """
     SELECT 'MGH_' || (l_orderkey // 3) AS sample_key, CAST(l_partkey AS VARCHAR) AS gene, l_quantity AS value
-    FROM lineitem WHERE l_orderkey % 3 = 0
+    FROM lineitem
 """
 
 

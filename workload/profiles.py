@@ -56,6 +56,7 @@ def dropped_missing(t: Tables):
     WITH v AS (
         SELECT DISTINCT * FROM (
             SELECT 'lang' AS "column", lang AS value FROM documents
+            UNION ALL SELECT 'doc_id', CAST(doc_id AS VARCHAR) FROM documents
             UNION ALL SELECT 'source', source FROM documents
             UNION ALL SELECT 'n_chars', CAST(n_chars AS VARCHAR) FROM documents
             UNION ALL SELECT 'text', text FROM documents)
@@ -67,22 +68,25 @@ def dropped_missing(t: Tables):
     """,
 )
 def values_of_columns(t: Tables):
-    values = distinct_values(t.documents, ["lang", "source", "n_chars", "text"])
+    values = distinct_values(t.documents, t.documents.columns)
     return values.withColumn("examples", F.md5(F.array_join("examples", "|")))
 
 
 @query(
     "relevant_columns",
     """
-    SELECT 'o_orderpriority' AS "column", count(DISTINCT o_orderpriority) AS n_values,
-           string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS examples FROM orders
-    UNION ALL
-    SELECT 'o_orderstatus', count(DISTINCT o_orderstatus),
-           string_agg(DISTINCT o_orderstatus, '|' ORDER BY o_orderstatus) FROM orders
+    WITH v AS (
+        SELECT DISTINCT * FROM (
+            SELECT 'o_orderpriority' AS "column", o_orderpriority AS value FROM orders
+            UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders)
+        WHERE value IS NOT NULL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value) AS r FROM v)
+    SELECT "column", count(*) AS n_values, string_agg(value, '|' ORDER BY value) FILTER (WHERE r <= 12) AS examples
+    FROM ranked GROUP BY "column"
     """,
 )
 def values_of_relevant_columns(t: Tables):
-    values = profile_relevant(t.orders, [k for k in PORTAL_KEYWORDS if k in ("status", "prior")])
+    values = profile_relevant(t.orders, PORTAL_KEYWORDS)
     return values.withColumn("examples", F.array_join("examples", "|"))
 
 
@@ -140,18 +144,20 @@ def top_n_preview(t: Tables):
     )
 
 
-TABLES = ("customer", "lineitem", "orders", "part", "supplier", "events", "documents", "conversations", "labels", "pages")
-NUMERIC = {"customer": 3, "lineitem": 8, "orders": 3, "part": 3, "supplier": 3, "events": 3, "documents": 2,
-           "conversations": 2, "labels": 3, "pages": 1}
-COLUMNS = {"customer": 5, "lineitem": 11, "orders": 6, "part": 6, "supplier": 4, "events": 6, "documents": 5,
-           "conversations": 4, "labels": 3, "pages": 3}
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+NUMBER_TYPES = "('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT')"
 
 
 @query(
     "dataset_summary",
     " UNION ALL ".join(
-        f"SELECT '{n}' AS dataset, count(*) AS n_rows, CAST({COLUMNS[n]} AS BIGINT) AS n_cols, CAST(0 AS BIGINT) AS n_missing,"
-        f" CAST({NUMERIC[n]} AS BIGINT) AS n_numeric_cols, false AS failed FROM {n}"
+        f"SELECT '{n}' AS dataset, count(*) AS n_rows,"
+        f" (SELECT count(*) FROM (DESCRIBE {n})) AS n_cols, CAST(0 AS BIGINT) AS n_missing,"
+        f" (SELECT count(*) FROM (DESCRIBE {n}) WHERE column_type IN {NUMBER_TYPES} OR column_type LIKE 'DECIMAL%')"
+        f" AS n_numeric_cols, false AS failed FROM {n}"
         for n in TABLES
     )
     + " UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, true",

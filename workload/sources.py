@@ -13,7 +13,7 @@ from cohortloom.sinks.tables import read_cohort, write_cohort, write_table
 from cohortloom.sources.attributes import (
     extract_labelled_attributes,
     named_attributes,
-    pivot_attributes,
+    attribute_maps,
     scan_attribute_lines,
 )
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
@@ -356,15 +356,20 @@ def attribute_lines(t: Tables):
     "attribute_records",
     f"""
     WITH named AS ({NAMED_VALUES})
-    SELECT file, sample_idx, max(value) FILTER (WHERE name = 'title') AS title,
-           max(value) FILTER (WHERE name = 'description') AS description,
-           max(value) FILTER (WHERE name = 'characteristics_user_pt_id_a') AS characteristics_user_pt_id_a
+    SELECT file, sample_idx, count(*) AS n_attributes,
+           string_agg(name || '=' || coalesce(value, ''), '|' ORDER BY name) AS attributes
     FROM named GROUP BY file, sample_idx
     """,
 )
 def attribute_records(t: Tables):
-    names = ["title", "description", "characteristics_user_pt_id_a"]
-    return pivot_attributes(named_attributes(conversation_lines(t)), names)
+    entries = F.array_sort(F.map_entries("attributes"))
+    shown = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return attribute_maps(named_attributes(conversation_lines(t))).select(
+        "file",
+        "sample_idx",
+        F.size("attributes").cast("bigint").alias("n_attributes"),
+        F.array_join(shown, "|").alias("attributes"),
+    )
 
 
 @query(
@@ -434,7 +439,7 @@ FILE_CATALOG = f"""
     f"""
     SELECT path, CASE WHEN p LIKE '%tpm%' THEN 'TPM' WHEN p LIKE '%rpkm%' THEN 'RPKM' WHEN p LIKE '%fpkm%' THEN 'FPKM'
                 WHEN p LIKE '%zscore%' THEN 'z-score' WHEN p LIKE '%count%' THEN 'counts'
-                WHEN p LIKE '%mrna%' OR p LIKE '%expression%' THEN 'mRNA expression' ELSE 'unknown' END AS format,
+                WHEN p LIKE '%mrna%' OR p LIKE '%expression%' THEN 'mRNA expression, format exact à confirmer' ELSE 'unknown' END AS format,
            p LIKE '%.txt' AND regexp_matches(p, 'data_mrna|expression|rpkm|tpm|fpkm|zscore')
              AND NOT regexp_matches(p, 'genetic_alteration|case_lists|meta_|clinical|mutation|cna|timeline|signature')
              AS is_expression,
