@@ -17,6 +17,8 @@ from .common import BLANKS, Run, ahead, col, exploded, hash_pair, paired, table,
 
 BUCKETS = 32_768
 SMOOTHING = 1.0
+#: Trusted documents that the target multinomial is fitted on at most.
+MAX_TRUSTED = 50_000
 WINDOW = 5
 #: Mean log-likelihood ratio from which a document is kept. Junk has n-grams that trusted texts hardly hold.
 THRESHOLD = -0.12
@@ -33,14 +35,20 @@ def hashed_ngrams(word_hashes: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(F.transform(word_hashes, lambda h: F.pmod(h, F.lit(buckets))), pairs)
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS) -> list[float]:
+def ratios(
+    docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED
+) -> list[float]:
     """log(trusted / raw) of every bucket, counted over all documents, to six decimals.
 
     ``trusted`` holds the ids of trusted documents; repeats and nulls do not
-    matter. What reaches the driver is one row per bucket, however large the
-    corpus.
+    matter. The trusted multinomial is fitted on ``max_trusted`` of them at
+    most, those with the least hashes, so that their ids can be broadcast and
+    no text is shuffled; the raw one counts every document. What reaches the
+    driver is one row per bucket, however large the corpus.
     """
-    marked = trusted.select(col(id_col)).where(col(id_col).isNotNull()).distinct().withColumn("trusted", F.lit(1))
+    chosen = trusted.select(col(id_col)).where(col(id_col).isNotNull()).distinct()
+    chosen = chosen.orderBy(F.xxhash64(col(id_col)), col(id_col)).limit(max_trusted)
+    marked = F.broadcast(chosen.withColumn("trusted", F.lit(1)))
     hashed = (
         docs.select(col(id_col), col(text_col).alias("text"))
         .join(marked, id_col, "left")
