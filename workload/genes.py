@@ -16,6 +16,7 @@ from cohortloom.operators.genes import (
     symbol_aliases,
 )
 from cohortloom.plans.cohorts import convert_gene_ids, gene_map
+from cohortloom.session import settle
 from cohortloom.sinks.features import to_features, to_wide
 
 from .mapping import (
@@ -216,7 +217,8 @@ def gene_difference(t: Tables):
     """,
 )
 def features_export(t: Tables):
-    expr = mean_duplicates(named_expression(t), ["sample_id", "gene"])
+    # read twice, for the index and for the values
+    expr = settle(mean_duplicates(named_expression(t), ["sample_id", "gene"]), "means")
     features = to_features(expr, gene_index(expr), ["sample_id"])
     shown = F.filter(
         F.transform(
