@@ -39,8 +39,10 @@ class MetadataSpec:
     fixed_label: int | None = None
 
 
-def extract_metadata(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
-    """One row per sample of an attribute-line file, one column per attribute."""
+def extract_metadata(
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per sample of one or many attribute-line files, one column per attribute of any of them; one scan."""
     return pivot_attributes(named_attributes(scan_attribute_lines(spark, path)), names)
 
 

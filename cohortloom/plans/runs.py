@@ -21,11 +21,11 @@ from ..functions.fixed_values import (
 from ..functions.numeric import to_number
 from ..functions.text import clean_gene_symbol, clean_text, strip
 from ..operators.genes import SAMPLE_KEYS, gene_index, gene_overlap, mean_duplicates
-from ..operators.summaries import group_sizes, merge_rows, stack
+from ..operators.summaries import group_sizes, matches_keywords, merge_rows, stack
 from ..session import settle
 from ..sinks.features import to_features
 from ..sinks.tables import read_cohort, summary_rows, write_cohort, write_table
-from ..sources.attributes import scan_attribute_lines
+from ..sources.attributes import named_attributes, pivot_attributes, scan_attribute_lines
 from ..sources.matrix import scan_matrix_long, scan_wide_dataset
 from ..sources.tables import detect_separator, read_alias, scan_table
 from .cells import cohort_summary, fuse_pseudobulk, mean_cell_file, sum_cell_file, to_log_cpm
@@ -41,13 +41,11 @@ from .cohorts import (
 )
 from .metadata import (
     COHORT_SPECS,
-    extract_metadata,
     metadata_summary,
     standardise_metadata,
     union_metadata,
 )
 from .portal import PORTAL_GROUPS, PORTAL_SPECS, prepare_portal_study
-from .profiling import relevant_columns
 
 # The two cohorts of the main dataset, the pre/post cohort, the two single-cell sources.
 MAIN_STUDIES = ("GSE91061", "GSE78220")
@@ -119,24 +117,22 @@ def visit_dataset(spark: SparkSession, path: str, main_genes: DataFrame, out: st
 def metadata_tables(spark: SparkSession, paths: Mapping[str, list[str]], out: str) -> DataFrame:
     """Standard metadata of the extra cohorts from their attribute files; returns the stored union.
 
-    ``paths`` lists the attribute files of each study.
+    ``paths`` lists the attribute files of each study. All files of a study
+    are read in one scan; what becomes columns and figures is read from its
+    stored result.
     """
     tables, summaries = [], []
     for study, files in paths.items():
-        for path in files:
-            extracted = extract_metadata(spark, path)
-            names = [c for c in extracted.columns if c not in ("file", "sample_idx")]
-            summaries.append(
-                extracted.agg(
-                    F.lit(study).alias("dataset"),
-                    F.lit(path).alias("file"),
-                    F.count(F.lit(1)).alias("n_samples"),
-                    F.lit(len(names)).cast("bigint").alias("n_columns"),
-                    F.lit("; ".join(relevant_columns(extracted.select(
-                        *[f"`{c}`" for c in names]), ATTRIBUTE_KEYWORDS))).alias("relevant_columns"),
-                )
+        named = settle(named_attributes(scan_attribute_lines(spark, files)), "attributes")
+        relevant = F.when(matches_keywords(F.col("name"), ATTRIBUTE_KEYWORDS), F.col("name"))
+        summaries.append(
+            named.groupBy(F.lit(study).alias("dataset"), "file").agg(
+                F.count_distinct("sample_idx").alias("n_samples"),
+                F.count_distinct("name").alias("n_columns"),
+                F.array_join(F.array_sort(F.collect_set(relevant)), "; ").alias("relevant_columns"),
             )
-            tables.append(standardise_metadata(extracted, COHORT_SPECS[study]))
+        )
+        tables.append(standardise_metadata(pivot_attributes(named), COHORT_SPECS[study]))
     write_table(union_metadata(tables), f"{out}/metadata", partition_by=["study"])
     stored = spark.read.parquet(f"{out}/metadata")
     write_table(stack(summaries), f"{out}/metadata_files")

@@ -25,14 +25,14 @@ from ..operators.ordering import number_within
 from ..session import settle
 
 
-def scan_attribute_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, block, key, line, fields) of the ``!Sample_`` lines, in file order.
+def scan_attribute_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, line_no, block, key, line, fields) of the ``!Sample_`` lines of one or many files, in file order.
 
     ``line_no`` orders the lines of one file; it is a position, not a count.
     """
     block = F.col("_metadata.file_block_start")
     return (
-        spark.read.text(path)
+        spark.read.text(path if isinstance(path, str) else list(path))
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.struct(block.alias("block"), F.monotonically_increasing_id().alias("seq")).alias("line_no"),
