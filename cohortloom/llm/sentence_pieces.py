@@ -63,11 +63,19 @@ class Encoder:
         crossing = [p for p, _, _ in normal if BLANK in p.lstrip(BLANK)]
         if crossing:
             raise ValueError(f"a piece holds a blank behind another character: {crossing[0]!r}")
-        self.table: dict[str, tuple[int, float] | None] = {}
-        for piece, _, _ in normal:
-            for end in range(1, len(piece)):
-                self.table.setdefault(piece[:end], None)
-        self.table.update({p: (i, s) for p, i, s in normal})
+        self.table = {p: (i, s) for p, i, s in normal}
+        # by character: the id and score of the piece that ends there, if one does, and what may follow, if anything may
+        grown: dict = {}
+        for piece, own, score in normal:
+            node = grown
+            for c in piece[:-1]:
+                node = node.setdefault(c, [None, {}])[1]
+            node.setdefault(piece[-1], [None, {}])[0] = (own, score)
+
+        def packed(node: dict) -> dict:
+            return {c: (*(piece or (None, 0.0)), packed(after) or None) for c, (piece, after) in node.items()}
+
+        self.trie = packed(grown)
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(model.pieces) if model.kinds[i] == "byte"}
         if len(self.bytes) < 256:
             raise ValueError("the model has no piece for every byte")
@@ -82,65 +90,96 @@ class Encoder:
         self.texts = [None if k == "byte" else "" if k == "other" else p.replace(BLANK, " ") for p, k in zip(model.pieces, model.kinds)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
 
-    def _lattice(self, word: str) -> tuple[list[list[tuple[int, int, float]]], list[float]]:
-        """Pieces (start, id, score) that end at every place, and the forward Viterbi scores.
+    def _lattice(self, word: str):
+        """Pieces (start, end, id, score) by start, the forward Viterbi scores, and the last (start, id) of the best way to a place.
 
         An unknown character has id -1 - its code point. Blanks of the word
         stand as the model's blank sign; the sign itself is an unknown character.
         """
-        known, unknown, n = self.table, self.unknown, len(word)
-        ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-        best = [-inf] * (n + 1)
-        best[0] = 0.0
+        trie, unknown, n = self.trie, self.unknown, len(word)
         signs = word.replace(BLANK, "\0").replace(" ", BLANK)
-        for i in range(n):
-            base = best[i]
-            j = i + 1
-            got = known.get(signs[i:j], False)
-            if not got:
-                ends[j].append((i, -1 - ord(word[i]), unknown))
-                if base + unknown > best[j]:
-                    best[j] = base + unknown
-            while got is not False:
-                if got:
-                    ends[j].append((i, *got))
-                    if base + got[1] > best[j]:
-                        best[j] = base + got[1]
-                j += 1
-                if j > n:
+        edges: list[tuple[int, int, int, float]] = []
+        best, back = [-inf] * (n + 1), [(0, 0)] * (n + 1)
+        best[0] = 0.0
+        for start in range(n):
+            base, node, end, alone = best[start], trie, start, False
+            while node and end < n:
+                got = node.get(signs[end])
+                if got is None:
                     break
-                got = known.get(signs[i:j], False)
-        return ends, best
+                end += 1
+                own, score, node = got
+                if own is not None:
+                    edges.append((start, end, own, score))
+                    if base + score > best[end]:
+                        best[end] = base + score
+                        back[end] = (start, own)
+                    if end == start + 1:
+                        alone = True
+            if not alone:
+                edges.append((start, start + 1, -1 - ord(word[start]), unknown))
+                if base + unknown > best[start + 1]:
+                    best[start + 1] = base + unknown
+                    back[start + 1] = (start, -1 - ord(word[start]))
+        return edges, best, back
+
+    def _ids(self, pieces) -> tuple[int, ...]:
+        """Ids of lattice pieces: an unknown character is that of its bytes."""
+        ids: list[int] = []
+        for own in pieces:
+            ids.extend((own,) if own >= 0 else (self.bytes[b] for b in chr(-1 - own).encode("utf-8", "surrogatepass")))
+        return tuple(ids)
 
     def search(self, word: str) -> Iterator[Path]:
         """Segmentations of a word as (score, ids), best first; equal scores in the order in which the search meets them."""
-        ends, best = self._lattice(word)
+        edges, best, _ = self._lattice(word)
+        ends: list[list[tuple[int, int, float]]] = [[] for _ in best]
+        for start, end, own, score in edges:
+            ends[end].append((start, own, score))
         heap: list = [(-best[-1], 0, len(word), 0.0, None)]
         met = 0
         while heap:
             _, _, at, score, path = heappop(heap)
             if at == 0:
-                ids: list[int] = []
+                pieces = []
                 while path is not None:
                     own, path = path
-                    ids.extend((own,) if own >= 0 else (self.bytes[b] for b in chr(-1 - own).encode("utf-8", "surrogatepass")))
-                yield score, tuple(ids)
+                    pieces.append(own)
+                yield score, self._ids(pieces)
                 continue
             for start, own, s in ends[at]:
                 met += 1
                 heappush(heap, (-(best[start] + score + s), met, start, score + s, (own, path)))
 
     def word(self, word: str) -> tuple[tuple[int, ...], float, float]:
-        """Ids and score of the best segmentation, and what the second best loses (infinite if there is none)."""
+        """Ids and score of the best segmentation, and what the second best loses (infinite if there is none).
+
+        The best one is read off the forward scores. Any other has a piece that
+        the best lacks; forward and backward scores give the best way through
+        each such piece, so the loss is known without a search.
+        """
         got = self.memo.get(word)
         if got:
             return got
         got = self.older.get(word)
         if got is None:
-            paths = self.search(word)
-            score, ids = next(paths)
-            second = next(paths, None)
-            got = (ids, score, score - second[0] if second else inf)
+            edges, best, back = self._lattice(word)
+            at, pieces, after = len(word), [], {}
+            while at:
+                start, own = back[at]
+                pieces.append(own)
+                after[start] = at
+                at = start
+            rest = [-inf] * len(best)
+            rest[-1] = 0.0
+            second = -inf
+            for start, end, _, score in reversed(edges):
+                way = score + rest[end]
+                if way > rest[start]:
+                    rest[start] = way
+                if after.get(start) != end and best[start] + way > second:
+                    second = best[start] + way
+            got = (self._ids(reversed(pieces)), best[-1], best[-1] - second)
         if len(word) <= _LONGEST_KEPT:
             if len(self.memo) >= _MEMO:
                 self.memo, self.older = {}, self.memo
@@ -168,9 +207,11 @@ class Encoder:
         cheap = nsmallest(n - 1, ((loss, k) for k, (_, _, loss) in enumerate(found) if loss < inf))
         lists = []
         for _, k in cheap:
-            paths, own = self.search(words[k]), []
-            for path in paths:
-                own.append(path)
+            ids, total, _ = found[k]
+            own = [(total, ids)]
+            for path in self.search(words[k]):
+                if path[1] != ids:  # of equal scores the search may meet another one first
+                    own.append(path)
                 if len(own) == n:
                     break
             lists.append((k, own))
