@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -30,6 +31,8 @@ LONG_DOCS = 2
 SHORT_DOCS = 10
 #: Share of a line's tokens that agree with the template, as a fraction of whole numbers.
 AGREE = (4, 5)
+#: Bits of the filter that is put before the join of line texts.
+FILTER_BITS = 1 << 22
 OPEN = b"<*>"
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -55,8 +58,26 @@ def parse(line: bytes) -> tuple[int, int, int, list[bytes]] | None:
     return n, _signed(leaf), _signed(xxhash.xxh64_intdigest(b" ".join(tokens))), tokens
 
 
-def parsed_lines(docs: DataFrame, texts: bool = False) -> DataFrame:
-    """Rows ``id, n, leaf, key`` of the different lines of every document (``id, text``); with ``tokens`` if asked."""
+def marks_of(keys: DataFrame) -> np.ndarray:
+    """A bit for every residue of a key that occurs: a filter of fixed size, which lets all listed keys pass.
+
+    Keys are hashes; ``keys`` has them in ``key``. At most ``FILTER_BITS / 64`` rows reach the driver.
+    """
+    places = keys.select(F.pmod("key", F.lit(FILTER_BITS)).cast("int").alias("place"))
+    words = places.groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.collect():
+        out[row["word"]] = row["bits"]
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
+def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
+    """Rows ``id, n, leaf, key`` of the different lines of every document (``id, text``).
+
+    With ``marks``, only lines whose key passes that filter, and their ``tokens``.
+    """
+    texts = marks is not None
+    packed = np.packbits(marks) if texts else None
     fields = [docs.schema["id"], StructField("n", IntegerType()), StructField("leaf", LongType()), StructField("key", LongType())]
     schema = StructType(fields + [StructField("tokens", StringType())] * texts)
     rows_at_once = 1 << 14
@@ -71,13 +92,14 @@ def parsed_lines(docs: DataFrame, texts: bool = False) -> DataFrame:
                 arrays.append(pa.array([b" ".join(r[3]).decode("utf-8", "replace") for r in rows], pa.string()))
             return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
+        passing = np.unpackbits(packed).tobytes() if texts else b""
         for batch in batches:
             place, rows = [], []
             for at, raw in enumerate(batch.column(1)):
                 seen = set()
                 for line in (raw.as_py() or b"").split(b"\n"):
                     found = parse(line)
-                    if found and found[2] not in seen:
+                    if found and found[2] not in seen and (not texts or passing[found[2] % FILTER_BITS]):
                         seen.add(found[2])
                         place.append(at)
                         rows.append(found)
@@ -100,7 +122,8 @@ def instances(docs: DataFrame, keys: DataFrame) -> DataFrame:
     shared = long.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("leaf")
     # settled, so that Spark knows its size
     members = settle(long.join(shared, "leaf"), "leaves")
-    lines = parsed_lines(docs, texts=True).join(members.select("key"), "key", "left_semi")
+    # the filter keeps the texts of most other lines out of the shuffle; the join is exact
+    lines = parsed_lines(docs, marks_of(members)).join(members.select("key"), "key", "left_semi")
     placed = settle(
         lines.groupBy("leaf", "key")
         .agg(F.first("tokens").alias("tokens"))
