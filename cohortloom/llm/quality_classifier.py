@@ -28,6 +28,7 @@ MAX_ROWS = 6_000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 20
+_MEMO = 100_000
 _SHAPES = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "Aa" if m[0][0].isupper() else "a"),)
 _RUNS = re.compile(r"(.)\1+", re.S)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -49,7 +50,7 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def indicators(texts, memo: dict, size: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, features): the sorted, distinct features of every text of an Arrow string array."""
     offsets, codes, vocabulary = encode(texts, lower=False)
-    if len(memo) > 400_000:
+    if len(memo) > _MEMO:
         memo.clear()
     known = []
     for word in vocabulary:

@@ -27,7 +27,7 @@ def encode(texts, lower: bool = True):
     return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
 
 
-def pieces(batch_texts, limit: int = 1 << 23):
+def pieces(batch_texts, limit: int = 1 << 22):
     """Ranges (start, end) of consecutive texts of about ``limit`` bytes, one text at least."""
     import pyarrow.compute as pc
 
