@@ -12,10 +12,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from heapq import heappop, heappush, nsmallest
+from heapq import heappop, heappush
+from itertools import chain
 from math import inf
+from operator import itemgetter
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -27,7 +30,7 @@ BLANK = "▁"
 N_BEST = 4
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_MEMO = 250_000
+_MEMO = 200_000
 _LONGEST_KEPT = 64
 
 
@@ -52,6 +55,27 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces([model.id_to_piece(i) for i in ids], [float(model.get_score(i)) for i in ids], kinds)
 
 
+def _splitter(pieces: list[str]) -> str:
+    """Pattern of the longest parts of a text that pieces may tie together.
+
+    The lattice falls apart before blanks, at control characters that no piece
+    holds, and between a letter or digit and a sign that no piece has behind one.
+    """
+    held = set("".join(pieces))
+    cut = "".join(c for c in "\n\t\r\x0b\x0c" if c not in held)
+    pairs = {pair for p in pieces for pair in zip(p, p[1:])}
+    # rare letters that signs follow, such as a raised 2, count as signs themselves
+    rare = {a for a, b in pairs if a.isalnum() and not b.isalnum() and not a.isascii()}
+    tied = {b for a, b in pairs if a.isalnum() and a not in rare and (not b.isalnum() or b in rare)}
+    odd = "".join(re.escape(c) for c in sorted(rare))
+    sign, letter = f"[^\\w {cut}]|[_{odd}]", f"[^\\W_{odd}]"
+    sign = f"(?:{sign})"
+    tying = "".join(re.escape(c) for c in sorted(tied))
+    more = f"(?:[{tying}]{sign}*{letter}*)*" if tied else ""
+    word = f" *{sign}*{letter}*{more}"
+    return f"[{cut}]|(?=[^{cut}]){word}" if cut else f"(?=.){word}"
+
+
 Path = tuple[float, tuple[int, ...]]
 
 
@@ -80,15 +104,16 @@ class Encoder:
         if len(self.bytes) < 256:
             raise ValueError("the model has no piece for every byte")
         self.unknown = min((s for _, _, s in normal), default=0.0) - UNKNOWN_PENALTY
-        # characters of no piece part the lattice too
-        held = set("".join(p for p, _, _ in normal))
-        cut = "".join(c for c in "\n\t\r\x0b\x0c" if c not in held)
-        self.split = re.compile(f" +[^ {cut}]*|[^ {cut}]+" + (f"|[{cut}]" if cut else ""))
+        self.split = re.compile(_splitter([p for p, _, _ in normal]), re.DOTALL)
         # words met lately, and those met before: a word that is met again stays
         self.memo: dict[str, tuple[tuple[int, ...], float, float]] = {}
         self.older: dict[str, tuple[tuple[int, ...], float, float]] = {}
-        self.texts = [None if k == "byte" else "" if k == "other" else p.replace(BLANK, " ") for p, k in zip(model.pieces, model.kinds)]
+        self.texts = ["" if k == "other" else p.replace(BLANK, " ") for p, k in zip(model.pieces, model.kinds)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        # a byte below 128 is a character by itself; others have to be put together
+        self.quick: list[str | None] = list(self.texts)
+        for i, b in self.byte_of.items():
+            self.quick[i] = chr(b) if b < 128 else None
 
     def _lattice(self, word: str):
         """Pieces (start, end, id, score) by start, the forward Viterbi scores, and the last (start, id) of the best way to a place.
@@ -101,6 +126,7 @@ class Encoder:
         edges: list[tuple[int, int, int, float]] = []
         best, back = [-inf] * (n + 1), [(0, 0)] * (n + 1)
         best[0] = 0.0
+        add = edges.append
         for start in range(n):
             base, node, end, alone = best[start], trie, start, False
             while node and end < n:
@@ -110,9 +136,10 @@ class Encoder:
                 end += 1
                 own, score, node = got
                 if own is not None:
-                    edges.append((start, end, own, score))
-                    if base + score > best[end]:
-                        best[end] = base + score
+                    add((start, end, own, score))
+                    total = base + score
+                    if total > best[end]:
+                        best[end] = total
                         back[end] = (start, own)
                     if end == start + 1:
                         alone = True
@@ -177,9 +204,12 @@ class Encoder:
                 way = score + rest[end]
                 if way > rest[start]:
                     rest[start] = way
-                if after.get(start) != end and best[start] + way > second:
-                    second = best[start] + way
-            got = (self._ids(reversed(pieces)), best[-1], best[-1] - second)
+                way += best[start]
+                if way > second and after.get(start) != end:
+                    second = way
+            pieces.reverse()
+            ids = tuple(pieces) if min(pieces) >= 0 else self._ids(pieces)
+            got = (ids, best[-1], best[-1] - second)
         if len(word) <= _LONGEST_KEPT:
             if len(self.memo) >= _MEMO:
                 self.memo, self.older = {}, self.memo
@@ -197,17 +227,21 @@ class Encoder:
         ``count`` ids from ``at`` on of the best segmentation.
         """
         words = self.words(text)
-        found = [self.word(word) for word in words]
-        ids = [i for own, _, _ in found for i in own]
-        score = float(sum(s for _, s, _ in found))
+        get, word = self.memo.get, self.word
+        found = [get(w) or word(w) for w in words]
+        ids = list(chain.from_iterable(map(itemgetter(0), found)))
+        score = float(sum(map(itemgetter(1), found)))
         return ids, score, self._others(words, found, score, n) if n > 1 and words else []
 
     def _others(self, words, found, score, n):
         # a segmentation that changes a word outside the n - 1 cheapest to change has n - 1 better ones
-        cheap = nsmallest(n - 1, ((loss, k) for k, (_, _, loss) in enumerate(found) if loss < inf))
+        losses = np.fromiter(map(itemgetter(2), found), float, len(found))
+        cheap = np.argsort(losses, kind="stable")[: n - 1].tolist()
         lists = []
-        for _, k in cheap:
-            ids, total, _ = found[k]
+        for k in cheap:
+            ids, total, loss = found[k]
+            if loss == inf:
+                break
             own = [(total, ids)]
             for path in self.search(words[k]):
                 if path[1] != ids:  # of equal scores the search may meet another one first
@@ -225,12 +259,8 @@ class Encoder:
                 if places[j] + 1 < len(own):
                     more = loss + own[places[j]][0] - own[places[j] + 1][0]
                     heappush(heap, (more, places[:j] + (places[j] + 1,) + places[j + 1 :], j))
-        starts, at = {}, 0
-        wanted = {k for k, _ in lists}
-        for k, (own, _, _) in enumerate(found):
-            if k in wanted:
-                starts[k] = at
-            at += len(own)
+        lengths = np.cumsum(np.fromiter((len(own) for own, _, _ in found), np.int64, len(found)))
+        starts = {k: int(lengths[k]) - len(found[k][0]) for k, _ in lists}
         return [
             (
                 score - loss,
@@ -241,13 +271,16 @@ class Encoder:
 
     def decode(self, ids) -> str:
         """The text of ids: bytes in a row are read as UTF-8 (wrong ones as U+FFFD), the blank put before the text goes."""
+        quick = [self.quick[i] for i in ids]
+        if None not in quick:
+            return "".join(quick).removeprefix(" ")
         texts, byte_of = self.texts, self.byte_of
         parts, raw = [], bytearray()
         for i in ids:
-            text = texts[i]
-            if text is None:
+            if i in byte_of:
                 raw.append(byte_of[i])
                 continue
+            text = texts[i]
             if raw:
                 parts.append(raw.decode("utf-8", "replace"))
                 raw.clear()
@@ -276,7 +309,7 @@ def with_pieces(
     names = [free_name(kept, x) for x in ("ids", "n_pieces", "score", "others", "round_trip")]
     kinds = [ArrayType(IntegerType()), LongType(), DoubleType(), _OTHER, BooleanType()]
     schema = StructType([*[docs.schema[c] for c in keep], *[StructField(x, k) for x, k in zip(names, kinds)]])
-    rows_at_once = 512
+    rows_at_once = 128
 
     def run(batches):
         import pyarrow as pa
