@@ -30,8 +30,8 @@ from ..session import settle
 from .common import Run, col, remainder, table
 from .tokens import encode, pieces, segment_sum
 
-#: Bytes of text in a pack, and in a slice.
-PACK_BYTES = 12 << 20
+#: Bytes of text in a pack (a task holds one at a time), and in a slice.
+PACK_BYTES = 4 << 20
 SLICE_BYTES = 12 << 20
 #: Remainder of the training documents on which the weights are learned.
 WEIGHT_PART = 1
@@ -95,7 +95,10 @@ class Pack:
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[offsets[:-1]] = start
-        self.pairs, self.pair_of = np.unique(before * len(hashes) + tokens, return_inverse=True)
+        before *= len(hashes)
+        before += tokens
+        self.pairs, self.pair_of = np.unique(before, return_inverse=True)
+        self.pair_of = self.pair_of.astype(np.int32)
         self.first, self.second = self.pairs // len(hashes), self.pairs % len(hashes)
 
     @classmethod
