@@ -50,3 +50,32 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     tied = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def roots_within(buckets: DataFrame, close, known: DataFrame | None = None, label: str = "components") -> DataFrame:
+    """Columns ``node, root`` as if every pair of nodes that share a bucket were looked at by ``close``.
+
+    ``buckets`` has ``bucket, node``, ``close`` keeps of a table ``a, b`` the pairs that are linked, ``known`` has
+    edges that are given. First the members of a bucket are compared with one of them, then those that are
+    still in different components with each other, so a bucket of copies costs as many pairs as it has members.
+    """
+    edges = known if known is not None else buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    for star in (True, False):
+        of = roots(edges, label)
+        tagged = settle(
+            buckets.join(of, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")), f"{label}-tagged"
+        )
+        mixed = (
+            tagged.groupBy("bucket")
+            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct("root", "node")).alias("first"))
+            .where("lo <> hi")
+        )
+        if star:
+            pairs = tagged.join(mixed, "bucket").where("root <> lo").select(F.col("first.node").alias("a"), F.col("node").alias("b"))
+        else:
+            left = tagged.join(mixed.select("bucket"), "bucket")
+            right = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("b_root"))
+            pairs = left.join(right, "bucket").where("root < b_root").select(F.col("node").alias("a"), "b")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = edges.unionByName(settle(close(settle(pairs, f"{label}-pairs")), f"{label}-close"))
+    return roots(edges, label)

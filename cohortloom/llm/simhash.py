@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import settle
 from .common import Run, col, free_name, table
 from .components import roots
+from .near_copies import first_rows
 
 RADIUS = 3
 SEED = 42
@@ -180,26 +181,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of ``docs`` without near-duplicates: the row with the smallest id of each component stays.
+    """The documents of ``docs`` without near copies: the row with the smallest id of each group stays.
 
-    Null ids come last; of repeated rows one stays. All columns are kept.
+    Groups are those of ``near_copies``: five-word shingles, Jaccard similarity of 0.8 or more, not the
+    fingerprints of the query. Null ids come last; of repeated rows one stays. All columns are kept.
     """
-    row, mark = free_name(docs, "row_number"), free_name(docs, "fingerprint")
+    row = free_name(docs, "row_number")
     stored = settle(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    marks = settle(
-        with_fingerprint(
-            stored.select(col(row).alias("row"), col(id_col).alias("id"), col(text_col).alias("text")), "text"
-        ),
-        "marks",
-    )
-    groups = near_duplicate_groups(marks, "id")
-    first = (
-        marks.join(groups, "fingerprint")
-        .groupBy("root")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))).alias("first"))
-    )
-    chosen = first.select(F.col("first.row").alias(row))
-    return stored.join(chosen, row, "left_semi").select(*[col(c) for c in docs.columns])
+    chosen = first_rows(stored.select(col(row).alias("row"), col(id_col).alias("id"), col(text_col).alias("text")))
+    return stored.join(chosen.withColumnRenamed("row", row), row, "left_semi").select(*[col(c) for c in docs.columns])
 
 
 def op1(spark, folder):

@@ -1,0 +1,67 @@
+import itertools
+import random
+
+import pytest
+
+from cohortloom.llm import near_copies as N
+from cohortloom.llm import simhash as S
+from cohortloom.llm.components import roots_within
+
+
+def grams(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def jaccard(a, b):
+    return len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+
+
+def firsts(texts, near):
+    """Smallest id of every component of the pairs."""
+    least = {i: i for i in texts}
+    for _ in texts:
+        for a, b in near:
+            least[a] = least[b] = min(least[a], least[b])
+    return sorted(set(least.values()))
+
+
+def changed(draw, words, n):
+    words = list(words)
+    for at in draw.sample(range(len(words)), n):
+        words[at] = f"new{draw.randrange(10**9)}"
+    return words
+
+
+def test_stage_against_all_pairs(spark):
+    draw, texts = random.Random(5), {}
+    for _ in range(8):
+        words = [f"w{draw.randrange(4000)}" for _ in range(300)]
+        texts[len(texts)] = " ".join(words)
+        for n in (1, 3, 5, 6, 7, 9, 12):
+            texts[len(texts)] = " ".join(changed(draw, words, n))
+    near = [(a, b) for a, b in itertools.combinations(texts, 2) if jaccard(texts[a], texts[b]) >= 0.8]
+    apart = [p for p in near if (S.simhash(texts[p[0]].encode()) ^ S.simhash(texts[p[1]].encode())).bit_count() > 3]
+    assert len(near) > 30 and apart, "near copies that three bits of the fingerprint do not reach"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in S.keep_one_per_group(docs).collect()) == firsts(texts, near)
+
+
+@pytest.mark.parametrize("members", [2, 40])
+def test_every_pair_of_a_bucket_counts(spark, members):
+    """Nodes of one bucket that are linked with their neighbours alone, or not at all, in any order."""
+    nodes = random.Random(members).sample(range(1000), members)
+    chain = {frozenset(p) for p in zip(nodes, nodes[1 : members // 2 + 1])}
+    linked = spark.createDataFrame([tuple(sorted(p)) for p in chain], "a long, b long")
+    buckets = spark.createDataFrame([(7, n) for n in nodes], "bucket long, node long")
+    got = {r.node: r.root for r in roots_within(buckets, lambda pairs: pairs.join(linked, ["a", "b"], "left_semi")).collect()}
+    inside = nodes[: members // 2 + 1]
+    assert got == {n: min(inside) for n in inside}
+
+
+def test_shingles_and_bands():
+    assert len(N.shingles(b"")) == 0 and len(N.shingles(b"a b")) == 1 and len(N.shingles(b"a b c d e f")) == 2
+    times, plus = N._functions()
+    words = " ".join(f"w{i}" for i in range(6000)).encode()
+    assert N.bands(N.shingles(words), times, plus) == N.bands(N.shingles(N.normal(words.upper())), times, plus)
+    assert (1 - 0.8**N.ROWS) ** N.BANDS < 1e-7
