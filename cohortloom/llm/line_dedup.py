@@ -4,7 +4,9 @@ A line goes down a tree of fixed depth: by its number of tokens, then by its
 leading tokens, where a token with a digit is a variable field. In a leaf that
 holds different lines, the template has the most frequent token of every
 place; lines that agree with it in 0.8 of their tokens are instances of it, and
-the places in which they differ are variable fields too. All other lines are
+the places in which they differ are variable fields too. A leaf may hold further
+templates: lines that are no instance are linked with every line of the leaf that agrees
+with them in 0.8 of its tokens, and linked lines are one template. All other lines are
 templates of their own, with their digits left open. A template that recurs
 across documents stays in the document with the smallest id and is dropped
 from all others.
@@ -22,6 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ..session import settle
 from .common import Run, col, free_name, table
+from .components import roots_within
 
 #: Leading tokens that lead to a leaf.
 DEPTH = 4
@@ -112,7 +115,7 @@ def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
 
 
 def instances(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows ``leaf, key`` of the lines that are instances of their leaf's template.
+    """Rows ``leaf, key, tree`` of the lines that are instances of a template of their leaf, which ``tree`` names.
 
     ``keys`` has the different lines, ``leaf, key, n``. Only leaves with
     several long lines are looked at. Counts per (leaf, place, token) are
@@ -124,12 +127,10 @@ def instances(docs: DataFrame, keys: DataFrame) -> DataFrame:
     members = settle(long.join(shared, "leaf"), "leaves")
     # the filter keeps the texts of most other lines out of the shuffle; the join is exact
     lines = parsed_lines(docs, marks_of(members)).join(members.select("key"), "key", "left_semi")
-    placed = settle(
-        lines.groupBy("leaf", "key")
-        .agg(F.first("tokens").alias("tokens"))
-        .select("leaf", "key", F.posexplode(F.split("tokens", " ")).alias("place", "token")),
-        "places",
+    texts = settle(
+        lines.groupBy("leaf", "key").agg(F.first("tokens").alias("tokens")).withColumn("tokens", F.split("tokens", " ")), "texts"
     )
+    placed = texts.select("leaf", "key", F.posexplode("tokens").alias("place", "token"))
     most = (
         placed.groupBy("leaf", "place", "token")
         .agg(F.count(F.lit(1)).alias("lines"))
@@ -138,13 +139,49 @@ def instances(docs: DataFrame, keys: DataFrame) -> DataFrame:
         .select("leaf", "place", F.col("least.token").alias("usual"))
     )
     up, down = AGREE
-    return (
+    matched = settle(
         placed.join(most, ["leaf", "place"])
         .groupBy("leaf", "key")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("token") == F.col("usual")).alias("same"))
         .where(F.col("same") * down >= F.col("n") * up)
-        .select("leaf", "key")
+        .select("leaf", "key"),
+        "matched",
     )
+    root = settle(_linked(texts, matched).withColumnRenamed("node", "key"), "linked")
+    own = matched.withColumn("first", F.lit(True))
+    found = texts.select("leaf", "key").join(own, ["leaf", "key"], "left").join(root, "key", "left")
+    return found.where("first OR root IS NOT NULL").select("leaf", "key", F.coalesce("root", "leaf").alias("tree"))
+
+
+def _linked(texts: DataFrame, matched: DataFrame) -> DataFrame:
+    """Rows ``node, root``: components of the lines of leaves in which not all lines are ``matched``.
+
+    Lines of n tokens that agree in 0.8 of them differ in ``n div 5`` places at most, none of which is a leading
+    one. Of one segment more than that, one is the same in both; so no such pair is missed.
+    """
+    up, down = AGREE
+    left = texts.join(matched, ["leaf", "key"], "left_anti").select("leaf").distinct()
+    rest = settle(texts.join(left, "leaf", "left_semi"), "unmatched")
+    differ = f"(size(tokens) * {down - up} div {down})"
+    at = f"(size(tokens) - {DEPTH}) * %s div ({differ} + 1)"
+    segments = F.expr(
+        f"transform(sequence(0, {differ}), i -> xxhash64(leaf, i, "
+        f"slice(tokens, int({DEPTH + 1} + {at % 'i'}), int({at % '(i + 1)'} - {at % 'i'}))))"
+    )
+    keyed = rest.select(F.explode(segments).alias("bucket"), F.col("key").alias("node"))
+    several = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("bucket")
+    buckets = settle(keyed.join(several, "bucket").select("bucket", "node"), "segments")
+    given = rest.select("leaf", "key").join(matched, ["leaf", "key"], "left_semi")
+    known = settle(given.join(given.groupBy("leaf").agg(F.min("key").alias("b")), "leaf").select(F.col("key").alias("a"), "b"), "known")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(rest.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a").join(
+            rest.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b"
+        )
+        same = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda e: e))
+        return both.where((F.size("x") == F.size("y")) & (same * down >= F.size("x") * up)).select("a", "b")
+
+    return roots_within(buckets, close, known, "line-links")
 
 
 def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -157,9 +194,9 @@ def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = settle(
         lines.groupBy("leaf", "key", "n").agg(F.count(F.lit(1)).alias("docs"), F.min(own).alias("first")), "line-keys"
     )
-    matched = settle(instances(docs, keys).withColumn("instance", F.lit(True)), "instances")
-    template = F.when(F.col("instance"), F.struct("leaf", F.lit(True).alias("tree"))).otherwise(
-        F.struct(F.col("key").alias("leaf"), F.lit(False).alias("tree"))
+    matched = settle(instances(docs, keys), "instances")
+    template = F.when(F.col("tree").isNotNull(), F.struct(F.col("tree").alias("name"), F.lit(True).alias("many"))).otherwise(
+        F.struct(F.col("key").alias("name"), F.lit(False).alias("many"))
     )
     named = keys.join(matched, ["leaf", "key"], "left").select("key", "n", "docs", "first", template.alias("template"))
     wide = (
