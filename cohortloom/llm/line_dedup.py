@@ -7,7 +7,8 @@ place; lines that agree with it in 0.8 of their tokens are instances of it, and
 the places in which they differ are variable fields too. A leaf may hold further
 templates: lines that are no instance are linked with every line of the leaf that agrees
 with them in 0.8 of its tokens, and linked lines are one template. All other lines are
-templates of their own, with their digits left open. A template that recurs
+templates of their own, with their digits left open; lines in which most tokens have
+digits are compared as they are. A template that recurs
 across documents stays in the document with the smallest id and is dropped
 from all others.
 """
@@ -61,6 +62,18 @@ def parse(line: bytes) -> tuple[int, int, int, list[bytes]] | None:
     return n, _signed(leaf), _signed(xxhash.xxh64_intdigest(b" ".join(tokens))), tokens
 
 
+def named(line: bytes) -> tuple[int, int, int, list[bytes]] | None:
+    """As ``parse``, but a line made of variable fields for the larger part goes by its exact tokens, in a leaf of its own."""
+    found = parse(line)
+    if found:
+        return found
+    tokens = line.split()
+    if not tokens:
+        return None
+    key = _signed(xxhash.xxh64_intdigest(b"=" + b" ".join(tokens), seed=1))
+    return len(tokens), key, key, tokens
+
+
 def marks_of(keys: DataFrame) -> np.ndarray:
     """A bit for every residue of a key that occurs: a filter of fixed size, which lets all listed keys pass.
 
@@ -101,7 +114,7 @@ def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
             for at, raw in enumerate(batch.column(1)):
                 seen = set()
                 for line in (raw.as_py() or b"").split(b"\n"):
-                    found = parse(line)
+                    found = named(line)
                     if found and found[2] not in seen and (not texts or passing[found[2] % FILTER_BITS]):
                         seen.add(found[2])
                         place.append(at)
@@ -250,7 +263,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 lines = (text or "").split("\n") if gone or counts else []
                 out = []
                 for at, line in enumerate(lines if gone else ()):
-                    found = parse(line.encode("utf-8", "replace"))
+                    found = named(line.encode("utf-8", "replace"))
                     if found and found[2] in gone:
                         out.append(at)
                 if out:

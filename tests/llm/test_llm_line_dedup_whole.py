@@ -13,3 +13,11 @@ def test_several_templates_in_a_leaf(spark):
     alone = [" ".join([start, *tail[n]]) for n in "rs"]
     got = cleaned(spark, [(1, a[0]), (2, b[0]), (3, a[1]), (4, b[1]), (5, alone[0]), (6, alone[1])])
     assert got == {1: a[0], 2: b[0], 3: "", 4: "", 5: alone[0], 6: alone[1]}
+
+
+def test_exact_copies_of_numbers(spark):
+    log = "2024-01-02 10:11:12 17 404 10.0.0.1 a1 b2 c3 d4 e5 end"
+    other = log.replace("404", "405")
+    got = cleaned(spark, [(1, log), (2, log), (3, other), *[(10 + i, "1 2 x") for i in range(10)], *[(30 + i, "1 3 x") for i in range(9)]])
+    assert [got[i] for i in (1, 2, 3)] == [log, "", other]
+    assert [got[10 + i] for i in range(10)] == ["1 2 x"] + [""] * 9 and all(got[30 + i] for i in range(9))
