@@ -8,7 +8,9 @@ the places in which they differ are variable fields too. A leaf may hold further
 templates: lines that are no instance are linked with every line of the leaf that agrees
 with them in 0.8 of its tokens, and linked lines are one template. All other lines are
 templates of their own, with their digits left open; lines in which most tokens have
-digits are compared as they are. A template that recurs
+digits are compared as they are. A line of five to nine tokens may differ in one place, also a
+leading one: its templates leave one place open, and it goes by the one that stands in most documents.
+A template that recurs
 across documents stays in the document with the smallest id and is dropped
 from all others.
 """
@@ -29,7 +31,7 @@ from .components import roots_within
 
 #: Leading tokens that lead to a leaf.
 DEPTH = 4
-#: Lines of fewer tokens recur by chance: they are never generalised, and drop only from SHORT_DOCS documents on.
+#: Lines of fewer tokens recur by chance: they drop only from SHORT_DOCS documents on, also as instances of a template.
 LONG = 10
 LONG_DOCS = 2
 SHORT_DOCS = 10
@@ -74,6 +76,18 @@ def named(line: bytes) -> tuple[int, int, int, list[bytes]] | None:
     return len(tokens), key, key, tokens
 
 
+def variants(tokens: list[bytes]) -> list[int]:
+    """Keys of the templates of a short line: one place open, if that leaves half of the tokens or more."""
+    n, is_open = len(tokens), tokens.count(OPEN)
+    if n >= LONG or n * (AGREE[1] - AGREE[0]) < AGREE[1]:
+        return []
+    return [
+        _signed(xxhash.xxh64_intdigest(b" ".join([*tokens[:i], OPEN, *tokens[i + 1 :]])))
+        for i in range(n)
+        if 2 * (is_open + (tokens[i] != OPEN)) <= n
+    ]
+
+
 def marks_of(keys: DataFrame) -> np.ndarray:
     """A bit for every residue of a key that occurs: a filter of fixed size, which lets all listed keys pass.
 
@@ -88,14 +102,14 @@ def marks_of(keys: DataFrame) -> np.ndarray:
 
 
 def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
-    """Rows ``id, n, leaf, key`` of the different lines of every document (``id, text``).
+    """Rows ``id, n, leaf, key, variants`` of the different lines of every document (``id, text``).
 
-    With ``marks``, only lines whose key passes that filter, and their ``tokens``.
+    With ``marks``, only lines whose key passes that filter, and their ``tokens`` instead of ``variants``.
     """
     texts = marks is not None
     packed = np.packbits(marks) if texts else None
     fields = [docs.schema["id"], StructField("n", IntegerType()), StructField("leaf", LongType()), StructField("key", LongType())]
-    schema = StructType(fields + [StructField("tokens", StringType())] * texts)
+    schema = StructType([*fields, StructField("tokens", StringType()) if texts else StructField("variants", ArrayType(LongType()))])
     rows_at_once = 1 << 14
 
     def run(batches):
@@ -106,6 +120,8 @@ def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
             arrays += [pa.array([r[i] for r in rows], kind) for i, kind in ((0, pa.int32()), (1, pa.int64()), (2, pa.int64()))]
             if texts:
                 arrays.append(pa.array([b" ".join(r[3]).decode("utf-8", "replace") for r in rows], pa.string()))
+            else:  # a line in a leaf of its own, as `named` has it, has none
+                arrays.append(pa.array([variants(r[3]) or None if r[1] != r[2] else None for r in rows], pa.list_(pa.int64())))
             return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
         passing = np.unpackbits(packed).tobytes() if texts else b""
@@ -197,6 +213,21 @@ def _linked(texts: DataFrame, matched: DataFrame) -> DataFrame:
     return roots_within(buckets, close, known, "line-links")
 
 
+def short_templates(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows ``key, short`` of the short lines whose template stands in SHORT_DOCS documents or more.
+
+    ``lines`` has ``id, key``, ``keys`` has ``key, docs, variants``. A template has several different lines.
+    """
+    listed = keys.where("variants IS NOT NULL").select("key", "docs", F.explode("variants").alias("short"))
+    several = listed.groupBy("short").agg(F.count(F.lit(1)).alias("lines"), F.sum("docs").alias("docs"))
+    wide = several.where((F.col("lines") > 1) & (F.col("docs") >= SHORT_DOCS)).select("short")
+    members = settle(listed.join(wide, "short").select("key", "short"), "short-lines")
+    # a document may hold several lines of a template
+    held = lines.join(members, "key").select("short", "id").distinct().groupBy("short").agg(F.count(F.lit(1)).alias("docs"))
+    best = members.join(held.where(F.col("docs") >= SHORT_DOCS), "short")
+    return best.groupBy("key").agg(F.max(F.struct("docs", "short")).alias("best")).select("key", F.col("best.short").alias("short"))
+
+
 def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of every document, ``id, key``, and the recurring ones, ``key, keeper``.
 
@@ -205,19 +236,26 @@ def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = settle(parsed_lines(docs), "lines")
     own = F.struct(F.col("id").isNull().alias("last"), F.col("id"))
     keys = settle(
-        lines.groupBy("leaf", "key", "n").agg(F.count(F.lit(1)).alias("docs"), F.min(own).alias("first")), "line-keys"
+        lines.groupBy("leaf", "key", "n").agg(F.count(F.lit(1)).alias("docs"), F.min(own).alias("first"), F.first("variants").alias("variants")),
+        "line-keys",
     )
     matched = settle(instances(docs, keys), "instances")
-    template = F.when(F.col("tree").isNotNull(), F.struct(F.col("tree").alias("name"), F.lit(True).alias("many"))).otherwise(
+    short = settle(short_templates(lines.select("id", "key"), keys), "short-templates")
+    template = F.when(F.col("tree").isNotNull(), F.struct(F.col("tree").alias("name"), F.lit(True).alias("many"))).when(
+        F.col("short").isNotNull(), F.struct(F.col("short").alias("name"), F.lit(True).alias("many"))
+    ).otherwise(
         F.struct(F.col("key").alias("name"), F.lit(False).alias("many"))
     )
-    named = keys.join(matched, ["leaf", "key"], "left").select("key", "n", "docs", "first", template.alias("template"))
+    # the templates of short lines have been judged, by all lines that they hold
+    enough = F.when(F.col("short").isNotNull(), 1).when(F.col("n") >= LONG, LONG_DOCS).otherwise(SHORT_DOCS)
+    tied = keys.join(matched, ["leaf", "key"], "left").join(short, "key", "left")
+    known = tied.select("key", "n", "docs", "first", template.alias("template"), enough.alias("enough"))
     wide = (
-        named.groupBy("template", "n")
-        .agg(F.sum("docs").alias("docs"), F.min("first").alias("first"))
-        .where(F.col("docs") >= F.when(F.col("n") >= LONG, LONG_DOCS).otherwise(SHORT_DOCS))
+        known.groupBy("template", "n")
+        .agg(F.sum("docs").alias("docs"), F.min("first").alias("first"), F.min("enough").alias("enough"))
+        .where("docs >= enough")
     )
-    found = named.select("key", "template", "n").join(wide, ["template", "n"]).select("key", F.col("first.id").alias("keeper"))
+    found = known.select("key", "template", "n").join(wide, ["template", "n"]).select("key", F.col("first.id").alias("keeper"))
     return lines.select("id", "key"), found
 
 

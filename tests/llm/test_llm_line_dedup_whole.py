@@ -21,3 +21,14 @@ def test_exact_copies_of_numbers(spark):
     got = cleaned(spark, [(1, log), (2, log), (3, other), *[(10 + i, "1 2 x") for i in range(10)], *[(30 + i, "1 3 x") for i in range(9)]])
     assert [got[i] for i in (1, 2, 3)] == [log, "", other]
     assert [got[10 + i] for i in range(10)] == ["1 2 x"] + [""] * 9 and all(got[30 + i] for i in range(9))
+
+
+def test_short_lines_with_one_open_place(spark):
+    names = "Ann Bob Cy Dee Eve Fay Gus Hal Ida Joe".split()
+    rows = [(i, f"Posted by {name} in News") for i, name in enumerate(names)]
+    few = [(20 + i, f"Written by {name} for Sports") for i, name in enumerate(names[:9])] + [(20, "Written by Kim for Sports")]
+    got = cleaned(spark, [*rows, *few])
+    assert [got[i] for i in range(10)] == [rows[0][1]] + [""] * 9
+    assert all(got[20 + i] for i in range(9)), "nine documents are too few"
+    numbers = [(i, f"{i} 2 3 4 x") for i in range(12)]
+    assert cleaned(spark, numbers) == dict(numbers)
