@@ -1,8 +1,8 @@
 """Quality rules: surface counts of a text, and a hashed n-gram log-likelihood ratio against trusted texts.
 
 Word unigrams and bigrams are hashed into a fixed number of buckets. Two
-multinomials over the buckets are counted, one from the trusted texts and one
-from all texts; the mean of log(trusted / raw) over the n-grams of a document
+multinomials over the buckets are counted, one from at most MAX_TRUSTED trusted texts
+and one from all texts; the mean of log(trusted / raw) over the n-grams of a document
 decides, by a fixed threshold. Only built-in functions are used.
 """
 
@@ -38,7 +38,7 @@ def hashed_ngrams(word_hashes: Column, buckets: int = BUCKETS) -> Column:
 def ratios(
     docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED
 ) -> list[float]:
-    """log(trusted / raw) of every bucket, counted over all documents, to six decimals.
+    """log(trusted / raw) of every bucket, to six decimals; raw counts all documents, trusted a bounded number of them.
 
     ``trusted`` holds the ids of trusted documents; repeats and nulls do not
     matter. The trusted multinomial is fitted on ``max_trusted`` of them at
