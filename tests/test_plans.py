@@ -119,7 +119,8 @@ def test_portal_without_patient_key(spark):
         portal_metadata(PORTAL_SPECS["CBIO_LIU_2019"], samples.drop("PATIENT_ID"), patients)
 
 
-def test_merge_labelled_uses_genes_of_labelled_samples(spark):
+def test_merge_labelled_uses_genes_of_all_samples(spark):
+    # a gene that only a sample without label has is a gene of its dataset all the same
     schema = "study string, sample_id string, response_binary int, expression_format string"
     a = Cohort(
         spark.createDataFrame([("A", "1", 1, "TPM"), ("A", "2", None, "z")], schema),
@@ -130,9 +131,9 @@ def test_merge_labelled_uses_genes_of_labelled_samples(spark):
         expr(spark, (None, "1", "G", 2.0), (None, "1", "H", 2.0)),
     )
     merged, summary = merge_labelled_studies({"A": a, "B": b})
-    assert rows(merged.expr, "study", "gene", "value") == [("A", "G", 1.0), ("B", "G", 2.0)]
+    assert rows(merged.expr, "study", "gene", "value") == [("A", "G", 1.0), ("B", "G", 2.0), ("B", "H", 2.0)]
     assert rows(summary, "source_dataset", "n_samples", "n_common_genes", "expression_formats") == [
-        ("A", 1, 1, "TPM"), ("B", 1, 1, "TPM"),
+        ("A", 1, 2, "TPM"), ("B", 1, 2, "TPM"),
     ]
     kept, _ = merge_labelled_studies({"A": a, "B": b}, drop_missing=False)
     assert rows(kept.expr, "study", "gene") == [("A", "G"), ("A", "H"), ("B", "G"), ("B", "H")]

@@ -391,11 +391,12 @@ LABELLED = """
                CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN 1 END AS response_binary,
                CASE WHEN o_orderkey % 4 < 2 THEN 'TPM' ELSE 'z-score' END AS expression_format
         FROM orders WHERE o_orderstatus <> 'O'),
-    expr AS (
+    measured AS (
         SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS study, l_orderkey AS k, l_partkey,
                max(l_quantity) AS value
-        FROM lineitem WHERE l_orderkey IN (SELECT k FROM samples) GROUP BY 1, 2, 3),
-    common AS (SELECT l_partkey FROM expr GROUP BY l_partkey HAVING count(DISTINCT study) = 2)
+        FROM lineitem GROUP BY 1, 2, 3),
+    expr AS (SELECT * FROM measured WHERE k IN (SELECT k FROM samples)),
+    common AS (SELECT l_partkey FROM measured GROUP BY l_partkey HAVING count(DISTINCT study) = 2)
 """
 
 
