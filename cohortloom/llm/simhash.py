@@ -21,7 +21,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import settle
 from .common import Run, col, free_name, table
 from .components import roots
-from .near_copies import first_rows
 
 RADIUS = 3
 SEED = 42
@@ -147,6 +146,12 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -
     return within.unionByName(dense).distinct()
 
 
+def _rooted(own: DataFrame) -> DataFrame:
+    """``own`` (one row per distinct fingerprint ``fp``, stored) with ``root``, the smallest fingerprint reachable over links."""
+    root = roots(links(own.select("fp")), "links").withColumnRenamed("node", "fp")
+    return own.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicate_groups(fingerprints: DataFrame, id_col: str) -> DataFrame:
     """Columns ``fingerprint, root, component_id`` for every distinct fingerprint.
 
@@ -158,8 +163,7 @@ def near_duplicate_groups(fingerprints: DataFrame, id_col: str) -> DataFrame:
     own = settle(
         fingerprints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(col(id_col)).alias("least")), "fingerprints"
     )
-    root = roots(links(own.select("fp")), "links").withColumnRenamed("node", "fp")
-    tied = own.join(root, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    tied = _rooted(own)
     least = tied.groupBy("root").agg(F.min("least").alias("component_id"))
     return tied.join(least, "root").select(F.col("fp").alias("fingerprint"), "root", "component_id")
 
@@ -183,13 +187,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of ``docs`` without near copies: the row with the smallest id of each group stays.
 
-    Groups are those of ``near_copies``: five-word shingles, Jaccard similarity of 0.8 or more, not the
-    fingerprints of the query. Null ids come last; of repeated rows one stays. All columns are kept.
+    Groups are those of ``near_duplicates``: fingerprints of three-word shingles, linked at three or fewer
+    differing bits; null and empty texts are one group with all that lies near fingerprint zero. Null ids
+    come last; of repeated rows one stays. An empty table stays empty. All columns are kept.
     """
-    row = free_name(docs, "row_number")
+    row, mark = free_name(docs, "row_number"), "fingerprint"
     stored = settle(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    chosen = first_rows(stored.select(col(row).alias("row"), col(id_col).alias("id"), col(text_col).alias("text")))
-    return stored.join(chosen.withColumnRenamed("row", row), row, "left_semi").select(*[col(c) for c in docs.columns])
+    named = stored.select(col(row).alias("row"), col(id_col).alias("id"), col(text_col).alias("text"))
+    order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
+    # one row per fingerprint before anything is joined, so that copies are no hot key
+    own = with_fingerprint(named, "text", mark).groupBy(F.col(mark).alias("fp")).agg(F.min(order).alias("first"))
+    chosen = _rooted(settle(own, "fingerprints")).groupBy("root").agg(F.min("first").alias("first"))
+    return stored.join(chosen.select(F.col("first.row").alias(row)), row, "left_semi").select(*[col(c) for c in docs.columns])
 
 
 def op1(spark, folder):
