@@ -27,7 +27,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest id stays."""
+    """Of each group of near copies (fingerprints of three-word shingles, at most three differing bits) the document with the smallest id stays."""
     return simhash.keep_one_per_group(docs)
 
 
