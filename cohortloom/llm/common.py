@@ -88,3 +88,13 @@ def exploded(df: DataFrame, items: Column, name: str, *keep) -> DataFrame:
 def remainder(ids: Column, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def hot_keys(groups: DataFrame, key: str, size: str, share: int = 256, most: int = 1000) -> DataFrame:
+    """``key, salts`` of the largest groups: into how many parts of ``share`` rows each should be dealt.
+
+    At most ``most`` rows, so it may be broadcast. Only load depends on it: the largest group that is left out holds
+    at most one part in ``most`` of all rows. ``key`` may be shared by several groups.
+    """
+    large = groups.where(F.col(size) >= 2 * share).groupBy(key).agg(F.max(size).alias(size))
+    return large.orderBy(F.desc(size)).limit(most).select(key, F.ceil(F.col(size) / share).cast("int").alias("salts"))

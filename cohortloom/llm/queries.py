@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     decontaminate,
+    exact_copies,
     language_model,
     line_dedup,
     quality_classifier,
@@ -27,6 +28,7 @@ _MODULES = (
     line_dedup,
     toxicity,
     quality_classifier,
+    exact_copies,
 )
 
 QUERIES: dict[str, Run] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
