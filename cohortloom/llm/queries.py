@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     decontaminate,
     exact_copies,
+    hard_negatives,
     language_model,
     line_dedup,
     quality_classifier,
@@ -29,6 +30,7 @@ _MODULES = (
     toxicity,
     quality_classifier,
     exact_copies,
+    hard_negatives,
 )
 
 QUERIES: dict[str, Run] = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
