@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    conversations,
     decontaminate,
     exact_copies,
     hard_negatives,
@@ -30,6 +31,7 @@ _MODULES = (
     toxicity,
     quality_classifier,
     exact_copies,
+    conversations,
     hard_negatives,
 )
 
