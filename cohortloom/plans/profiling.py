@@ -18,8 +18,7 @@ from ..operators.summaries import (
     table_shape,
 )
 from ..session import settle
-from ..sources.matrix import scan_matrix_long
-from ..sources.tables import detect_separator
+from .inspection import profile_files
 
 
 def profile_table(df: DataFrame, dataset: str) -> DataFrame:
@@ -67,16 +66,14 @@ def profile_matrix(cells: DataFrame, main_genes: DataFrame, first: int = 20) ->
     return merge_rows("study", [matrix_profile(cells), heads, overlap])
 
 
-
 def profile_matrix_file(
     spark: SparkSession, path: str, dataset: str, main_genes: DataFrame, comment: str | None = None
 ) -> DataFrame:
-    """Summary row of a matrix file of unknown separator; the text is parsed once and stored."""
-    sep = detect_separator(spark, path, comment)
-    cells = scan_matrix_long(
-        spark, path, dataset, sep=sep, drop_columns=(), keep_unnamed=True, comment=comment, with_column=True
-    )
-    cells = settle(cells, "cells")
-    return profile_matrix(cells, main_genes).withColumns(
-        {"file": F.lit(path), "separator": F.lit(sep)}
-    )
+    """Summary row of a matrix file of unknown separator, from one pass over its lines; no cell is stored."""
+    listed = spark.createDataFrame([(dataset, path, "expression", None)], "dataset string, path string, file_type string, format string")
+    row = settle(profile_files(spark, listed, main_genes, comment=comment), "profile")
+    error = row.first()["error"]
+    if error:
+        raise ValueError(f"{path}: {error}")
+    figures = [c for c in row.columns if c.startswith("n_") and c not in ("n_cols", "n_missing", "n_numeric_cols")]
+    return row.select(F.col("dataset").alias("study"), *figures, F.col("path").alias("file"), "separator")

@@ -184,10 +184,17 @@ def scanned_visit_cohort(t: Tables):
     f"""
     WITH cells AS ({QUANTITY_MATRIX}),
     main AS (SELECT p_name AS gene FROM part WHERE p_size > 30 UNION SELECT 'absent'),
-    rows AS (SELECT count(DISTINCT l_partkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey)
+    rows AS (SELECT count(DISTINCT l_partkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey),
+    -- the header: id, gene, remark, then a column per line number, status and flag
+    header AS (
+        SELECT 0 AS place, true AS numeric
+        UNION ALL SELECT 1, (SELECT bool_and(TRY_CAST(p_type AS DOUBLE) IS NOT NULL) FROM part)
+        UNION ALL SELECT 1 + row_number() OVER (), true
+        FROM range(1, 8), (VALUES ('Pre'), ('Post')) v(phase), (VALUES ('RAFi'), ('RAF/MEKi'), ('RAF')) w(therapy))
     SELECT 'S' AS study, chr(9) AS separator, n AS n_rows, (SELECT count(DISTINCT gene) FROM cells) AS n_unique_genes,
-           CAST(0 AS BIGINT) AS n_missing_genes, CAST(44 AS BIGINT) AS n_samples,
-           n * 42 - (SELECT count(*) FROM cells) AS n_missing_cells, CAST(19 AS BIGINT) AS n_numeric_samples,
+           (SELECT count(*) FROM cells WHERE gene IS NULL) AS n_missing_genes, (SELECT count(*) FROM header) AS n_samples,
+           n * (SELECT count(*) FROM header WHERE place > 1) - (SELECT count(*) FROM cells) AS n_missing_cells,
+           (SELECT count(*) FROM header WHERE numeric AND place < 20) AS n_numeric_samples,
            (SELECT count(DISTINCT gene) FROM cells) AS n_extra_genes,
            (SELECT count(DISTINCT gene) FROM cells WHERE gene IN (SELECT gene FROM main)) AS n_common_genes,
            (SELECT count(*) FROM main) AS n_main_genes
@@ -195,7 +202,7 @@ def scanned_visit_cohort(t: Tables):
     """,
 )
 def overlap_profile(t: Tables):
-    # Among the first 20 columns by name, the text column Description is no number.
+    # Among the first 20 columns of the header, the text column Description is no number.
     main = t.part.filter("p_size > 30").select(F.col("p_name").alias("gene")).distinct()
     main = main.unionByName(t.part.agg(F.lit("absent").alias("gene")))
     return profile_matrix_file(t.spark, quantity_matrix(t), "S", main).drop("file")
