@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mean_value
@@ -76,39 +76,58 @@ def first_symbol_map(ids: DataFrame, symbols: DataFrame) -> DataFrame:
 def last_symbol_map(ids: DataFrame, symbols: DataFrame) -> DataFrame:
     """(id, symbol): of the distinct pairs, the one whose first appearance is latest.
 
-    Exact without listing all pairs. An id of one protein takes that protein's
-    latest symbol. For an id of several proteins, the symbols known to one
-    protein only are represented by the latest of them; pairs are formed for
-    the symbols shared between proteins alone.
+    Exact without forming the pairs of a protein. Let an id's proteins stand in
+    the order of its rows, latest first. Its symbol is the latest of the first
+    protein that has one which no later protein of the list has too, as a pair
+    appears first in the last protein that both share. So ids with the same
+    list have the same symbol, and of every protein its symbols are read from
+    the latest on, down to a bound: a symbol that no other protein has, or one
+    more than the following proteins have in all, ends the search.
     """
-    places = _first_rows(symbols, "symbol").withColumnRenamed("first_row", "right_row")
-    in_several = places.groupBy("symbol").agg((F.count(F.lit(1)) > 1).alias("shared"))
-    places = places.join(in_several, "symbol")
-    entry = F.struct("symbol", "right_row")
-    latest = places.groupBy("protein_id").agg(
-        F.max_by(entry, "right_row").alias("any"),
-        F.max_by(entry, F.when(~F.col("shared"), F.col("right_row"))).alias("own"),
+    ranked = _ranked_symbols(symbols)
+    sizes = ranked.groupBy("protein_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("shared"), F.col("rank"))).alias("own_rank")
     )
-    proteins = (
-        ids.dropna(subset=["protein_id", "id"]).groupBy("id")
-        .agg((F.min("protein_id") == F.max("protein_id")).alias("single"))
-    )
-    placed = _first_rows(ids, "id").join(proteins, "id")
-    chosen = F.when(F.col("single"), F.col("any")).otherwise(F.col("own"))
-    from_protein = (
-        placed.join(latest, "protein_id")
-        .select("id", "first_row", chosen.alias("entry"))
-        .filter(F.col("entry").isNotNull())
-        .select("id", "entry.symbol", F.struct("first_row", "entry.right_row").alias("position"))
-    )
-    from_shared = (
-        placed.filter(~F.col("single")).join(places.filter("shared"), "protein_id")
-        .groupBy("id", "symbol")
-        .agg(F.min(F.struct("first_row", "right_row")).alias("position"))
-    )
-    return (
-        from_protein.unionByName(from_shared).groupBy("id").agg(F.max_by("symbol", "position").alias("symbol"))
+    placed = _first_rows(ids, "id").join(sizes, "protein_id")
+    member = F.struct("first_row", "protein_id", "n", "own_rank")
+    listed = placed.groupBy("id").agg(F.sort_array(F.collect_list(member), asc=False).alias("members"))
+    known = settle(listed.withColumn("proteins", F.col("members.protein_id")), "protein-lists")
+
+    # an id of one protein takes that protein's latest symbol
+    top = ranked.filter("rank = 1").select("protein_id", "symbol")
+    alone = known.filter("size(proteins) = 1").select("id", F.col("proteins")[0].alias("protein_id")).join(top, "protein_id")
+
+    several = known.filter("size(proteins) > 1")
+    lists = several.groupBy("proteins").agg(F.first("members").alias("members"))
+    lists = settle(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
+    places = _read_bounds(lists)
+    wanted = places.withColumn("rank", F.explode(F.sequence(F.lit(1).cast("bigint"), "bound"))).drop("bound")
+    read = wanted.join(ranked.select("protein_id", "rank", "symbol"), ["protein_id", "rank"])
+    later = places.select("list", F.col("place").alias("later_place"), F.col("protein_id").alias("later_protein"))
+    has = ranked.select(F.col("protein_id").alias("later_protein"), "symbol")
+    taken = read.join(later, "list").filter("later_place > place").select("list", "place", "symbol", "later_protein").join(
+        has, ["later_protein", "symbol"], "left_semi"
     )
+    free = read.join(taken.select("list", "place", "symbol").distinct(), ["list", "place", "symbol"], "left_anti")
+    best = free.groupBy("list").agg(F.min_by("symbol", F.struct("place", "rank")).alias("symbol"))
+    chosen = several.select("id", "proteins").join(lists.select("proteins", "list"), "proteins").join(best, "list")
+    return alone.select("id", "symbol").unionByName(chosen.select("id", "symbol"))
+
+
+def _read_bounds(lists: DataFrame) -> DataFrame:
+    """(list, place, protein_id, bound): how many symbols of the proteins of a list have to be read, from the latest on."""
+    places = lists.select("list", F.posexplode("members").alias("place", "m"), "members")
+    following = F.aggregate(F.expr("slice(members, place + 2, size(members))"), F.lit(0).cast("bigint"), lambda total, m: total + m["n"])
+    bound = F.least("m.n", F.coalesce("m.own_rank", "m.n"), following + 1)
+    return places.select("list", "place", "m.protein_id", bound.alias("bound"))
+
+
+def _ranked_symbols(symbols: DataFrame) -> DataFrame:
+    """(protein_id, symbol, rank, shared): symbols of a protein from the latest on; ``shared`` ones have several proteins."""
+    places = _first_rows(symbols, "symbol")
+    proteins = places.groupBy("symbol").agg((F.count(F.lit(1)) > 1).alias("shared"))
+    rank = F.row_number().over(Window.partitionBy("protein_id").orderBy(F.desc("first_row"))).cast("bigint")
+    return settle(places.withColumn("rank", rank).join(proteins, "symbol").drop("first_row"), "ranked-symbols")
 
 
 def _first_rows(aliases: DataFrame, name: str) -> DataFrame:

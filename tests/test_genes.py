@@ -44,6 +44,35 @@ def test_last_symbol_of_private_and_shared(spark):
     assert rows(G.last_symbol_map(ids, syms), "id", "symbol") == [("7", "B"), ("8", "A")]
 
 
+def test_last_symbol_reads_no_pairs(spark, monkeypatch):
+    """Hot proteins: every id and every symbol has two, of which one holds them all; what is read stays in proportion."""
+    n, bounds = 10_000, []
+    read_bounds = G._read_bounds
+
+    def watched(lists):
+        places = read_bounds(lists)
+        bounds.append(places.agg(F.sum("bound")).first()[0])
+        return places
+
+    monkeypatch.setattr(G, "_read_bounds", watched)
+    number = spark.range(n).selectExpr("id AS n")
+    own = F.concat(F.lit("q"), F.col("n").cast("string"))
+    name = F.concat(F.lit("x"), F.col("n").cast("string"))
+
+    def both(second, shift):
+        hot = number.select(F.lit("p").alias("protein_id"), name.alias("name"), (F.col("n") + shift).alias("row"))
+        return hot.unionByName(number.select(second.alias("protein_id"), name.alias("name"), (F.col("n") + shift + n).alias("row")))
+
+    last = {}
+    for kind, second in (("own", own), ("other", F.lit("z"))):
+        ids = both(second, 0).withColumnRenamed("name", "id")
+        symbols = both(second, 5 * n).withColumnRenamed("name", "symbol")
+        last[kind] = {r.id: r.symbol for r in G.last_symbol_map(ids, symbols).collect()}
+    assert max(bounds) <= 4 * n
+    # the second protein's rows come later; what it has was seen with the first one before, so the first one's latest counts
+    assert last["own"] == {f"x{i}": f"x{n - 1}" for i in range(n)} and last["other"] == last["own"]
+
+
 ALIAS = [
     ("p", "7", "Ensembl_HGNC_entrez_id", 1), ("p", "A", "Ensembl_HGNC", 2), ("p", "B", "Ensembl_HGNC", 3),
     ("p", "ENSG01.3", "Ensembl_gene", 4), ("p", "C", "UniProt", 0),
