@@ -15,6 +15,7 @@ from cohortloom.operators.genes import (
     preferred_symbol_aliases,
     symbol_aliases,
 )
+from cohortloom.operators.genesets import add_genes, common_bitmap, common_genes_of, overlap_of_sets
 from cohortloom.plans.cohorts import convert_gene_ids, gene_map
 from cohortloom.session import settle
 from cohortloom.sinks.features import to_features, to_wide
@@ -143,6 +144,27 @@ def common_gene_order(t: Tables):
     return gene_index(common_genes(expression(t), STUDIES))
 
 
+@query(
+    "common_genes_bitmap",
+    f"""
+    SELECT s.studies, row_number() OVER (PARTITION BY s.studies ORDER BY e.gene) - 1 AS place, e.gene
+    FROM (SELECT DISTINCT study, gene FROM ({EXPRESSION})) e
+    JOIN (VALUES ('ALL', 'AFRICA,AMERICA,ASIA,EUROPE,MIDDLE EAST'), ('TWO', 'AFRICA,ASIA')) s(studies, names)
+      ON list_contains(string_split(s.names, ','), e.study)
+    GROUP BY s.studies, s.names, e.gene HAVING count(DISTINCT e.study) = len(string_split(s.names, ','))
+    """,
+)
+def common_genes_by_bitmap(t: Tables):
+    expr = expression(t)
+    # the cohort of one region comes later, and is added without the others
+    sets = add_genes(expr.filter("study = 'ASIA'"), add_genes(expr.filter("study <> 'ASIA'")))
+    parts = [
+        gene_index(common_genes_of(sets, studies)).select(F.lit(name).alias("studies"), F.col("idx").alias("place"), "gene")
+        for name, studies in (("ALL", STUDIES), ("TWO", ("AFRICA", "ASIA")))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 MAIN_GENES = f"""
     SELECT gene FROM ({EXPRESSION}) WHERE study IN ('AFRICA', 'ASIA')
     GROUP BY gene HAVING count(DISTINCT study) = 2
@@ -187,6 +209,21 @@ def overlap_of_genes(t: Tables):
     return gene_overlap(common_genes(expr, ("AFRICA", "ASIA")), extra)
 
 
+@query(
+    "gene_overlap_bitmap",
+    f"""
+    SELECT study, count(*) AS n_extra_genes, count(m.gene) AS n_common_genes,
+           (SELECT count(*) FROM ({MAIN_GENES})) AS n_main_genes
+    FROM (SELECT DISTINCT study, gene FROM ({EXPRESSION})) x
+    LEFT JOIN ({MAIN_GENES}) m ON x.gene = m.gene
+    GROUP BY study
+    """,
+)
+def overlap_by_bitmap(t: Tables):
+    sets = add_genes(expression(t))
+    return overlap_of_sets(common_bitmap(sets, ("AFRICA", "ASIA")), sets)
+
+
 @query(
     "gene_difference",
     f"""
