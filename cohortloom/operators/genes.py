@@ -8,7 +8,7 @@ from typing import Literal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_value
+from ..functions.numeric import mean_of
 from ..functions.text import drop_ensembl_version, strip
 from ..session import settle
 from .ordering import with_position
@@ -150,8 +150,8 @@ def apply_gene_map(
 
 
 def mean_duplicates(expr: DataFrame, keys: Sequence[str] = (*SAMPLE_KEYS, "gene")) -> DataFrame:
-    """One value per sample and gene: the mean of the present values."""
-    return expr.groupBy(*keys).agg(mean_value(F.col("value")).alias("value"))
+    """One value per sample and gene: the mean of the present values, whatever the order of the rows."""
+    return expr.groupBy(*keys).agg(mean_of(expr, "value").alias("value"))
 
 
 def genes_of(expr: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_value
+from ..functions.numeric import mean_of
 from ..functions.text import contains_any
 from ..session import settle
 
@@ -103,7 +103,7 @@ def mean_of_numeric_samples(cells: DataFrame) -> DataFrame:
     """
     means = settle(
         cells.groupBy("study", "sample_id", "gene").agg(
-            mean_value(F.col("value")).alias("value"), F.count_if(broken_cell()).alias("n_broken")
+            mean_of(cells, "value").alias("value"), F.count_if(broken_cell()).alias("n_broken")
         ),
         "means",
     )

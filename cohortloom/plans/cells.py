@@ -11,7 +11,7 @@ from ..functions.fixed_values import (
     SAMPLE_COLUMN_WORDS,
 )
 from ..functions.labels import add_label
-from ..functions.numeric import log2_cpm, mean_with_zeros, total_value
+from ..functions.numeric import log2_cpm, mean_with_zeros, total_of
 from ..functions.text import normalise_sample_id, patient_from_cell_id, strip
 from ..operators.genes import SAMPLE_KEYS, common_genes, on_genes, require_genes
 from ..operators.matching import (
@@ -102,17 +102,17 @@ def pseudobulk_sum(cells: DataFrame) -> DataFrame:
 
     ``cells`` is (study, sample_id, gene, value).
     """
-    return cells.groupBy(*SAMPLE_KEYS, "gene").agg(total_value(F.col("value")).alias("value"))
+    return cells.groupBy(*SAMPLE_KEYS, "gene").agg(total_of(cells, "value").alias("value"))
 
 
 def pseudobulk_mean(cells: DataFrame) -> DataFrame:
     """Mean of the cells of a sample per gene; a value that is no number counts as 0.0."""
-    return cells.groupBy(*SAMPLE_KEYS, "gene").agg(mean_with_zeros(F.col("value")).alias("value"))
+    return cells.groupBy(*SAMPLE_KEYS, "gene").agg(mean_with_zeros(cells, "value").alias("value"))
 
 
 def library_sizes(counts: DataFrame) -> DataFrame:
     """Total per sample; NULL for an empty sample."""
-    total = F.nullif(F.coalesce(F.sum("value"), F.lit(0.0)), F.lit(0.0))
+    total = F.nullif(total_of(counts, "value"), F.lit(0.0))
     return counts.groupBy(*SAMPLE_KEYS).agg(total.alias("library"))
 
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cohortloom.functions.numeric import mean_with_zeros, total_value
+from cohortloom.functions.numeric import mean_with_zeros, total_of
 from cohortloom.operators import genes as G
 
 
@@ -113,7 +113,7 @@ def test_duplicate_means(spark):
         "study string, sample_id string, gene string, value double",
     )
     assert rows(G.mean_duplicates(expr), "gene", "value") == [("TP53", 1.0), ("X", None)]
-    sums = expr.groupBy("gene").agg(total_value(F.col("value")).alias("v"), mean_with_zeros(F.col("value")).alias("m"))
+    sums = expr.groupBy("gene").agg(total_of(expr, "value").alias("v"), mean_with_zeros(expr, "value").alias("m"))
     assert rows(sums, "gene", "v", "m") == [("TP53", 1.0, 0.5), ("X", 0.0, 0.0)]
 
 

@@ -17,11 +17,11 @@ from cohortloom.plans.cells import (
 )
 from cohortloom.operators.matching import cell_to_sample
 
-from .mapping import CELL_VALUES, EVENT_KEY, cell_values, event_key
+from .mapping import CELL_VALUES, EVENT_KEY, cell_values, event_key, exact_sum
 from .registry import Tables, query
 
 PSEUDOBULK = f"""
-    SELECT study, sample_id, gene, CAST(coalesce(sum(value), 0) AS DOUBLE) AS value
+    SELECT study, sample_id, gene, coalesce({exact_sum('value')}, 0.0) AS value
     FROM ({CELL_VALUES}) GROUP BY study, sample_id, gene
 """
 
@@ -35,7 +35,8 @@ def summed_cells(t: Tables):
     "log_cpm",
     f"""
     SELECT study, sample_id, gene, round(log2(value / library * 1000000 + 1), 6) AS value
-    FROM (SELECT *, sum(value) OVER (PARTITION BY sample_id) AS library FROM ({PSEUDOBULK}))
+    FROM ({PSEUDOBULK}) JOIN (
+        SELECT sample_id, {exact_sum('value')} AS library FROM ({PSEUDOBULK}) GROUP BY sample_id) USING (sample_id)
     """,
 )
 def log_cpm_of_cells(t: Tables):
@@ -46,7 +47,7 @@ def log_cpm_of_cells(t: Tables):
 @query(
     "pseudobulk_mean",
     f"""
-    SELECT study, sample_id, gene, CAST(coalesce(sum(value), 0) AS DOUBLE) / count(*) AS value
+    SELECT study, sample_id, gene, coalesce({exact_sum('value')}, 0.0) / count(*) AS value
     FROM ({CELL_VALUES}) GROUP BY study, sample_id, gene
     """,
 )
@@ -111,7 +112,7 @@ SUM_COHORT = f"""
     labelled AS ({LABELLED_CELLS}),
     placed AS (SELECT cell_id, arg_max(sample_id, row) AS sample_id FROM labelled GROUP BY cell_id),
     counts AS (
-        SELECT p.sample_id, c.gene, CAST(coalesce(sum(c.value), 0) AS DOUBLE) AS value
+        SELECT p.sample_id, c.gene, coalesce({exact_sum('c.value')}, 0.0) AS value
         FROM ({CELL_VALUES}) c JOIN placed p ON c.cell_id = p.cell_id GROUP BY p.sample_id, c.gene),
     rolled AS (
         SELECT sample_id, count(*) AS n_cells,
@@ -179,14 +180,13 @@ def patient_cells(t: Tables):
         F.lit("TPM").alias("study"),
         cell.alias("cell_id"),
         F.col("event_type").alias("gene"),
-        F.when(F.col("event_id") % 7 != 0, F.col("value").cast("decimal(18,2)")).alias("value"),
+        F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"),
     )
 
 
-MEAN_COHORT = """
+MEAN_COHORT = f"""
     SELECT 'TPM' AS study, 'Pre_P' || user_id AS sample_id, event_type AS gene,
-           CAST(coalesce(sum(CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE)
-               / count(*) AS value
+           coalesce({exact_sum('CASE WHEN event_id % 7 <> 0 THEN value END')}, 0.0) / count(*) AS value
     FROM events WHERE event_id % 5 <> 0 GROUP BY user_id, event_type
 """
 
@@ -222,16 +222,19 @@ def _fused(t: Tables):
     f"""
     WITH {SUM_COHORT},
     log AS (
-        SELECT sample_id, gene, log2(value / nullif(sum(value) OVER (PARTITION BY sample_id), 0) * 1000000 + 1) AS value
-        FROM counts WHERE gene <> 'view')
+        SELECT sample_id, gene, log2(value / nullif(library, 0) * 1000000 + 1) AS value
+        FROM counts JOIN (
+            SELECT sample_id, {exact_sum('value')} AS library FROM counts WHERE gene <> 'view' GROUP BY sample_id) USING (sample_id)
+        WHERE gene <> 'view')
     SELECT 'COUNTS' AS study, sample_id, gene, round(value, 6) AS value FROM log WHERE gene <> 'signup'
     UNION ALL
-    SELECT 'TPM', sample_id, gene, round(value, 6) FROM ({MEAN_COHORT}) WHERE gene NOT IN ('signup', 'view')
+    SELECT 'TPM', sample_id, gene, value FROM ({MEAN_COHORT}) WHERE gene NOT IN ('signup', 'view')
     """,
 )
 def fused_values(t: Tables):
     cohort, _ = _fused(t)
-    return cohort.expr.withColumn("value", F.round("value", 6))
+    # the logarithms of two engines may differ in their last bit; sums and means do not
+    return cohort.expr.withColumn("value", F.when(F.col("study") == "COUNTS", F.round("value", 6)).otherwise(F.col("value")))
 
 
 @query(

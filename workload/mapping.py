@@ -181,23 +181,32 @@ FIRST_SYMBOL_MAP = f"""
 
 
 def cell_values(t: Tables) -> DataFrame:
-    """Events as cell measurements; every seventh value is a text that is no number.
-
-    Values are DECIMAL, so that sums are exact in any order.
-    """
+    """Events as cell measurements; every seventh value is a text that is no number."""
     return t.events.select(
         F.lit("EVENTS").alias("study"),
         F.col("event_id").cast("string").alias("cell_id"),
         F.col("user_id").cast("string").alias("sample_id"),
         F.col("event_type").alias("gene"),
-        F.when(F.col("event_id") % 7 != 0, F.col("value").cast("decimal(18,2)")).alias("value"),
+        F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"),
     )
 
 
+def exact_sum(value: str) -> str:
+    """SQL for the exact sum of doubles below 2**62 of whole 2**-64ths, as the double that the library makes of it."""
+    low = "((n + 2147483648) % 4294967296 + 4294967296) % 4294967296 - 2147483648"
+    parts = f"[sum(CAST(trunc({value} * 18446744073709551616.0) AS HUGEINT))]"
+    parts = f"list_transform({parts}, lambda n: {{'low': {low}, 'n': (n - ({low})) // 4294967296}})"
+    mid = low.replace("n +", "s.n +")
+    parts = f"list_transform({parts}, lambda s: {{'low': s.low, 'mid': {mid}, 'n': (s.n - ({mid})) // 4294967296}})"
+    double = "CAST(u.{} AS DOUBLE)".format
+    total = f"{double('n')} + ({double('mid')} + {double('low')} / 4294967296.0) / 4294967296.0"
+    return f"list_transform({parts}, lambda u: {total})[1]"
+
+
 CELL_VALUES = """
     SELECT 'EVENTS' AS study, CAST(event_id AS VARCHAR) AS cell_id,
            CAST(user_id AS VARCHAR) AS sample_id, event_type AS gene,
-           CASE WHEN event_id % 7 <> 0 THEN CAST(value AS DECIMAL(18,2)) END AS value
+           CASE WHEN event_id % 7 <> 0 THEN value END AS value
     FROM events
 """
 

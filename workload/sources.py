@@ -20,7 +20,7 @@ from cohortloom.sources.catalog import classify_cell_tables, classify_files, pic
 from cohortloom.sources.matrix import scan_matrix_long, scan_wide_dataset
 from cohortloom.sources.tables import detect_separator, scan_table
 
-from .mapping import ALIAS_TABLE, alias_table
+from .mapping import ALIAS_TABLE, alias_table, exact_sum
 from .registry import Tables, query
 
 
@@ -213,14 +213,14 @@ HOURS = [f"A{h}_P{h % 5}_M1" for h in range(24)]
 
 @query(
     "scan_cell_text",
-    """
+    f"""
     WITH sums AS (
         SELECT user_id, hour(ts) AS h, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events GROUP BY ALL),
     cells AS (
         SELECT u.user_id, h.h, s.v FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN range(24) h(h)
         LEFT JOIN sums s ON s.user_id = u.user_id AND s.h = h.h)
     SELECT 'S_' || (h % 5) AS sample_id, 'U' || user_id AS gene,
-           round(CAST(coalesce(sum(CASE WHEN user_id % 4 <> 1 THEN v END), 0) AS DOUBLE) / count(*), 6) AS value
+           coalesce({exact_sum('CASE WHEN user_id % 4 <> 1 THEN CAST(v AS DOUBLE) END')}, 0.0) / count(*) AS value
     FROM cells WHERE h % 5 <> 4 GROUP BY ALL
     """,
 )
@@ -248,7 +248,7 @@ def scanned_cell_text(t: Tables):
         F.col("p").alias("row"),
     )
     expr = mean_cell_file(t.spark, path, samples, "TPM").expr
-    return expr.select("sample_id", "gene", F.round("value", 6).alias("value"))
+    return expr.select("sample_id", "gene", "value")
 
 
 @query(
