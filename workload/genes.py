@@ -18,7 +18,7 @@ from cohortloom.operators.genes import (
 from cohortloom.operators.genesets import add_genes, common_bitmap, common_genes_of, overlap_of_sets
 from cohortloom.plans.cohorts import convert_gene_ids, gene_map
 from cohortloom.session import settle
-from cohortloom.sinks.features import to_features, to_wide
+from cohortloom.sinks.features import sample_index, to_features, to_tiles, to_wide
 
 from .mapping import (
     ALIAS_TABLE,
@@ -274,6 +274,31 @@ def features_export(t: Tables):
     )
 
 
+TILE = (64, 128)
+
+
+@query(
+    "feature_tiles",
+    f"""
+    WITH m AS (SELECT study, sample_id, gene, avg(value) AS value FROM ({NAMED_EXPRESSION}) GROUP BY ALL),
+    g AS (SELECT gene, row_number() OVER (ORDER BY gene) - 1 AS idx FROM (SELECT DISTINCT gene FROM m)),
+    s AS (SELECT study, sample_id, row_number() OVER (ORDER BY study, sample_id) - 1 AS row FROM (SELECT DISTINCT study, sample_id FROM m)),
+    t AS (
+        SELECT row // {TILE[0]} AS sample_block, idx // {TILE[1]} AS gene_block, list(row % {TILE[0]} ORDER BY row, idx) AS rows,
+               string_agg(idx % {TILE[1]} || '=' || CAST(value * 60 AS BIGINT), ',' ORDER BY row, idx) AS cells
+        FROM m JOIN g USING (gene) JOIN s USING (study, sample_id) WHERE value IS NOT NULL GROUP BY 1, 2)
+    SELECT sample_block, gene_block, cells, array_to_string(
+        list_transform(range({TILE[0]} + 1), lambda k: len(list_filter(rows, lambda r: r < k))), ',') AS indptr
+    FROM t
+    """,
+)
+def feature_tiles(t: Tables):
+    expr = settle(mean_duplicates(named_expression(t)), "means")
+    tiles = to_tiles(expr, sample_index(expr), gene_index(expr), tile=TILE)
+    cell = F.zip_with("indices", "values", lambda c, v: F.concat_ws("=", c.cast("string"), F.round(v * 60).cast("bigint").cast("string")))
+    return tiles.select("sample_block", "gene_block", F.array_join(cell, ",").alias("cells"), F.array_join(F.col("indptr").cast("array<string>"), ",").alias("indptr"))
+
+
 @query(
     "wide_export",
     f"""
