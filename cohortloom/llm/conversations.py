@@ -199,37 +199,54 @@ def _chosen(parts: DataFrame) -> DataFrame:
     rest = [StructField("block", LongType()), StructField("start", IntegerType()), StructField("audit", StringType())]
     schema = StructType([parts.schema["conv"], *rest, *[StructField(n, LongType()) for n in ("cost", *figures)]])
 
+    kinds = [LongType(), IntegerType(), StringType(), *[LongType()] * (1 + len(figures))]
+
     def run(batches):
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        convs, rows, types, kind = [], [], [to_arrow_type(k) for k in kinds], None
 
-        def finished(key, joined, blocks, sums):
+        def close(value, joined, blocks, sums, _):
             cost, chosen = joined.finish()
-            rows = [(b, start, audit, None, *[None] * len(figures)) for b, (start, audit) in zip(blocks, chosen)]
+            for block, (start, audit) in zip(blocks, chosen):
+                rows.append((block, start, audit, None, *[None] * len(figures)))
             rows.append((None, None, "".join(audit for _, audit in chosen), cost, *[sums[f] for f in figures]))
-            kinds = [pa.int64(), pa.int32(), pa.string(), *[pa.int64()] * (1 + len(figures))]
-            arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-            convs = key.take(pa.array([0] * len(rows), pa.int64()))
-            return pa.RecordBatch.from_arrays([convs, *arrays], names=[f.name for f in schema.fields])
+            convs.extend([value] * (len(chosen) + 1))
+
+        def flushed():
+            arrays = [pa.array(convs, kind), *[pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]]
+            convs.clear()
+            rows.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
-        now = None  # the conversation being read: key as an array, value, state
+        now = None  # the conversation being read: its id, parts, blocks, figures, last initial
         for batch in batches:
-            keys = batch.column(0)
-            for at, (value, row) in enumerate(zip(keys.to_pylist(), batch.drop_columns(["conv"]).to_pylist())):
-                if now is None or value != now[1]:
+            kind = batch.column(0).type
+            for value, row in zip(batch.column(0).to_pylist(), batch.drop_columns(["conv"]).to_pylist()):
+                if now is None or value != now[0]:
                     if now:
-                        yield finished(now[0], *now[2:5])
-                    now = [keys.slice(at, 1), value, Joined(), [], dict.fromkeys(figures, 0), None]
-                now[2].add([(p["start"], p["end"], p["cost"], p["audit"]) for p in row["paths"]])
-                now[3].append(row["block"])
+                        close(*now)
+                    now = [value, Joined(), [], dict.fromkeys(figures, 0), None]
+                now[1].add([(p["start"], p["end"], p["cost"], p["audit"]) for p in row["paths"]])
+                now[2].append(row["block"])
                 for name in figures:
-                    now[4][name] += row[name]
-                if now[5] is not None:  # the pair that the cut between two blocks parted
-                    now[4]["illegal"] += now[5] + row["first"] not in LEGAL
-                now[5] = row["last"]
+                    now[3][name] += row[name]
+                if now[4] is not None:  # the pair that the cut between two blocks parted
+                    now[3]["illegal"] += now[4] + row["first"] not in LEGAL
+                now[4] = row["last"]
+            yield flushed()
         if now:
-            yield finished(now[0], *now[2:5])
+            close(*now)
+            yield flushed()
 
-    return parts.repartition("conv").sortWithinPartitions("conv", "block").mapInArrow(run, schema)
+    return _by_conversation(parts).mapInArrow(run, schema)
+
+
+def _by_conversation(parts: DataFrame) -> DataFrame:
+    """Parts of conversations, those of one in one task and in order. Tasks are few rows but much work, so they are not merged."""
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(tasks, "conv").sortWithinPartitions("conv", "block")
 
 
 def _kept_turns(placed: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -317,24 +334,32 @@ def digests(turns: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        def finished(key, state):
-            return pa.RecordBatch.from_arrays([key, pa.array([state.hexdigest()])], names=["conv", "sha256"])
+        convs, hashes, kind, now = [], [], None, None
+
+        def flushed():
+            batch = pa.RecordBatch.from_arrays([pa.array(convs, kind), pa.array(hashes, pa.string())], names=["conv", "sha256"])
+            convs.clear()
+            hashes.clear()
+            return batch
 
-        now = None
         for batch in batches:
-            keys = batch.column(0)
-            for at, value in enumerate(keys.to_pylist()):
-                if now is None or value != now[1]:
+            kind = batch.column(0).type
+            for value, piece in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if now is None or value != now[0]:
                     if now:
-                        yield finished(now[0], now[2])
-                    now = [keys.slice(at, 1), value, hashlib.sha256()]
+                        convs.append(now[0])
+                        hashes.append(now[1].hexdigest())
+                    now = (value, hashlib.sha256())
                 else:
-                    now[2].update(b"\n")
-                now[2].update(batch.column(2)[at].as_py())
+                    now[1].update(b"\n")
+                now[1].update(piece.as_py())
+            yield flushed()
         if now:
-            yield finished(now[0], now[2])
+            convs.append(now[0])
+            hashes.append(now[1].hexdigest())
+            yield flushed()
 
-    return pieces.repartition("conv").sortWithinPartitions("conv", "block").mapInArrow(run, schema)
+    return _by_conversation(pieces).mapInArrow(run, schema)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
