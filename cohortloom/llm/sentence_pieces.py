@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .common import Run, col, free_name, table
+from .tokens import pieces as text_ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -30,8 +31,13 @@ BLANK = "▁"
 N_BEST = 4
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_MEMO = 200_000
+_MEMO = 100_000
+#: Words of up to so many characters are remembered, and segmented many at a time.
 _LONGEST_KEPT = 64
+_WORDS_AT_ONCE = 1 << 13
+_SHIFT = 21
+#: Bytes of text whose words are looked at together.
+_BYTES_AT_ONCE = 1 << 20
 
 
 class Pieces(NamedTuple):
@@ -100,6 +106,7 @@ class Encoder:
             return {c: (*(piece or (None, 0.0)), packed(after) or None) for c, (piece, after) in node.items()}
 
         self.trie = packed(grown)
+        self._arrays(grown)
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(model.pieces) if model.kinds[i] == "byte"}
         if len(self.bytes) < 256:
             raise ValueError("the model has no piece for every byte")
@@ -115,6 +122,118 @@ class Encoder:
         for i, b in self.byte_of.items():
             self.quick[i] = chr(b) if b < 128 else None
 
+    def _arrays(self, grown: dict) -> None:
+        """The trie as sorted (node, character) keys with the node behind (-1: none) and the id (-1: none) and score of a piece."""
+        keys, after, own, scores, nodes, at = [], [], [], [], [grown], 0
+        while at < len(nodes):
+            for c, (piece, below) in nodes[at].items():
+                keys.append(at << _SHIFT | ord(c))
+                after.append(len(nodes) if below else -1)
+                own.append(piece[0] if piece else -1)
+                scores.append(piece[1] if piece else 0.0)
+                if below:
+                    nodes.append(below)
+            nodes[at] = {}
+            at += 1
+        order = np.argsort(np.array(keys, np.int64)) if keys else np.zeros(0, np.int64)
+        # one more key that nothing has, so that a search always ends on a key
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.after, self.own = (np.append(np.array(x, np.int32)[order], -1) for x in (after, own))
+        self.scores = np.append(np.array(scores, float)[order], 0.0)
+
+    def learn(self, words) -> None:
+        """Segment and remember words that are not yet known, many at a time; the result is that of ``word``."""
+        new = [w for w in words if w not in self.memo and w not in self.older and 0 < len(w) <= _LONGEST_KEPT]
+        new.sort(key=len)  # words of like length share their tables
+        for at in range(0, len(new), _WORDS_AT_ONCE):
+            if len(self.memo) >= _MEMO:
+                self.memo, self.older = {}, self.memo
+            part = new[at : at + _WORDS_AT_ONCE]
+            self.memo.update(zip(part, self._segmented(part)))
+
+    def _edges(self, words: list[str], lengths: np.ndarray):
+        """All lattice pieces of the words as arrays (word, start, end, id, score), by start, then by word."""
+        raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        signs = np.where(raw == ord(BLANK), 0, np.where(raw == 32, ord(BLANK), raw))
+        word = np.repeat(np.arange(len(words)), lengths)
+        first = np.cumsum(lengths) - lengths
+        start = np.arange(len(raw)) - first[word]
+        left = lengths[word] - start
+        alive, node, depth, found = np.arange(len(raw)), np.zeros(len(raw), np.int64), 0, []
+        alone = np.zeros(len(raw), bool)
+        while len(alive):
+            key = node << _SHIFT | signs[alive + depth]
+            at = np.searchsorted(self.keys, key)
+            met = self.keys[at] == key
+            alive, at = alive[met], at[met]
+            depth += 1
+            piece = self.own[at] >= 0
+            found.append((alive[piece], np.full(int(piece.sum()), depth), self.own[at[piece]], self.scores[at[piece]]))
+            if depth == 1:
+                alone[alive[piece]] = True
+            node = self.after[at].astype(np.int64)
+            on = (node >= 0) & (left[alive] > depth)
+            alive, node = alive[on], node[on]
+        bare = np.flatnonzero(~alone)
+        found.append((bare, np.ones(len(bare), np.int64), -1 - raw[bare], np.full(len(bare), self.unknown)))
+        place, size, own, score = (np.concatenate([f[i] for f in found]) for i in range(4))
+        order = np.lexsort((word[place], start[place]))
+        place, size = place[order], size[order]
+        return word[place], start[place], start[place] + size, own[order], score[order]
+
+    def _segmented(self, words: list[str]) -> list[tuple[tuple[int, ...], float, float]]:
+        """``word`` of many short words: forward and backward scores are found for one start of all words after the other."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        word, start, end, own, score = self._edges(words, lengths)
+        n, longest = len(words), int(lengths.max())
+        bounds = np.searchsorted(start, np.arange(longest + 1)).tolist()
+        best = np.full((n, longest + 1), -inf)
+        best[:, 0] = 0.0
+        back, back_own = np.zeros((n, longest + 1), np.int8), np.zeros((n, longest + 1), np.int32)
+        for k in range(longest):
+            of = slice(bounds[k], bounds[k + 1])
+            w, e = word[of], end[of]
+            total = best[w, k] + score[of]
+            up = total > best[w, e]
+            w, e = w[up], e[up]
+            best[w, e], back[w, e], back_own[w, e] = total[up], k, own[of][up]
+
+        after = np.zeros((n, longest + 1), np.int8)
+        w, e, steps = np.arange(n), lengths, []
+        while len(w):
+            k = back[w, e].astype(np.int64)
+            after[w, k] = e
+            steps.append((w, back_own[w, e]))
+            w, e = w[k > 0], k[k > 0]
+        of, ids = (np.concatenate([x[i] for x in reversed(steps)]) for i in range(2))
+        order = np.argsort(of, kind="stable")
+        ids, of = ids[order], of[order]
+        counts = np.bincount(of, minlength=n)
+        odd = np.zeros(n, bool)
+        odd[of[ids < 0]] = True
+
+        rest, second = np.full((n, longest + 1), -inf), np.full(n, -inf)
+        rest[np.arange(n), lengths] = 0.0
+        for k in reversed(range(longest)):
+            of = slice(bounds[k], bounds[k + 1])
+            w, e = word[of], end[of]
+            if not len(w):
+                continue
+            way = score[of] + rest[w, e]
+            groups = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+            owner = w[groups]
+            rest[owner, k] = np.maximum.reduceat(way, groups)
+            other = np.where(after[w, k] == e, -inf, way + best[w, k])
+            second[owner] = np.maximum(second[owner], np.maximum.reduceat(other, groups))
+        top = best[np.arange(n), lengths]
+        flat, ends = ids.tolist(), np.cumsum(counts).tolist()
+        out, at = [], 0
+        for stop, strange, total, loss in zip(ends, odd.tolist(), top.tolist(), (top - second).tolist()):
+            pieces = flat[at:stop]
+            out.append((self._ids(pieces) if strange else tuple(pieces), total, loss))
+            at = stop
+        return out
+
     def _lattice(self, word: str):
         """Pieces (start, end, id, score) by start, the forward Viterbi scores, and the last (start, id) of the best way to a place.
 
@@ -158,15 +277,19 @@ class Encoder:
         return tuple(ids)
 
     def search(self, word: str) -> Iterator[Path]:
-        """Segmentations of a word as (score, ids), best first; equal scores in the order in which the search meets them."""
+        """Segmentations of a word as (score, ids), best first.
+
+        Of equal scores the one that is nearer to its end goes on first, so that many ways of the same score, as a run of
+        one character has, are not all kept open.
+        """
         edges, best, _ = self._lattice(word)
         ends: list[list[tuple[int, int, float]]] = [[] for _ in best]
         for start, end, own, score in edges:
             ends[end].append((start, own, score))
-        heap: list = [(-best[-1], 0, len(word), 0.0, None)]
+        heap: list = [(-best[-1], len(word), 0, 0.0, None)]
         met = 0
         while heap:
-            _, _, at, score, path = heappop(heap)
+            _, at, _, score, path = heappop(heap)
             if at == 0:
                 pieces = []
                 while path is not None:
@@ -176,7 +299,7 @@ class Encoder:
                 continue
             for start, own, s in ends[at]:
                 met += 1
-                heappush(heap, (-(best[start] + score + s), met, start, score + s, (own, path)))
+                heappush(heap, (-(best[start] + score + s), start, met, score + s, (own, path)))
 
     def word(self, word: str) -> tuple[tuple[int, ...], float, float]:
         """Ids and score of the best segmentation, and what the second best loses (infinite if there is none).
@@ -220,13 +343,13 @@ class Encoder:
         """The parts of a text that are searched alone; a blank is put before the text, as the model's training does."""
         return self.split.findall(" " + text) if text else []
 
-    def encode(self, text: str, n: int = 1):
-        """(ids, score, others) of a text: ``others`` lists up to n - 1 further segmentations.
+    def encode(self, text: str, n: int = 1, words: list[str] | None = None):
+        """(ids, score, others) of a text: ``others`` lists up to n - 1 further segmentations; ``words`` are the text's, if known.
 
         Each is (score, edits); an edit (at, count, ids) puts ids in the place of
         ``count`` ids from ``at`` on of the best segmentation.
         """
-        words = self.words(text)
+        words = self.words(text) if words is None else words
         get, word = self.memo.get, self.word
         found = [get(w) or word(w) for w in words]
         ids = list(chain.from_iterable(map(itemgetter(0), found)))
@@ -259,7 +382,7 @@ class Encoder:
                 if places[j] + 1 < len(own):
                     more = loss + own[places[j]][0] - own[places[j] + 1][0]
                     heappush(heap, (more, places[:j] + (places[j] + 1,) + places[j + 1 :], j))
-        lengths = np.cumsum(np.fromiter((len(own) for own, _, _ in found), np.int64, len(found)))
+        lengths = np.cumsum(np.fromiter(map(len, map(itemgetter(0), found)), np.int64, len(found)))
         starts = {k: int(lengths[k]) - len(found[k][0]) for k, _ in lists}
         return [
             (
@@ -309,7 +432,6 @@ def with_pieces(
     names = [free_name(kept, x) for x in ("ids", "n_pieces", "score", "others", "round_trip")]
     kinds = [ArrayType(IntegerType()), LongType(), DoubleType(), _OTHER, BooleanType()]
     schema = StructType([*[docs.schema[c] for c in keep], *[StructField(x, k) for x, k in zip(names, kinds)]])
-    rows_at_once = 128
 
     def run(batches):
         import pyarrow as pa
@@ -318,12 +440,15 @@ def with_pieces(
         encoder = Encoder(model)
         types = [to_arrow_type(k) for k in kinds]
         for batch in batches:
-            for start in range(0, batch.num_rows, rows_at_once):
-                part = batch.slice(start, rows_at_once)
+            for start, end in text_ranges(batch.column(len(keep)), _BYTES_AT_ONCE):
+                part = batch.slice(start, end - start)
                 columns: list[list] = [[] for _ in names]
-                for scalar in part.column(len(keep)):
-                    text = scalar.as_py() or ""
-                    ids, score, others = encoder.encode(text, n)
+                texts = [text or "" for text in part.column(len(keep)).to_pylist()]
+                listed = [encoder.words(text) for text in texts]
+                # a word of these texts is segmented once, together with all others that are new
+                encoder.learn(set(chain.from_iterable(listed)))
+                for text, words in zip(texts, listed):
+                    ids, score, others = encoder.encode(text, n, words)
                     made = (
                         ids,
                         len(ids),

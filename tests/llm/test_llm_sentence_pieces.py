@@ -56,6 +56,32 @@ def test_search_against_all_segmentations(encoder):
         assert [s for s, _ in got] == [s for s, _ in want] and sorted(got) == sorted(want)
 
 
+def test_many_words_at_once(spark, model):
+    draw = random.Random(8)
+    words = [" the", "☃", " ☃a\U0001f600b", "a", "\n", "▁a", " ", "  ab", "aaaaaa", "\ud800x", "w" * 64, "é" * 40, "\0", "￿中文"]
+    words += ["".join(draw.choice("abenst ü▁☃中") for _ in range(draw.randint(1, 30))) for _ in range(3000)]
+    one, many = P.Encoder(model), P.Encoder(model)
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    words += [w for t in texts if t for w in one.words(t)]
+    many.learn(set(words) | {"", "w" * 65})
+    for w in set(words):
+        if len(w) <= 64:
+            assert many.memo[w] == one.word(w), w
+    assert "w" * 65 not in many.memo and "" not in many.memo
+    many.learn([])
+
+
+def test_long_run_of_one_character(encoder):
+    import time
+
+    began = time.perf_counter()
+    ids, score, others = encoder.encode("a" * 200_000, 4)
+    assert encoder.decode(ids) == "a" * 200_000 and len(others) == 3
+    assert time.perf_counter() - began < 10
+    few = [s for s, _ in itertools.islice(encoder.search("a" * 12), 6)]
+    assert few == [s for s, _ in every(encoder, "a" * 12)[:6]]
+
+
 @pytest.mark.parametrize("text", ["the cat sat\non it", "a  b", "no", "x\ty ▁ z"])
 def test_best_of_a_text_against_all(encoder, text):
     parts = [every(encoder, w) for w in encoder.words(text)]
