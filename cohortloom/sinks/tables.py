@@ -6,11 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..cohort import Cohort
 from ..operators.summaries import stack
 from ..session import settle
+from .published import publish, read_published
 
 
 def write_table(
@@ -25,17 +25,16 @@ def write_table(
 
 
 def write_cohort(cohort: Cohort, path: str) -> None:
-    """A cohort as Parquet: measurements by study, samples beside them."""
-    write_table(cohort.expr, f"{path}/expr", partition_by=["study"])
-    write_table(cohort.samples, f"{path}/samples")
+    """Publish a cohort: measurements clustered by study and gene, samples beside them, both under one manifest."""
+    publish({"expr": cohort.expr, "samples": cohort.samples}, path)
 
 
-def read_cohort(spark: SparkSession, path: str) -> Cohort:
-    """A stored cohort; the study, which is a folder's name, is read as text and not guessed to be a number."""
-    stored = spark.read.parquet(f"{path}/expr").schema
-    schema = StructType([StructField(f.name, StringType() if f.name == "study" else f.dataType) for f in stored])
-    expr = spark.read.schema(schema).parquet(f"{path}/expr")
-    return Cohort(spark.read.parquet(f"{path}/samples"), expr.select("study", "sample_id", "gene", "value"))
+def read_cohort(
+    spark: SparkSession, path: str, studies: Sequence[str] | None = None, genes: Sequence[str] | None = None
+) -> Cohort:
+    """A published cohort, with the measurements of some studies or genes alone if asked for."""
+    expr = read_published(spark, path, "expr", studies, genes)
+    return Cohort(read_published(spark, path, "samples"), expr.select("study", "sample_id", "gene", "value"))
 
 
 def summary_rows(
