@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import sample_join_key
+from ..session import settle
 from .ordering import first_per_key, last_per_key, with_position
 
 
@@ -120,6 +121,78 @@ def best_key_column(overlaps: DataFrame) -> DataFrame:
     )
 
 
+def _exact_overlap(table: DataFrame, name: str, known: DataFrame) -> int:
+    values = table.select(F.col(f"`{name}`").cast("string").alias("value")).dropna().distinct()
+    return values.join(known, "value", "left_semi").count()
+
+
+#: Bits that an id sets in its word of a filter, and ids per word for which a filter is made.
+FILTER_BITS = 4
+IDS_PER_WORD = 4
+
+
+def _slot(value: Column, words: int) -> tuple[Column, Column]:
+    """Word of a filter that a value belongs to, and the bits that it sets there."""
+    at, mask = F.xxhash64(value), F.lit(0).cast("bigint")
+    for i in range(FILTER_BITS):
+        place = F.shiftright(F.xxhash64(value, F.lit(1)), 6 * i).bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+    return F.pmod(at, F.lit(words)), mask
+
+
+def id_filter(ids: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """(word, bits) of a Bloom filter of the ids, stored, and its number of words.
+
+    Ids need not be distinct: a task reduces its own to the words before anything moves. The size follows an estimate
+    of the number of ids, so a join with the filter is broadcast or not as Spark judges its stored size.
+    """
+    value = F.col(column).cast("string")
+    n = ids.agg(F.approx_count_distinct(value)).first()[0]
+    words = max(1 << 10, 1 << max(0, (n // IDS_PER_WORD).bit_length()))
+    word, mask = _slot(value, words)
+    made = ids.filter(value.isNotNull()).select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+    return settle(made, "id-filter"), words
+
+
+def overlap_bounds(table: DataFrame, candidates: Sequence[str], ids: DataFrame, id_column: str) -> DataFrame:
+    """(column, position, bound, about): no more than ``bound`` distinct values of a candidate can be among the ids.
+
+    Counted are the rows whose value passes a filter of the ids, in one pass without moving a value; a value that is
+    no id passes now and then. ``about`` estimates how many of these values are distinct.
+    """
+    bits, words = id_filter(ids, id_column)
+    listed = table.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(candidates)])
+    values = listed.unpivot([], [f"c{i}" for i in range(len(candidates))], "place", "value").dropna()
+    word, mask = _slot(F.col("value"), words)
+    passing = (
+        values.select("place", word.alias("word"), mask.alias("mask"), F.xxhash64("value").alias("hash")).join(bits, "word")
+        .filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+        .groupBy("place").agg(F.count(F.lit(1)).alias("bound"), F.approx_count_distinct("hash").alias("about"))
+    )
+    none = F.lit(0).cast("bigint")
+    names = table.sparkSession.createDataFrame([(f"c{i}", name, i) for i, name in enumerate(candidates)], "place string, column string, position int")
+    shown = [F.coalesce(c, none).alias(c) for c in ("bound", "about")]
+    return names.join(passing, "place", "left").select("column", "position", *shown)
+
+
+def choose_key(table: DataFrame, candidates: Sequence[str], ids: DataFrame, id_column: str) -> tuple[str, int] | None:
+    """The column whose distinct values match most ids, the earliest on a tie, and how many; None when none matches any.
+
+    Columns are counted exactly in the order of their estimates, and only as long as their bound, or the number of ids
+    where that is smaller, leaves it open whether they win.
+    """
+    bounds = [tuple(row) for row in overlap_bounds(table, candidates, ids, id_column).collect()]
+    known = ids.select(F.col(id_column).cast("string").alias("value")).dropna().distinct()
+    n_ids = known.count()
+    best: tuple[int, int, str] | None = None
+    for name, position, bound, _ in sorted(bounds, key=lambda b: (-b[3], b[1])):
+        if bound == 0 or best and (min(bound, n_ids), -position) <= best[:2]:
+            continue
+        found = (_exact_overlap(table, name, known), -position, name)
+        best = max(best, found) if best else found
+    return (best[2], best[0]) if best and best[0] else None
+
+
 def join_by_position(left: DataFrame, right: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows of ``right`` in ``order``, matched to ``left`` (which has ``idx``) by position.
 

@@ -15,10 +15,9 @@ from ..functions.numeric import log2_cpm, mean_with_zeros, total_of
 from ..functions.text import normalise_sample_id, patient_from_cell_id, strip
 from ..operators.genes import SAMPLE_KEYS, common_genes, on_genes, require_genes
 from ..operators.matching import (
-    best_key_column,
     cell_to_sample,
+    choose_key,
     join_by_position,
-    key_overlap,
     patient_to_sample,
 )
 from ..operators.ordering import first_per_key
@@ -58,10 +57,9 @@ def identify_cells(metadata: DataFrame, header: DataFrame, order: str = "row") -
     It is the column that matches most header cells; when none matches any,
     rows and header (idx, cell_id) are matched by position if equally long.
     """
-    candidates = [c for c in metadata.columns if c != order]
-    best = best_key_column(key_overlap(metadata, candidates, header, "cell_id")).first()
+    best = choose_key(metadata, [c for c in metadata.columns if c != order], header, "cell_id")
     if best is not None:
-        return metadata.withColumn("cell_id", F.col(f"`{best['column']}`").cast("string"))
+        return metadata.withColumn("cell_id", F.col(f"`{best[0]}`").cast("string"))
     if "idx" not in header.columns:
         raise ValueError("no metadata column matches the cells, and the cells have no position")
     return join_by_position(header, metadata, [order]).drop("idx")
@@ -148,7 +146,9 @@ def sum_cohort(labelled: DataFrame, counts: DataFrame, study: str) -> Cohort:
 
 def sum_cells(cells: DataFrame, metadata: DataFrame, study: str, order: str = "row") -> Cohort:
     """Counts of a long cell table (study, cell_id, gene, value) summed per sample."""
-    labelled = label_cells(metadata, cells.select("cell_id").distinct(), order)
+    # the ids choose the key and filter the metadata: they are made distinct once
+    header = settle(cells.select("cell_id").distinct(), "cell-ids")
+    labelled = label_cells(metadata, header, order)
     placed = assign_cells(cells, cell_to_sample(labelled, F.col("row")))
     return sum_cohort(labelled, pseudobulk_sum(placed), study)
 

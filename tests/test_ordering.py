@@ -3,6 +3,7 @@ import random
 from conftest import rows
 from pyspark.sql import functions as F
 
+from cohortloom.operators import matching
 from cohortloom.operators.matching import best_key_column, join_by_position, key_overlap, reconcile, unmatched_summary
 from cohortloom.operators.ordering import first_per_key, last_per_key, number_within, with_position
 
@@ -63,3 +64,24 @@ def test_reconcile_ignores_nulls(spark):
     assert rows(unmatched_summary(presence, "id")) == [
         ("missing_in_left", 1, ["c"]), ("missing_in_right", 1, ["a"]),
     ]
+
+
+def test_choose_key_counts_few_columns(spark, monkeypatch):
+    ids = spark.range(3000).selectExpr("concat('c', id) AS cell_id")
+    listed = [f"concat('{chr(97 + i)}', id) AS x{i}" for i in range(6) if i != 2]
+    table = spark.range(4000).selectExpr(
+        *listed, "IF(id < 2000, concat('c', id), NULL) AS first", "concat('c', id % 1500) AS second",
+        "concat('c', id) AS `whole.key`", "concat('c', id) AS again", "'c1' AS constant",
+    )
+    counted = []
+    exact = matching._exact_overlap
+    monkeypatch.setattr(matching, "_exact_overlap", lambda t, name, known: counted.append(name) or exact(t, name, known))
+    assert matching.choose_key(table, table.columns, ids, "cell_id") == ("whole.key", 3000)
+    assert "whole.key" in counted and len(counted) <= 3 and not any(c.startswith("x") for c in counted)
+    # as the full count has it
+    assert rows(best_key_column(key_overlap(table, table.columns, ids, "cell_id"))) == [("whole.key", 3000)]
+    for name, bound in rows(matching.overlap_bounds(table, ["first", "x0"], ids, "cell_id"), "column", "bound"):
+        assert bound >= {"first": 2000, "x0": 0}[name]
+    assert matching.choose_key(table, ["x0", "x1"], ids, "cell_id") is None
+    none = ids.limit(0)
+    assert matching.choose_key(table, table.columns, none, "cell_id") is None and matching.choose_key(table.limit(0), ["again"], ids, "cell_id") is None

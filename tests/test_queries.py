@@ -66,7 +66,7 @@ def inspected(monkeypatch):
 
 
 #: Tables that these queries may store on the way.
-STORED = {"merge_cohorts": 5, "cell_cohort_counts": 1, "fuse_pseudobulk": 3}
+STORED = {"merge_cohorts": 5, "cell_cohort_counts": 3, "fuse_pseudobulk": 6}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
