@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.fixed_values import NA_TOKENS
+from ..functions.numeric import missing_to_null
 from ..operators.genes import gene_overlap
+from ..operators.sketches import described, merge_sketches, sketch_values
 from ..operators.summaries import (
     column_types,
     distinct_values,
@@ -18,6 +21,9 @@ from ..operators.summaries import (
     table_shape,
 )
 from ..session import settle
+from ..sources.many import by_separator, headers_of, lines_of, list_files, literal_path
+from ..sources.matrix import unquote
+from ..sources.tables import without_comment
 from .inspection import profile_files
 
 
@@ -77,3 +83,40 @@ def profile_matrix_file(
         raise ValueError(f"{path}: {error}")
     figures = [c for c in row.columns if c.startswith("n_") and c not in ("n_cols", "n_missing", "n_numeric_cols")]
     return row.select(F.col("dataset").alias("study"), *figures, F.col("path").alias("file"), "separator")
+
+
+def sketch_files(
+    spark: SparkSession, paths: Sequence[str], keywords: Sequence[str] | None = None, comment: str | None = None, na_tokens: Sequence[str] = NA_TOKENS
+) -> DataFrame:
+    """(path, column, ...) sketches of the columns of many text files, of the relevant ones if ``keywords`` are given.
+
+    All headers are read in one scan and all lines in another. Stored, they give the profile of a folder by
+    ``profile_of_sketches``; a new file is sketched by itself and added to them. Missing files are left out, unreadable
+    ones fail.
+    """
+    catalog = spark.createDataFrame([(p,) for p in paths], "path string").distinct()
+    listed = settle(list_files(spark, catalog).dropna(subset=["file"]), "files")
+    names = [literal_path(row["name"]) for row in listed.select("name").distinct().collect()]
+    if not names:
+        raise ValueError("no such file")
+    headers = settle(headers_of(spark, names, comment), "headers")
+    chosen = headers if keywords is None else headers.filter(matches_keywords(F.col("name"), keywords))
+    seps = headers.groupBy("file").agg(F.first("sep").alias("sep"), F.count(F.lit(1)).cast("int").alias("width"))
+    lines = lines_of(spark, names, comment)
+    if comment:
+        lines = lines.withColumn("value", without_comment(F.col("value"), comment))
+    # a value that a line lacks is missing, one beyond the header is no value
+    fields = by_separator(F.col("sep"), F.col("value"))
+    padded = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.get("fields", i))
+    cells = lines.join(seps, "file").withColumn("fields", fields).select("file", F.posexplode(padded).alias("idx", "field"))
+    values = (
+        cells.join(chosen.select("file", "idx", F.col("name").alias("column")), ["file", "idx"])
+        .join(listed.select("path", "file"), "file")
+        .select("path", "column", missing_to_null(unquote(F.col("field")), na_tokens).alias("value"))
+    )
+    return sketch_values(values, ["path", "column"])
+
+
+def profile_of_sketches(sketches: DataFrame, by: Sequence[str] = ("column",), top: int = 5) -> DataFrame:
+    """Profile of the columns of all sketched files together, or by further keys of the sketches; no file is read."""
+    return described(merge_sketches(sketches, by), by, top)

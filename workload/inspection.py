@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from cohortloom.plans.inspection import inspect_files
-from cohortloom.session import new_path
+from cohortloom.plans.profiling import profile_of_sketches, sketch_files
+from cohortloom.session import new_path, settle
 
 from .mapping import MEASURED_LINES, measured_lines
 from .registry import Tables, query
@@ -94,3 +95,50 @@ def inspected_files(t: Tables):
     found = inspect_files(t.spark, files, main.unionByName(t.part.agg(F.lit("absent").alias("gene"))))
     name = F.regexp_replace("file", "^.*/(file=)?", "")
     return found.withColumns({"file": name, "problem": F.split_part("error", F.lit(":"), F.lit(1))}).drop("error")
+
+
+SKETCHED = {
+    "orders": {
+        "o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus",
+        "priority": "CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END",
+    },
+    "customer": {"c_custkey": "c_custkey", "c_mktsegment": "c_mktsegment", "c_nationkey": "c_nationkey", "nothing": "CASE WHEN c_custkey < 0 THEN 'x' END"},
+}
+
+
+@query(
+    "sketch_profile",
+    """
+    SELECT "column", n_rows, n_missing, n_values, true AS near, examples,
+           CASE WHEN n_values <= 500 THEN coalesce(most, 0) END AS most
+    FROM ({}) s JOIN (
+        SELECT "column" AS c, max(n) AS most FROM (SELECT "column", value, count(*) FILTER (WHERE value IS NOT NULL) AS n FROM ({}) GROUP BY ALL) GROUP BY 1
+    ) t ON s."column" = t.c
+    """.format(
+        *[
+            " UNION ALL ".join(part.format(name, value, table) for table, columns in SKETCHED.items() for name, value in columns.items())
+            for part in (
+                "SELECT '{0}' AS \"column\", count(*) AS n_rows, count(*) - count({1}) AS n_missing, count(DISTINCT {1}) AS n_values,"
+                " coalesce(array_to_string(list_sort(list(DISTINCT CAST({1} AS VARCHAR)) FILTER (WHERE {1} IS NOT NULL))[1:12], ','), '') AS examples FROM {2}",
+                "SELECT '{0}' AS \"column\", CAST({1} AS VARCHAR) AS value FROM {2}",
+            )
+        ]
+    ),
+)
+def sketched_profile(t: Tables):
+    base, paths, exact = new_path(t.spark, "sketch"), [], []
+    for (table, columns), sep in zip(SKETCHED.items(), (",", ";")):
+        shown = getattr(t, table).selectExpr(*[f"{value} AS {name}" for name, value in columns.items()])
+        paths.append(f"{base}/{table}")
+        shown.write.csv(paths[-1], header=True, sep=sep, emptyValue="", nullValue="NA")
+        exact += [shown.agg(F.lit(name).alias("column"), F.count_distinct(name).alias("exact")) for name in columns]
+    profile = profile_of_sketches(settle(sketch_files(t.spark, paths), "sketches"))
+    counted = exact[0]
+    for more in exact[1:]:
+        counted = counted.unionByName(more)
+    return profile.join(counted, "column").select(
+        "column", "n_rows", "n_missing", F.col("exact").alias("n_values"),
+        (F.abs(F.col("n_values") - F.col("exact")) <= F.col("exact") * 0.04).alias("near"),
+        F.array_join("examples", ",").alias("examples"),
+        F.when(F.col("exact") <= 500, F.coalesce(F.col("most_frequent")[0]["n"], F.lit(0))).alias("most"),
+    )
