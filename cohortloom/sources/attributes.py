@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -75,8 +75,7 @@ def named_attributes(lines: DataFrame, prefixes: Sequence[str] = ATTRIBUTE_PREFI
         F.col("line_no"),
         F.col("block"),
     )
-    suffix = F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise("")
-    named = _settle_collisions(numbered.withColumn("name", F.concat("slug", suffix)))
+    named = _settle_collisions(settle(numbered.select("file", "line_no", "slug", F.col("n").cast("bigint").alias("n")), "numbered"))
 
     last_of_key = (
         lines.filter(~is_characteristic)
@@ -93,39 +92,46 @@ def named_attributes(lines: DataFrame, prefixes: Sequence[str] = ATTRIBUTE_PREFI
     return values.select("file", "name", "sample_idx", text.alias("value"))
 
 
-def _settle_collisions(named: DataFrame) -> DataFrame:
-    """Rename lines whose numbered name equals the label of another line (``x_2`` as a label).
+def _settle_collisions(numbered: DataFrame) -> DataFrame:
+    """(file, line_no, name): every line takes the first of ``x``, ``x_2``, ``x_3``, ... that no earlier line has.
 
-    Only files with such a clash are touched. Their lines are walked in order,
-    each taking the first free name; a file has as many lines as its sample
-    table has columns.
+    ``numbered`` has the label ``x`` of a line as ``slug`` and counts its lines in ``n``. A name clashes where a number of
+    one label is another label (``x_2``). The earliest line keeps it; the number is closed to the later line's label, whose
+    further lines move up. That can clash again, so it is repeated until nothing does: as claims to a name only ever
+    pass to earlier lines, a closed number stays closed. No file is gathered; a round is a few joins on (file, name) and
+    (file, label), and one question to the driver, whether there was a clash.
     """
-    clashing = named.groupBy("file", "name").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
-    files = clashing.select("file").distinct()
-
-    def take_free_name(taken: Column, entry: Column) -> Column:
-        slug = entry["slug"]
-        numbered = F.transform(
-            F.sequence(F.lit(2), F.size(taken) + 2),
-            lambda i: F.concat(slug, F.lit("_"), i.cast("string")),
-        )
-        options = F.concat(F.array(slug), numbered)
-        return F.concat(
-            taken, F.slice(F.filter(options, lambda name: ~F.array_contains(taken, name)), 1, 1)
-        )
-
-    walked = (
-        named.join(files, "file", "left_semi")
-        .groupBy("file")
-        .agg(F.array_sort(F.collect_list(F.struct("line_no", "slug"))).alias("entries"))
-        .withColumn(
-            "names", F.aggregate("entries", F.array().cast("array<string>"), take_free_name)
-        )
-        .select("file", F.explode(F.arrays_zip("entries", "names")).alias("pair"))
-        .select("file", F.col("pair.entries.line_no").alias("line_no"), F.col("pair.names").alias("name"))
-    )
-    untouched = named.join(files, "file", "left_anti").select("file", "line_no", "name")
-    return untouched.unionByName(walked)
+    closed = None
+    while True:
+        named = _with_names(numbered, closed)
+        owners = named.groupBy("file", "name").agg(F.min("line_no").alias("owner"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+        losers = named.join(owners, ["file", "name"]).filter("line_no > owner").select("file", "slug", "number", "owner")
+        losers = settle(losers, "name-clashes")
+        if losers.isEmpty():
+            return named.select("file", "line_no", "name")
+        # of several numbers of a label, one may come to an earlier line when those before it are closed: if that line
+        # stands before the owner, the number waits for the next round
+        before = F.row_number().over(Window.partitionBy("file", "slug").orderBy("number")) - 1
+        asked = losers.withColumn("at", F.col("number") - before)
+        takers = named.select("file", "slug", F.col("number").alias("at"), "line_no")
+        sure = asked.join(takers, ["file", "slug", "at"]).filter("line_no > owner").select("file", "slug", "number")
+        closed = settle(sure if closed is None else closed.unionByName(sure), "closed-numbers")
+
+
+def _with_names(numbered: DataFrame, closed: DataFrame | None) -> DataFrame:
+    """Lines with ``number`` and ``name``; the n-th line of a label has the n-th number that is not closed to it."""
+    if closed is None:
+        counted = numbered.withColumn("number", F.col("n"))
+    else:
+        # the i-th closed number moves every line up that would have it or a later one
+        order = F.row_number().over(Window.partitionBy("file", "slug").orderBy("number"))
+        moves = closed.withColumn("from", F.col("number") - order + 1).groupBy("file", "slug").agg(F.collect_list("from").alias("moves"))
+        up = F.coalesce(F.size(F.filter("moves", lambda at: at <= F.col("n"))), F.lit(0))
+        counted = numbered.join(moves, ["file", "slug"], "left").withColumn(
+            "number", F.col("n") + F.when(F.col("moves").isNull(), 0).otherwise(up)
+        ).drop("moves")
+    suffix = F.when(F.col("number") > 1, F.concat(F.lit("_"), F.col("number").cast("string"))).otherwise("")
+    return counted.withColumn("name", F.concat("slug", suffix))
 
 
 #: Columns that attribute names may become; tables of more names are refused, or kept as maps.

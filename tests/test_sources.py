@@ -1,5 +1,7 @@
 import gzip
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -149,6 +151,46 @@ def test_repeated_labels(spark, labels, expected):
     assert [got[i] for i in range(len(labels))] == [f"characteristics_{name}" for name in expected]
 
 
+def first_free(labels):
+    """Names one line after the other, as a file is read."""
+    names = []
+    for label in labels:
+        n, name = 1, label
+        while name in names:
+            n += 1
+            name = f"{label}_{n}"
+        names.append(name)
+    return names
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_labels_that_are_numbers_of_others(spark, seed):
+    draw = random.Random(seed)
+    kinds = ["x", "x_2", "x_3", "x_2_2", "x_4", "y", "x_2_3"]
+    files = [[draw.choice(kinds[: 2 + seed]) for _ in range(draw.randint(1, 30))] for _ in range(8)]
+    if seed == 0:
+        files = [["x"] * 40 + [f"x_{k}" for k in range(2, 30)] + ["x"] * 9, [f"x_{k}" for k in range(9, 1, -1)] + ["x"] * 20]
+    table = spark.createDataFrame(
+        [(str(f), i, label, labels[:i].count(label) + 1) for f, labels in enumerate(files) for i, label in enumerate(labels)],
+        "file string, line_no int, slug string, n bigint",
+    )
+    got = {(r.file, r.line_no): r.name for r in A._settle_collisions(table).collect()}
+    assert got == {(str(f), i): name for f, labels in enumerate(files) for i, name in enumerate(first_free(labels))}
+
+
+def test_many_lines_of_one_label(spark):
+    import time
+
+    table = spark.range(100_000).selectExpr("'f' AS file", "id AS line_no", "IF(id = 70000, 'x_500', 'x') AS slug")
+    table = table.selectExpr("*", "IF(id = 70000, 1, line_no + IF(line_no > 70000, 0, 1)) AS n".replace("id =", "line_no ="))
+    began = time.perf_counter()
+    named = A._settle_collisions(table)
+    assert named.select("name").distinct().count() == 100_000
+    # line 499 had the number 500 before the label x_500 came
+    assert rows(named.filter("line_no IN (499, 70000)"), "name") == [("x_500",), ("x_500_2",)]
+    assert time.perf_counter() - began < 60
+
+
 def test_clinical_from_attributes(spark, tmp_path):
     lines = A.scan_attribute_lines(spark, put(tmp_path, "s.txt", SERIES))
     clinical = build_clinical({"S": clinical_from_attributes(lines, "S")})
