@@ -442,25 +442,25 @@ def with_pieces(
         for batch in batches:
             for start, end in text_ranges(batch.column(len(keep)), _BYTES_AT_ONCE):
                 part = batch.slice(start, end - start)
-                columns: list[list] = [[] for _ in names]
                 texts = [text or "" for text in part.column(len(keep)).to_pylist()]
                 listed = [encoder.words(text) for text in texts]
                 # a word of these texts is segmented once, together with all others that are new
                 encoder.learn(set(chain.from_iterable(listed)))
-                for text, words in zip(texts, listed):
-                    ids, score, others = encoder.encode(text, n, words)
-                    made = (
-                        ids,
-                        len(ids),
-                        score,
-                        [{"score": s, "edits": [dict(zip(("at", "count", "ids"), e)) for e in edits]} for s, edits in others],
-                        encoder.decode(ids) == text,
-                    )
-                    for column, value in zip(columns, made):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(keep)], *[pa.array(c, t) for c, t in zip(columns, types)]], names=[*keep, *names]
-                )
+                found = [encoder.encode(text, n, words) for text, words in zip(texts, listed)]
+                lengths = np.fromiter((len(ids) for ids, _, _ in found), np.int64, len(found))
+                flat = np.fromiter(chain.from_iterable(map(itemgetter(0), found)), np.int32, int(lengths.sum()))
+                offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+                others = [
+                    [{"score": s, "edits": [dict(zip(("at", "count", "ids"), e)) for e in edits]} for s, edits in other]
+                    for _, _, other in found
+                ]
+                trips = [encoder.decode(ids) == text for (ids, _, _), text in zip(found, texts)]
+                columns = [
+                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                    *[pa.array(c, t) for c, t in zip((lengths, [f[1] for f in found], others, trips), types[1:])],
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *names])
+        pa.default_memory_pool().release_unused()
 
     return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(run, schema)
 

@@ -57,7 +57,7 @@ MIN_DOCS = 3
 MIN_SHARE = 0.01
 MAX_ROWS = 20_000
 MAX_FEATURES = 65_536
-_MEMO = 100_000
+_MEMO = 50_000
 
 
 # ---- character model -------------------------------------------------------------------------
