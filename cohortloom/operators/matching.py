@@ -13,22 +13,30 @@ from ..session import settle
 from .ordering import first_per_key, last_per_key, with_position
 
 
-def join_on_sample_key(meta: DataFrame, expr: DataFrame) -> DataFrame:
-    """Measurements with the metadata id of their sample, matched on the normalised id."""
-    keys = (
-        meta.select("sample_id", sample_join_key(F.col("sample_id")).alias("sample_key"))
-        .dropna()
-        .distinct()
-    )
-    return (
-        expr.withColumn("sample_key", sample_join_key(F.col("sample_id")))
-        .drop("sample_id")
-        .join(keys, "sample_key")
-        .drop("sample_key")
-        .select(*expr.columns)
+def sample_pairs(meta: DataFrame, expr: DataFrame) -> DataFrame:
+    """(own_id, meta_id, sample_id) of the samples that both sides have, matched on the normalised id; stored.
+
+    A sample goes by its metadata id. Where several measured ids are spellings of one key, each is a sample of its own:
+    the measured id is put behind the metadata id.
+    """
+    key = sample_join_key(F.col("sample_id")).alias("sample_key")
+    known = meta.select(F.col("sample_id").alias("meta_id"), key).dropna().distinct()
+    own = expr.select(F.col("sample_id").alias("own_id"), key).dropna().distinct()
+    spellings = own.groupBy("sample_key").agg(F.count(F.lit(1)).alias("spellings"))
+    told_apart = F.concat("meta_id", F.lit(" ["), "own_id", F.lit("]"))
+    matched = own.join(known, "sample_key").join(spellings, "sample_key")
+    return settle(
+        matched.select("own_id", "meta_id", F.when(F.col("spellings") > 1, told_apart).otherwise(F.col("meta_id")).alias("sample_id")),
+        "sample-pairs",
     )
 
 
+def join_on_sample_key(pairs: DataFrame, expr: DataFrame) -> DataFrame:
+    """Measurements under the sample ids of ``sample_pairs``; a measured sample that several metadata ids name comes under each."""
+    measured = expr.withColumnRenamed("sample_id", "own_id")
+    return measured.join(pairs.select("own_id", "sample_id"), "own_id").select(*expr.columns)
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, in_left, in_right) of every distinct id of two sides. One shuffle on the id."""
     sides = left.select(key, F.lit(True).alias("in_left"), F.lit(False).alias("in_right")).unionByName(

@@ -26,8 +26,8 @@ from ..operators.genes import (
     require_genes,
     symbol_aliases,
 )
-from ..operators.matching import join_on_sample_key, reconcile
-from ..operators.summaries import distinct_texts, label_counts, mean_of_numeric_samples
+from ..operators.matching import join_on_sample_key, reconcile, sample_pairs
+from ..operators.summaries import distinct_texts, label_counts, mean_of_numeric_samples, merge_rows
 from . import Cohort
 
 
@@ -123,14 +123,17 @@ def align_to_genes(expr: DataFrame, genes: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def attach_metadata(expr: DataFrame, metadata: DataFrame) -> Cohort:
-    """Metadata and measurements of the samples both sides have, under the metadata id."""
-    matched = join_on_sample_key(metadata, expr)
-    samples = metadata.join(
-        expr.select(sample_join_key(F.col("sample_id")).alias("_key")).distinct(),
-        sample_join_key(F.col("sample_id")) == F.col("_key"),
-        "left_semi",
+    """Metadata and measurements of the samples both sides have, under the metadata id.
+
+    Measured ids that are spellings of one sample stay apart, as ``sample_pairs`` names them, each with the metadata.
+    """
+    pairs = sample_pairs(metadata, expr)
+    named = pairs.select(F.col("meta_id").alias("_meta_id"), F.col("sample_id").alias("_sample_id"))
+    samples = (
+        metadata.join(named, metadata["sample_id"] == F.col("_meta_id"))
+        .withColumn("sample_id", F.col("_sample_id")).select(*metadata.columns)
     )
-    return Cohort(samples, matched)
+    return Cohort(samples, join_on_sample_key(pairs, expr))
 
 
 def reconcile_samples(metadata: DataFrame, expr: DataFrame) -> DataFrame:
@@ -167,14 +170,14 @@ def merge_labelled_studies(
     expr = reduce(DataFrame.unionByName, [p.expr for p in parts])
     genes = require_genes(common_genes(reduce(DataFrame.unionByName, owned), list(cohorts)), ", ".join(cohorts))
     n_genes = genes.count()
-    formats = (
-        distinct_texts(F.col("expression_format"))
-        if "expression_format" in samples.columns
-        else F.lit(None).cast("string")
-    )
-    summary = samples.groupBy(F.col("_dataset").alias("source_dataset")).agg(
-        F.count(F.lit(1)).alias("n_samples"),
-        *label_counts(F.col("response_binary")),
-        formats.alias("expression_formats"),
-    ).withColumn("n_common_genes", F.lit(n_genes).cast("bigint"))
+    dataset = F.col("_dataset").alias("source_dataset")
+    summary = samples.groupBy(dataset).agg(F.count(F.lit(1)).alias("n_samples"), *label_counts(F.col("response_binary")))
+    if "expression_format" in samples.columns:
+        # made distinct before anything is gathered
+        formats = samples.select(dataset, "expression_format").distinct().groupBy("source_dataset")
+        texts = formats.agg(distinct_texts(F.col("expression_format")).alias("expression_formats"))
+        summary = merge_rows("source_dataset", [summary, texts])
+    else:
+        summary = summary.withColumn("expression_formats", F.lit(None).cast("string"))
+    summary = summary.withColumn("n_common_genes", F.lit(n_genes).cast("bigint"))
     return Cohort(samples.drop("_dataset"), on_genes(expr, genes)), summary

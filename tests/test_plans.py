@@ -281,3 +281,17 @@ def test_summary_rows_report_failures(spark):
     got = {r.dataset: r for r in table.collect()}
     assert got["good"].n == 1 and got["good"].error is None
     assert got["bad"].n is None and "x" in got["bad"].error
+
+
+def test_spellings_of_one_sample_stay_apart(spark):
+    measured = expr(spark, ("S", "A_1", "G", 1.0), ("S", "A-1.bam", "G", 3.0), ("S", "B-2", "G", 5.0), ("S", "C", "G", 7.0), ("S", None, "G", 9.0))
+    meta = spark.createDataFrame([("A-1", "x"), ("B_2", "y"), ("B-2_bam", "z"), ("D", "w"), (None, "v")], "sample_id string, treatment string")
+    cohort = attach_metadata(measured, meta)
+    assert rows(cohort.samples, "sample_id", "treatment") == [
+        ("A-1 [A-1.bam]", "x"), ("A-1 [A_1]", "x"), ("B-2_bam", "z"), ("B_2", "y"),
+    ]
+    assert rows(cohort.expr, "study", "sample_id", "gene", "value") == [
+        ("S", "A-1 [A-1.bam]", "G", 3.0), ("S", "A-1 [A_1]", "G", 1.0), ("S", "B-2_bam", "G", 5.0), ("S", "B_2", "G", 5.0),
+    ]
+    index = spark.createDataFrame([(0, "G")], "idx int, gene string")
+    assert to_features(cohort.expr, index).count() == 4

@@ -48,8 +48,8 @@ MERGED = f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, r_name AS study, {RESPONSE} AS response,
                CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN 1 END AS survival_event
         FROM {PATIENTS}),
-    score AS (SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, o_totalprice AS cytolytic_score
-              FROM orders WHERE o_orderkey % 3 = 0),
+    score AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN 'x' ELSE '' END || o_orderkey AS patient_id, o_totalprice AS cytolytic_score
+              FROM orders),
     samples AS (
         SELECT s.sample_id, c.patient_id, s.study, c.response, c.survival_event, k.cytolytic_score
         FROM (SELECT DISTINCT study, sample_id FROM expr) s
@@ -72,8 +72,9 @@ def merged(t: Tables):
     clinical = build_clinical({"all": clinical_from_table(rows, F.col("r_name"))}).select(
         "patient_id", "study", "response", "survival_event"
     )
-    score = t.orders.filter("o_orderkey % 3 = 0").select(
-        F.col("o_orderkey").cast("string").alias("patient_id"),
+    # two of three scores are of patients that nothing else knows
+    score = t.orders.select(
+        F.concat(F.expr("IF(o_orderkey % 3 > 0, 'x', '')"), F.col("o_orderkey").cast("string")).alias("patient_id"),
         F.col("o_totalprice").alias("cytolytic_score"),
     )
     return merge_cohorts(expr, clinical, score, STUDIES)
@@ -208,9 +209,12 @@ def order_metadata(t: Tables):
 
 
 def measured_orders(t: Tables):
-    """Measurements under yet another spelling of the sample id."""
+    """Measurements under yet another spelling of the sample id, some under two of them."""
+    number = F.expr("l_orderkey div 3")
+    two = (number % 5 == 0) & (F.col("l_linenumber") % 2 == 0)
     return t.lineitem.select(
-        F.concat(F.lit(" MGH_"), F.expr("l_orderkey div 3").cast("string")).alias("sample_id"),
+        F.when(two, F.concat(F.lit("MGH-"), number.cast("string"), F.lit(".bam")))
+        .otherwise(F.concat(F.lit(" MGH_"), number.cast("string"))).alias("sample_id"),
         F.col("l_partkey").cast("string").alias("gene"),
         F.col("l_quantity").alias("value"),
     )
@@ -222,7 +226,9 @@ ORDER_METADATA = f"""
     FROM orders
 """
 MEASURED_ORDERS = """
-    SELECT 'MGH_' || (l_orderkey // 3) AS sample_key, CAST(l_partkey AS VARCHAR) AS gene, l_quantity AS value
+    SELECT 'MGH_' || (l_orderkey // 3) AS sample_key, CAST(l_partkey AS VARCHAR) AS gene, l_quantity AS value,
+           CASE WHEN l_orderkey // 3 % 5 = 0 AND l_linenumber % 2 = 0 THEN 'MGH-' || (l_orderkey // 3) || '.bam'
+                ELSE ' MGH_' || (l_orderkey // 3) END AS own_id
     FROM lineitem
 """
 
@@ -230,10 +236,11 @@ MEASURED_ORDERS = """
 @query(
     "attach_metadata",
     f"""
-    SELECT m.sample_id, m.treatment, e.n_values, e.total
+    SELECT m.sample_id || CASE WHEN count(*) OVER (PARTITION BY m.sample_id) > 1 THEN ' [' || own_id || ']' ELSE '' END AS sample_id,
+           m.treatment, e.n_values, e.total
     FROM ({ORDER_METADATA}) m
-    JOIN (SELECT sample_key, count(*) AS n_values, sum(value) AS total FROM ({MEASURED_ORDERS})
-          GROUP BY sample_key) e ON m.sample_key = e.sample_key
+    JOIN (SELECT sample_key, own_id, count(*) AS n_values, sum(value) AS total FROM ({MEASURED_ORDERS})
+          GROUP BY sample_key, own_id) e ON m.sample_key = e.sample_key
     """,
 )
 def metadata_attached(t: Tables):
@@ -296,9 +303,9 @@ def portal_samples(t: Tables):
 
 
 def portal_patients(t: Tables):
-    """Customers as the patient table; every seventh one is missing."""
-    return t.customer.filter("c_custkey % 7 <> 0").select(
-        F.concat(F.lit(" "), F.col("c_custkey").cast("string")).alias("PATIENT_ID"),
+    """Customers as the patient table; every seventh one has an id that no sample has."""
+    return t.customer.select(
+        F.concat(F.expr("IF(c_custkey % 7 = 0, ' x', ' ')"), F.col("c_custkey").cast("string")).alias("PATIENT_ID"),
         F.col("c_mktsegment").alias("SEX"),
         F.expr("IF(c_custkey % 2 = 0, '0:LIVING', '1:DECEASED')").alias("OS_STATUS"),
     )
@@ -320,7 +327,8 @@ PORTAL_METADATA = """
                   WHEN o_orderkey % 4 = 1 THEN 'CB' WHEN o_orderkey % 4 = 2 THEN 'SD' ELSE 'no benefit' END AS response,
              CASE WHEN o_orderkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex
           FROM orders) o
-    LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0) c ON o.o_custkey = c.c_custkey
+    LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE '' END || c_custkey AS patient FROM customer) c
+      ON CAST(o.o_custkey AS VARCHAR) = c.patient
 """
 
 
