@@ -14,8 +14,7 @@ from ..operators.summaries import matches_keywords
 from ..session import settle
 from ..sources.catalog import classify_files
 from ..sources.many import by_separator, headers_of, lines_of, list_files, set_aside_unreadable
-from ..sources.matrix import unquote
-from ..sources.tables import without_comment
+from ..sources.tables import unquote, without_comment
 
 #: Samples whose numbers are looked at, the first ones of the header.
 FIRST_SAMPLES = 20

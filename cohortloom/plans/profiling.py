@@ -22,8 +22,7 @@ from ..operators.summaries import (
 )
 from ..session import settle
 from ..sources.many import by_separator, headers_of, lines_of, list_files, literal_path
-from ..sources.matrix import unquote
-from ..sources.tables import without_comment
+from ..sources.tables import unquote, without_comment
 from .inspection import profile_files
 
 

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from .matrix import split_fields, unquote
-from .tables import SEPARATORS, data_lines
+from .tables import SEPARATORS, data_lines, first_lines, split_fields, unquote
 
 #: Separators that are tried, in this order, where none of the usual ones splits a header.
 RARE_SEPARATORS = ("|", " ", ":")
@@ -98,14 +97,7 @@ def headers_of(spark: SparkSession, files: Sequence[str], comment: str | None =
     The separator is the first of comma, tab, semicolon, bar, blank and colon that splits the header. Names are
     stripped, empty ones named by their place, repeated ones (in any case) numbered.
     """
-    lines = spark.read.text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), "value",
-    )
-    lines = lines.filter((F.col("block") == 0) & (F.btrim("value") != ""))
-    if comment:
-        lines = lines.filter(~F.col("value").startswith(comment))
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    first = first_lines(spark, files, comment)
     splits = [F.when(F.size(split_fields(F.col("header"), s)) > 1, F.lit(s)) for s in (*SEPARATORS, *RARE_SEPARATORS)]
     named = (
         first.withColumn("sep", F.coalesce(*splits, F.lit(SEPARATORS[0])))

@@ -6,7 +6,6 @@ matrix of any width gives a table of a few columns.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -17,23 +16,7 @@ from ..functions.fixed_values import GENE_COLUMN_CANDIDATES, NA_TOKENS, TECHNICA
 from ..functions.numeric import missing_to_null, to_number
 from ..functions.text import clean_gene_id, strip
 from ..cohort import Cohort
-from .tables import data_lines, header_groups, without_comment
-
-
-def split_fields(line: Column, sep: str) -> Column:
-    """Fields of a line. Only a line with a quote pays for honouring quoted separators."""
-    plain = F.split(line, re.escape(sep))
-    mark = re.escape(sep)
-    quoted = F.regexp_extract_all(
-        line, F.lit(rf'(?<=^|{mark})("[^"]*+(?:""[^"]*+)*+"|[^{mark}"]*+)'), F.lit(1)
-    )
-    return F.when(line.contains('"'), quoted).otherwise(plain)
-
-
-def unquote(field: Column) -> Column:
-    """A field without its outer quotes; a doubled quote inside them is one quote."""
-    inside = F.regexp_extract(field, r'(?s)^"(.*?)"?$', 1)
-    return F.when(field.startswith('"'), F.replace(inside, F.lit('""'), F.lit('"'))).otherwise(field)
+from .tables import data_lines, header_groups, split_fields, unquote, whole_line, without_comment
 
 
 def matrix_columns(spark: SparkSession, path: str, sep: str = ",", comment: str | None = None) -> DataFrame:
@@ -107,7 +90,7 @@ def scan_matrix_long(
     adds the place of the sample in the header as ``column``.
     """
     parts = []
-    for number, (_, files) in enumerate(header_groups(spark, path, sep, comment)):
+    for number, files in enumerate(header_groups(spark, path, sep, comment)):
         one = files if isinstance(files, str) else files[0]
         columns = matrix_columns(spark, one, sep, comment)
         gene_name = gene_column or gene_column_of(columns, gene_candidates)
@@ -152,7 +135,7 @@ def _field_lines(
 ) -> DataFrame:
     """(line, fields) of the lines after the header; ``line`` numbers them.
 
-    A gzip file is one task, so its lines are spread before they are split.
+    A gzip file is one task, so its lines are spread before they are split. A quoted line break is refused.
     """
     lines = data_lines(spark, files, comment).withColumn("line", F.monotonically_increasing_id())
     names = [files] if isinstance(files, str) else files
@@ -160,6 +143,7 @@ def _field_lines(
         lines = lines.hint("rebalance")
     if comment:
         lines = lines.withColumn("value", without_comment(F.col("value"), comment))
+    lines = lines.withColumn("value", whole_line(F.col("value"), sep))
     split = lines.select("line", split_fields(F.col("value"), sep).alias("fields"))
     return split.filter(F.size("fields") >= min_fields) if min_fields > 1 else split
 
@@ -178,7 +162,7 @@ def scan_wide_dataset(
     ``study`` is a constant, or the column ``study`` of the file. Sample ids are stripped.
     """
     sample_parts, expr_parts = [], []
-    for _, files in header_groups(spark, path, sep):
+    for files in header_groups(spark, path, sep):
         columns = matrix_columns(spark, files if isinstance(files, str) else files[0], sep)
         described = {r["cell_id"]: r["idx"] for r in columns.filter(F.col("cell_id").isin(*metadata)).collect()}
         if sample not in described:

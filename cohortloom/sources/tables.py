@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.fixed_values import NA_TOKENS
 from ..functions.numeric import missing_to_null
+from ..functions.text import strip
 
 SEPARATORS = (",", "\t", ";")
 
@@ -66,19 +67,9 @@ def data_lines(spark: SparkSession, paths: str | Sequence[str], comment: str | N
     return spark.read.csv(paths if isinstance(paths, str) else list(paths), schema="value string", **options)
 
 
-def header_groups(
-    spark: SparkSession, path: str, sep: str = ",", comment: str | None = None
-) -> list[tuple[str, str | list[str]]]:
-    """Header lines of a file or folder, each with the files that have it.
-
-    A single file costs the read of its first line, a folder one pass over its
-    first lines' blocks. Files whose columns differ in more than their order
-    are refused.
-    """
-    files = spark.read.text(path).inputFiles()
-    if len(files) < 2:
-        return [(first_line(spark, path, comment), path)]
-    lines = spark.read.text(path).select(
+def first_lines(spark: SparkSession, path: str | Sequence[str], comment: str | None = None) -> DataFrame:
+    """(file, header): the first line of every file that is neither blank nor a comment, from one pass over the first blocks."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("file"),
         "value",
         F.monotonically_increasing_id().alias("line"),
@@ -87,15 +78,31 @@ def header_groups(
     lines = lines.filter((F.col("block") == 0) & (F.btrim("value") != ""))
     if comment:
         lines = lines.filter(~F.col("value").startswith(comment))
-    groups: dict[str, list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "line").alias("header")).orderBy("file").collect():
-        groups.setdefault(row["header"], []).append(row["file"])
-    names = {frozenset(header_names(header, sep)) for header in groups}
-    if len(names) > 1:
+    return lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+
+
+def header_groups(spark: SparkSession, path: str, sep: str = ",", comment: str | None = None) -> list[str | list[str]]:
+    """The files of a path by their header: the path itself if all have the same, else lists of files.
+
+    Headers stay in Spark; of every file its name and two hashes reach the driver. Files whose columns differ in more
+    than their order are refused.
+    """
+    if len(spark.read.text(path).inputFiles()) < 2:
+        return [path]
+    names = F.transform(split_fields(F.col("header"), sep), lambda field: strip(unquote(field)))
+    # a sum of hashes, and how many, do not depend on the order
+    total = F.aggregate(names, F.lit(0).cast("decimal(38,0)"), lambda n, name: (n + F.xxhash64(F.lower(name))).cast("decimal(38,0)"))
+    marks = first_lines(spark, path, comment).select("file", F.xxhash64("header").alias("mark"), F.struct(total, F.size(names)).alias("columns"))
+    groups: dict[int, list[str]] = {}
+    kinds = set()
+    for row in marks.orderBy("file").collect():
+        groups.setdefault(row["mark"], []).append(row["file"])
+        kinds.add(tuple(row["columns"]))
+    if len(kinds) > 1:
         raise ValueError(f"the files of {path} have different columns")
     if not groups:
         raise ValueError(f"no line in {path}")
-    return list(groups.items()) if len(groups) > 1 else [(next(iter(groups)), path)]
+    return list(groups.values()) if len(groups) > 1 else [path]
 
 
 def detect_separator(spark: SparkSession, path: str, comment: str | None = None) -> str:
@@ -138,8 +145,9 @@ def scan_table(
     if comment is not None and multi_line:
         raise ValueError("comments are looked for line by line")
     parts = []
-    for header, files in header_groups(spark, path, sep, comment):
-        names = header_names(header, sep)
+    for files in header_groups(spark, path, sep, comment):
+        # the columns of a table are its schema, so one header of each kind reaches the driver
+        names = header_names(first_line(spark, files if isinstance(files, str) else files[0], comment), sep)
         # read by place, so that no name can clash with another
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
         order = [row_order().alias("_row")] if with_row else []
@@ -175,6 +183,30 @@ def without_comment(line: Column, comment: str) -> Column:
     )
 
 
+def split_fields(line: Column, sep: str) -> Column:
+    """Fields of a line. Only a line with a quote pays for honouring quoted separators."""
+    plain = F.split(line, re.escape(sep))
+    mark = re.escape(sep)
+    quoted = F.regexp_extract_all(
+        line, F.lit(rf'(?<=^|{mark})("[^"]*+(?:""[^"]*+)*+"|[^{mark}"]*+)'), F.lit(1)
+    )
+    return F.when(line.contains('"'), quoted).otherwise(plain)
+
+
+def unquote(field: Column) -> Column:
+    """A field without its outer quotes; a doubled quote inside them is one quote."""
+    inside = F.regexp_extract(field, r'(?s)^"(.*?)"?$', 1)
+    return F.when(field.startswith('"'), F.replace(inside, F.lit('""'), F.lit('"'))).otherwise(field)
+
+
+def whole_line(line: Column, sep: str) -> Column:
+    """The line; one that opens quotes and has an odd number of them fails, as its record goes on in the next line."""
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    opens = line.startswith('"') | line.contains(sep + '"')
+    broken = line.contains('"') & opens & odd
+    return F.when(broken, F.raise_error(F.lit("a quoted field holds a line break, which a scan by lines cannot follow"))).otherwise(line)
+
+
 def _rows_without_comments(
     spark: SparkSession, files: str | list[str], sep: str, comment: str, schema: T.StructType, order: list[Column]
 ) -> DataFrame:

@@ -289,3 +289,33 @@ def test_counts_keep_genes_called_pre(spark, tmp_path):
     path = put(tmp_path, "n.csv", ",A,B\nPre_B1,1,2\nG,3,4\n")
     samples = spark.createDataFrame([("A", "S1"), ("B", "S1")], "cell_id string, sample_id string")
     assert rows(scan_cell_matrix(spark, path, "S", samples).select("gene").distinct()) == [("G",), ("Pre_B1",)]
+
+
+def test_broken_records_are_refused(spark, tmp_path):
+    from cohortloom.sources.matrix import scan_matrix_long
+
+    whole = put(tmp_path, "whole.csv", 'Gene,s\n"A,b",1\n"say ""x""",2\n5",3\n"c,",4\n')
+    assert rows(scan_matrix_long(spark, whole, "S"), "gene", "raw") == [('5', "3"), ("A,b", "1"), ("c,", "4"), ("say x", "2")]
+    broken = put(tmp_path, "broken.csv", 'Gene,s\n"A\nb",1\n')
+    with pytest.raises(Exception, match="line break"):
+        scan_matrix_long(spark, broken, "S").collect()
+
+
+def test_folder_headers_stay_in_spark(spark, tmp_path, monkeypatch):
+    """Only hashes of the headers of a folder reach the driver; names in another order are matched, other names refused."""
+    from cohortloom.sources import tables
+    from cohortloom.sources.matrix import scan_matrix_long
+
+    folder = tmp_path / "m"
+    folder.mkdir()
+    put(folder, "a.csv", "Gene,s1,s2\nG,1,2\n")
+    put(folder, "b.csv", 's2,"Gene",s1\n4,H,3\n')
+    put(folder, "c.csv", "Gene,s1,s2\nI,5,6\n")
+    groups = tables.header_groups(spark, str(folder))
+    assert sorted(len(g) for g in groups) == [1, 2]
+    monkeypatch.setattr(tables, "first_line", None)
+    got = rows(scan_matrix_long(spark, str(folder), "S"), "gene", "sample_id", "value")
+    assert got == [("G", "s1", 1.0), ("G", "s2", 2.0), ("H", "s1", 3.0), ("H", "s2", 4.0), ("I", "s1", 5.0), ("I", "s2", 6.0)]
+    put(folder, "d.csv", "Gene,s1,s3\nI,5,6\n")
+    with pytest.raises(ValueError, match="different columns"):
+        scan_matrix_long(spark, str(folder), "S")
