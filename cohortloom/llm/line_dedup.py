@@ -102,45 +102,58 @@ def marks_of(keys: DataFrame) -> np.ndarray:
 
 
 def parsed_lines(docs: DataFrame, marks: np.ndarray | None = None) -> DataFrame:
-    """Rows ``id, n, leaf, key, variants`` of the different lines of every document (``id, text``).
+    """Rows ``id, mark, n, leaf, key, variants, places`` of the different lines of every document (``id, text``).
 
-    With ``marks``, only lines whose key passes that filter, and their ``tokens`` instead of ``variants``.
+    ``mark`` is a hash of the text, ``places`` the numbers of the lines, from 0. With ``marks``, only lines whose key
+    passes that filter, and ``id, n, leaf, key, tokens`` of them.
     """
     texts = marks is not None
     packed = np.packbits(marks) if texts else None
-    fields = [docs.schema["id"], StructField("n", IntegerType()), StructField("leaf", LongType()), StructField("key", LongType())]
-    schema = StructType([*fields, StructField("tokens", StringType()) if texts else StructField("variants", ArrayType(LongType()))])
+    fields = [StructField("n", IntegerType()), StructField("leaf", LongType()), StructField("key", LongType())]
+    if texts:
+        schema = StructType([docs.schema["id"], *fields, StructField("tokens", StringType())])
+    else:
+        more = [StructField("variants", ArrayType(LongType())), StructField("places", ArrayType(IntegerType()))]
+        schema = StructType([docs.schema["id"], StructField("mark", LongType()), *fields, *more])
     rows_at_once = 1 << 14
 
     def run(batches):
         import pyarrow as pa
 
-        def batch_of(place, ids, rows):
-            arrays = [ids.take(pa.array(place, pa.int32()))]
+        def batch_of(place, batch, rows):
+            taken = pa.array(place, pa.int32())
+            arrays = [batch.column(0).take(taken)] if texts else [batch.column(0).take(taken), batch.column(2).take(taken)]
             arrays += [pa.array([r[i] for r in rows], kind) for i, kind in ((0, pa.int32()), (1, pa.int64()), (2, pa.int64()))]
             if texts:
                 arrays.append(pa.array([b" ".join(r[3]).decode("utf-8", "replace") for r in rows], pa.string()))
             else:  # a line in a leaf of its own, as `named` has it, has none
                 arrays.append(pa.array([variants(r[3]) or None if r[1] != r[2] else None for r in rows], pa.list_(pa.int64())))
+                arrays.append(pa.array([r[4] for r in rows], pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
         passing = np.unpackbits(packed).tobytes() if texts else b""
         for batch in batches:
             place, rows = [], []
             for at, raw in enumerate(batch.column(1)):
-                seen = set()
-                for line in (raw.as_py() or b"").split(b"\n"):
+                seen: dict[int, list[int]] = {}
+                for number, line in enumerate((raw.as_py() or b"").split(b"\n")):
                     found = named(line)
-                    if found and found[2] not in seen and (not texts or passing[found[2] % FILTER_BITS]):
-                        seen.add(found[2])
+                    if not found:
+                        continue
+                    known = seen.get(found[2])
+                    if known is not None:
+                        known.append(number)
+                    elif not texts or passing[found[2] % FILTER_BITS]:
+                        seen[found[2]] = numbers = [number]
                         place.append(at)
-                        rows.append(found)
+                        rows.append((*found, numbers))
                 if len(rows) >= rows_at_once:
-                    yield batch_of(place, batch.column(0), rows)
+                    yield batch_of(place, batch, rows)
                     place, rows = [], []
-            yield batch_of(place, batch.column(0), rows)
+            yield batch_of(place, batch, rows)
 
-    return docs.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    read = docs.select("id", F.col("text").cast("binary").alias("text"), *([] if texts else [F.xxhash64("text").alias("mark")]))
+    return read.mapInArrow(run, schema)
 
 
 def instances(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -229,7 +242,7 @@ def short_templates(lines: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lines of every document, ``id, key``, and the recurring ones, ``key, keeper``.
+    """The lines of every document, ``id, mark, key, places``, and the recurring ones, ``key, keeper``.
 
     ``keeper`` is the smallest id of the documents that hold the template; null ids come last.
     """
@@ -256,17 +269,17 @@ def recurring(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("docs >= enough")
     )
     found = known.select("key", "template", "n").join(wide, ["template", "n"]).select("key", F.col("first.id").alias("keeper"))
-    return lines.select("id", "key"), found
+    return lines.select("id", "mark", "key", "places"), found
 
 
 def _dropped(docs: DataFrame) -> DataFrame:
-    """Rows ``id, keys``: keys of the lines that go from a document."""
+    """Rows ``id, mark, places``: numbers of the lines that go from a document; rows of an id may differ in their text."""
     lines, found = recurring(docs)
     return (
         lines.join(found, "key")
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("keys"))
+        .groupBy("id", "mark")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
     )
 
 
@@ -281,48 +294,29 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dropped lines, from 0).
     """
     dropped = settle(_dropped(docs.select(col(id_col).alias("id"), col(text_col).alias("text"))), "dropped-lines")
-    keys = free_name(docs, "dropped_keys")
-    of = free_name(docs, "dropped_of")
-    joined = docs.join(
-        dropped.select(F.col("id").alias(of), F.col("keys").alias(keys)), col(id_col).eqNullSafe(F.col(of)), "left"
-    ).drop(of)
-    names = [*docs.columns, keys]
-    text_at, keys_at = names.index(text_col), len(names) - 1
-    extra = [StructField("n_lines", LongType()), StructField("dropped", ArrayType(IntegerType()))] if counts else []
-    schema = StructType([*docs.schema.fields, *extra])
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts, n_lines, places = [], [], []
-            for raw, gone in zip(batch.column(text_at), batch.column(keys_at)):
-                text, gone = raw.as_py(), set(gone.as_py() or ())
-                lines = (text or "").split("\n") if gone or counts else []
-                out = []
-                for at, line in enumerate(lines if gone else ()):
-                    found = named(line.encode("utf-8", "replace"))
-                    if found and found[2] in gone:
-                        out.append(at)
-                if out:
-                    away = set(out)
-                    text = "\n".join(line for at, line in enumerate(lines) if at not in away)
-                texts.append(text)
-                n_lines.append(len(lines))
-                places.append(out)
-            arrays = list(batch.columns[:-1])
-            arrays[text_at] = pa.array(texts, arrays[text_at].type)
-            if length_col in names and pa.types.is_integer(arrays[names.index(length_col)].type):
-                at = names.index(length_col)
-                arrays[at] = pa.array(
-                    [len(t) if p and t is not None else n for t, p, n in zip(texts, places, arrays[at].to_pylist())],
-                    arrays[at].type,
-                )
-            if counts:
-                arrays += [pa.array(n_lines, pa.int64()), pa.array(places, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
-
-    return joined.select(*[col(c) for c in names]).mapInArrow(run, schema)
+    of, mark, gone, lines, kept = (free_name(docs, n) for n in ("dropped_of", "text_mark", "dropped_places", "text_lines", "kept_text"))
+    away = dropped.select(F.col("id").alias(of), F.col("mark").alias(mark), F.col("places").alias(gone))
+    same = col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(col(text_col)) == F.col(mark))
+    split = F.split(F.coalesce(col(text_col), F.lit("")), "\n")
+    joined = docs.join(away, same, "left").drop(of, mark).withColumn(lines, split)
+    # by the numbers that stay, so that a text of many dropped lines takes no longer
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    joined = joined.withColumn(kept, text)
+    columns = []
+    for c in docs.columns:
+        value = col(c)
+        if c == text_col:
+            value = F.col(kept)
+        elif c == length_col and docs.schema[c].dataType.typeName() in ("byte", "short", "integer", "long"):
+            value = F.when(F.col(gone).isNull() | F.col(kept).isNull(), value).otherwise(F.length(kept)).cast(docs.schema[c].dataType)
+        columns.append(value.alias(c))
+    if counts:
+        columns += [
+            F.size(lines).cast("long").alias("n_lines"),
+            F.coalesce(F.col(gone), F.array().cast("array<int>")).alias("dropped"),
+        ]
+    return joined.select(*columns)
 
 
 def op8(spark, folder):
