@@ -46,13 +46,13 @@ casino-jackpot online-casino casino-royal casinowin lucky-slots poker-bets best-
 win-prizes cheap-meds pills-online diet-pills cheap-viagra cheap-replica pharma-cheap pillshop adult-chat adult-video
 hot-adult xxx-adult adult-cams sexcams spam-links link-farm seo-farm spamfarm content-farm linkspam click-farm
 ads-server track-ads ad-track adstracker click-ads track-click popup-ads free-money free-gift get-rich cheap-loans
-payday-loan free-download warez-free cracked-keys win-free bets-win cheap-tickets-x spam-mail spam-offers track-x
+payday-loan free-download warez-free cracked-keys win-free bets-win cheap-tickets spam-mail spam-offers tracker
 """.split()
 WANTED = """
 news city-news garden library open-library weather university physics-dept recipes cooking travel maps museum history
 science theatre river-valley forest music painting literature school hospital health-care statistics software python
-chess football tennis north thenorth erentha ontiner anderin hesting thaton station thinning mention thorned enthand
-thering anthem ententh rethin other mother father another hinter winter tiontha tithe hand land island ontheon bleren
+chess football tennis north northwest adherent continent wandering harvesting marathon station thinning mention thorned enthusiast
+gathering anthem seventeenth rethink other mother father another hinterland winter translation tithe hand land island pantheon blender
 house mountain outing thorn stand notion nation ration lotion essay estate heather weathering thistle whither reading
 leading sheath breath earth hearth northern southern eastern western tenth seventh fourth athens thames orchard wharf
 reunion online-library free-library adult-education farm-museum track-and-field
@@ -82,24 +82,30 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return text, action
 
 
-def _grams(text: Column, mark: str) -> Column:
-    """Character n-grams of a text between ``^`` and ``$``, digits as 0, each behind a mark for its field."""
-    whole = F.concat(F.lit("^"), F.translate(text, "123456789", "000000000"), F.lit("$"))
-    parts = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(whole) - (n - 1), F.lit(1))),
-            lambda i, n=n: F.concat(F.lit(mark), F.substring(whole, i, F.lit(n))),
-        )
-        for n in SIZES
-    ]
-    return F.concat(*parts)
+def _with_grams(df: DataFrame, text: str, mark: str, name: str) -> DataFrame:
+    """Adds the character n-grams of a text between ``^`` and ``$``, digits as 0, each behind a mark for its field.
+
+    A text shorter than n is its only n-gram. The text is split into characters once and windows are put together from
+    neighbouring ones, so the work grows with its length alone.
+    """
+    whole, pairs, parts = f"{name}_1", f"{name}_2", [f"{name}_{n}" for n in SIZES]
+    framed = F.concat(F.lit("^"), F.translate(text, "123456789", "000000000"), F.lit("$"))
+    df = df.withColumn(whole, F.regexp_extract_all(framed, F.lit("(?s)."), F.lit(0)))
+    # a window of n characters is one of the first and one of the last of them
+    for n, first, last in ((2, 1, 1), (3, 2, 1), (4, 2, 2), (5, 4, 1)):
+        many = F.greatest(F.size(whole) - (n - 1), F.lit(0))
+        ends = F.slice(F.col(f"{name}_{first}"), 1, many), F.slice(F.col(f"{name}_{last}"), first + 1, many)
+        df = df.withColumn(f"{name}_{n}", F.zip_with(*ends, lambda x, y: F.concat(x, y)))
+    grams = [F.when(F.size(whole) < n, F.array(F.array_join(whole, ""))).otherwise(F.col(part)) for n, part in zip(SIZES, parts)]
+    marked = F.transform(F.concat(*grams), lambda gram: F.concat(F.lit(mark), gram))
+    return df.withColumn(name, marked).drop(whole, pairs, *parts)
 
 
 def with_features(urls: DataFrame, host: str, path: str, name: str) -> DataFrame:
     """Adds a sparse vector that marks the hashed n-grams of host and path that occur."""
-    grams = name + "_grams"
-    listed = urls.withColumn(grams, F.concat(_grams(col(host), "h"), _grams(col(path), "p")))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol=grams, outputCol=name).transform(listed).drop(grams)
+    by_host, by_path, grams = name + "_host", name + "_path", name + "_grams"
+    listed = _with_grams(_with_grams(urls, host, "h", by_host), path, "p", by_path).withColumn(grams, F.concat(by_host, by_path))
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol=grams, outputCol=name).transform(listed).drop(grams, by_host, by_path)
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:

@@ -233,7 +233,9 @@ def digests(captures: DataFrame, id_type: str = "bigint") -> DataFrame:
         F.col("response.refers_to").alias("target"),
     )
     responses = flat.where("record_type = 'response'").select(F.col("capture_id").alias("target"), F.col("page_id").alias("refers_to")).distinct()
-    return flat.join(responses, "target", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # a capture that revisits nothing gets a key of its own that no response has, so that these are dealt out evenly
+    spread = flat.withColumn("target", F.coalesce("target", F.concat(F.lit("none "), "capture_id")))
+    return spread.join(responses, "target", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7(spark, folder):

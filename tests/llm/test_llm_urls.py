@@ -65,6 +65,42 @@ def test_held_out_accuracy(spark, model):
     assert right >= 17
 
 
+def naive_grams(host, path):
+    out = set()
+    for mark, text in (("h", host), ("p", path)):
+        whole = "^" + "".join("0" if c in "123456789" else c for c in text) + "$"
+        for n in U.SIZES:
+            out |= {mark + whole[i : i + n] for i in range(max(len(whole) - n + 1, 1))}
+    return out
+
+
+def test_features_are_the_grams(spark):
+    parts = [("", ""), ("a", "/"), ("example.com", "/en/12"), ("ünï𝄞.org", "/日本/a b\nc"), ("h" * 400, "/x" * 300)]
+    table = spark.createDataFrame(parts, "host string, path string")
+    from pyspark.ml.feature import HashingTF
+
+    hashing = HashingTF(numFeatures=U.FEATURES, binary=True, inputCol="g", outputCol="v")
+    want = hashing.transform(spark.createDataFrame([(h, p, sorted(naive_grams(h, p))) for h, p in parts], "host string, path string, g array<string>"))
+    wanted = {(r.host, r.path): r.v for r in want.collect()}
+    got = U.with_features(table, "host", "path", "f")
+    assert got.columns == ["host", "path", "f"]
+    assert {(r.host, r.path): r.f for r in got.collect()} == wanted
+
+
+def test_long_url(spark, model):
+    import time
+
+    pages = spark.createDataFrame([(1, "http://" + "host" * 50_000 + "/" + "path/" * 160_000)], "page_id long, url string")
+    began = time.perf_counter()
+    assert U.judge(pages, U.RULES, model).first().verdict in ("block", "allow")
+    assert time.perf_counter() - began < 30
+
+
+def test_no_host_of_the_pages_was_learned_from(spark):
+    hosts = {naive_split(r.url)[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()}
+    assert not hosts & {naive_split(r.url)[0] for r in U.labelled_urls(spark).collect()}
+
+
 def test_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     got = QUERIES["op3_url_filter"](spark, FOLDER).collect()
