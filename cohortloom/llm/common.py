@@ -98,3 +98,21 @@ def hot_keys(groups: DataFrame, key: str, size: str, share: int = 256, most: int
     """
     large = groups.where(F.col(size) >= 2 * share).groupBy(key).agg(F.max(size).alias(size))
     return large.orderBy(F.desc(size)).limit(most).select(key, F.ceil(F.col(size) / share).cast("int").alias("salts"))
+
+
+def tidy(run):
+    """A function over Arrow batches that, once it is through, gives the memory that Arrow keeps ready back to the system.
+
+    Workers wait for the next task with what they have; a waiting worker should be small.
+    """
+
+    def through(batches):
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    return through

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import Run, col, free_name, table
+from .common import Run, col, free_name, table, tidy
 from .tokens import pieces as text_ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -460,9 +460,8 @@ def with_pieces(
                     *[pa.array(c, t) for c, t in zip((lengths, [f[1] for f in found], others, trips), types[1:])],
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *names])
-        pa.default_memory_pool().release_unused()
 
-    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(run, schema)
+    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(tidy(run), schema)
 
 
 def decoded(encoded: DataFrame, model: Pieces, ids_col: str = "ids", name: str = "text") -> DataFrame:
@@ -478,7 +477,7 @@ def decoded(encoded: DataFrame, model: Pieces, ids_col: str = "ids", name: str =
             texts = [None if x.as_py() is None else encoder.decode(x.as_py()) for x in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, name])
 
-    return encoded.select("*", col(ids_col).alias(free_name(encoded, "raw_ids"))).mapInArrow(run, schema)
+    return encoded.select("*", col(ids_col).alias(free_name(encoded, "raw_ids"))).mapInArrow(tidy(run), schema)
 
 
 def op5(spark, folder):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Run, col, free_name, remainder, table
+from .common import Run, col, free_name, remainder, table, tidy
 from .labelled import logistic, training_rows
 from .tokens import encode, pieces, segment_max
 
@@ -100,7 +100,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some].astype(np.int64))], names=["triple", "n"])
 
-    rows = docs.select(col(text_col).alias("text")).mapInArrow(run, "triple long, n long")
+    rows = docs.select(col(text_col).alias("text")).mapInArrow(tidy(run), "triple long, n long")
     counts = np.zeros(_K**3)
     for r in rows.groupBy("triple").agg(F.sum("n").alias("n")).collect():
         counts[r["triple"]] = r["n"]
@@ -250,7 +250,7 @@ def _counted_features(rows: DataFrame, model: np.ndarray) -> DataFrame:
                     names=["feature", "toxic", "clean"],
                 )
 
-    partial = rows.select("label", "text").mapInArrow(run, "feature string, toxic long, clean long")
+    partial = rows.select("label", "text").mapInArrow(tidy(run), "feature string, toxic long, clean long")
     return partial.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -297,7 +297,7 @@ def _with_strongest(
                 found.append(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(np.concatenate(found))], names=[*keep, name])
 
-    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(run, schema)
+    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(tidy(run), schema)
 
 
 class Toxicity(NamedTuple):
