@@ -6,7 +6,6 @@ import zlib
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from cohortloom.llm import conversations as C
 from cohortloom.llm.queries import QUERIES
