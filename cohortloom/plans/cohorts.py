@@ -18,7 +18,6 @@ from ..operators.genes import (
     entrez_aliases,
     first_symbol_map,
     gene_overlap,
-    genes_of,
     last_symbol_map,
     mean_duplicates,
     on_genes,
