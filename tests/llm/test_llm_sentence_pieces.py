@@ -77,7 +77,7 @@ def test_long_run_of_one_character(encoder):
     began = time.perf_counter()
     ids, score, others = encoder.encode("a" * 200_000, 4)
     assert encoder.decode(ids) == "a" * 200_000 and len(others) == 3
-    assert time.perf_counter() - began < 10
+    assert time.perf_counter() - began < 30  # some seconds; the square of the length would be hours
     few = [s for s, _ in itertools.islice(encoder.search("a" * 12), 6)]
     assert few == [s for s, _ in every(encoder, "a" * 12)[:6]]
 
