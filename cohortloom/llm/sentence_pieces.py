@@ -31,10 +31,10 @@ BLANK = "▁"
 N_BEST = 4
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_MEMO = 100_000
+_MEMO = 60_000
 #: Words of up to so many characters are remembered, and segmented many at a time.
 _LONGEST_KEPT = 64
-_WORDS_AT_ONCE = 1 << 13
+_WORDS_AT_ONCE = 1 << 12
 _SHIFT = 21
 #: Bytes of text whose words are looked at together.
 _BYTES_AT_ONCE = 1 << 20

@@ -58,6 +58,8 @@ MIN_SHARE = 0.01
 MAX_ROWS = 20_000
 MAX_FEATURES = 65_536
 _MEMO = 50_000
+#: Bytes of text whose words are looked at together.
+_BYTES_AT_ONCE = 1 << 21
 
 
 # ---- character model -------------------------------------------------------------------------
@@ -85,7 +87,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
         total = np.zeros(_K**3)
         for batch in batches:
-            for start, end in pieces(batch.column(0)):
+            for start, end in pieces(batch.column(0), _BYTES_AT_ONCE):
                 _, codes, vocabulary = encode(batch.column(0).slice(start, end - start))
                 if not vocabulary:
                     continue
@@ -233,7 +235,7 @@ def _counted_features(rows: DataFrame, model: np.ndarray) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for start, end in pieces(batch.column(1)):
+            for start, end in pieces(batch.column(1), _BYTES_AT_ONCE):
                 offsets, codes, vocabulary = encode(batch.column(1).slice(start, end - start))
                 words = _Words(model, features)
                 listed = [words(w) for w in vocabulary]
@@ -279,7 +281,7 @@ def _with_strongest(
         others = _Words(model, lambda w: max((without.get(f, 0.0) for f in features(w)), default=0.0))
         for batch in batches:
             found = [np.zeros(0)]
-            for start, end in pieces(batch.column(len(keep))):
+            for start, end in pieces(batch.column(len(keep)), _BYTES_AT_ONCE):
                 offsets, codes, vocabulary = encode(batch.column(len(keep)).slice(start, end - start))
                 spaced = list(_spaced(offsets, codes, vocabulary))
 
