@@ -7,6 +7,7 @@ import pytest
 
 from cohortloom.operators import sketches as S
 from cohortloom.plans.profiling import profile_of_sketches, sketch_files
+from workload import QUERIES, Tables
 
 
 def drawn(seed):
@@ -69,3 +70,19 @@ def test_folder_of_files(spark, tmp_path):
     assert {r.column for r in sketch_files(spark, names[:1], ["age"]).collect()} == {"age"}
     with pytest.raises(ValueError, match="no such file"):
         sketch_files(spark, names[2:])
+
+
+def test_profile_of_columns_without_a_frequent_value(spark, tmp_path):
+    # 6 000 values, all once: no value is frequent enough to be named
+    spark.range(6000).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "'1-URGENT' AS o_orderpriority"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(5000).selectExpr("id AS c_custkey", "'B' AS c_mktsegment", "CAST(id % 3 AS INT) AS c_nationkey").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    found = {r["column"]: r for r in QUERIES["sketch_profile"].run(Tables(spark, str(tmp_path))).collect()}
+    assert {name: r.most for name, r in found.items()} == {
+        "o_orderkey": None, "o_custkey": 858, "o_orderstatus": 6000, "priority": 4000,
+        "c_custkey": None, "c_mktsegment": 5000, "c_nationkey": 1667, "nothing": 0,
+    }
+    assert all(r.near for r in found.values()) and found["o_orderkey"].n_values == 6000

@@ -140,5 +140,5 @@ def sketched_profile(t: Tables):
         "column", "n_rows", "n_missing", F.col("exact").alias("n_values"),
         (F.abs(F.col("n_values") - F.col("exact")) <= F.col("exact") * 0.04).alias("near"),
         F.array_join("examples", ",").alias("examples"),
-        F.when(F.col("exact") <= 500, F.coalesce(F.col("most_frequent")[0]["n"], F.lit(0))).alias("most"),
+        F.when(F.col("exact") <= 500, F.coalesce(F.get("most_frequent", F.lit(0))["n"], F.lit(0))).alias("most"),
     )
