@@ -24,7 +24,8 @@ def matrix_columns(spark: SparkSession, path: str, sep: str = ",", comment: str
 
     Names are cleaned as ``header_names`` does: stripped, empty ones named, repeated ones (in any case) numbered.
     """
-    lines = spark.read.text(path).filter(F.btrim("value") != "")
+    # only first blocks hold headers; which block's lines a limit takes is up to the shuffle
+    lines = spark.read.text(path).filter((F.col("_metadata.file_block_start") == 0) & (F.btrim("value") != ""))
     if comment:
         lines = lines.filter(~F.col("value").startswith(comment))
     named = (

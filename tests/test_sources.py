@@ -4,6 +4,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
@@ -13,7 +14,7 @@ from cohortloom.plans.metadata import COHORT_SPECS, extract_metadata, standardis
 from cohortloom.sinks.tables import write_table
 from cohortloom.sources import attributes as A
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
-from cohortloom.sources.matrix import cell_columns, scan_cell_matrix, scan_matrix_long
+from cohortloom.sources.matrix import cell_columns, matrix_columns, scan_cell_matrix, scan_matrix_long
 from cohortloom.sources.tables import detect_separator, header_names, matrix_header, scan_table
 
 
@@ -319,3 +320,18 @@ def test_folder_headers_stay_in_spark(spark, tmp_path, monkeypatch):
     put(folder, "d.csv", "Gene,s1,s3\nI,5,6\n")
     with pytest.raises(ValueError, match="different columns"):
         scan_matrix_long(spark, str(folder), "S")
+
+
+def test_header_stands_in_the_first_block(spark, tmp_path, monkeypatch):
+    # a file of many blocks, which reach the driver's side in any order: here the last comes first
+    lines = [f"G{i},{i}" for i in range(2000)]
+    path = put(tmp_path, "blocks.csv", "\n".join(["", "Gene,s1", *lines]) + "\n")
+    read = DataFrameReader.text
+    place = F.col("_metadata.file_block_start")
+    monkeypatch.setattr(DataFrameReader, "text", lambda self, *a, **k: read(self, *a, **k).orderBy(place.desc()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert rows(matrix_columns(spark, path)) == [(0, "Gene"), (1, "s1")]
+        assert scan_matrix_long(spark, path, "S").agg(F.count("value"), F.sum("value")).first() == (2000, 1999000.0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
