@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import NA_TOKENS
 from ..functions.numeric import missing_to_null
 from ..functions.text import strip
+from ..session import settle
 
 SEPARATORS = (",", "\t", ";")
 
@@ -68,7 +69,11 @@ def data_lines(spark: SparkSession, paths: str | Sequence[str], comment: str | N
 
 
 def first_lines(spark: SparkSession, path: str | Sequence[str], comment: str | None = None) -> DataFrame:
-    """(file, header): the first line of every file that is neither blank nor a comment, from one pass over the first blocks."""
+    """(file, header): the first line of every file that is neither blank nor a comment, from two passes over the first blocks.
+
+    Texts cannot be kept in a hash table of aggregates, and all lines would be sorted for the sake of one. So the first
+    pass finds two hashes of the first line, which it stores, and the second the line that has them.
+    """
     lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("file"),
         "value",
@@ -78,7 +83,10 @@ def first_lines(spark: SparkSession, path: str | Sequence[str], comment: str | N
     lines = lines.filter((F.col("block") == 0) & (F.btrim("value") != ""))
     if comment:
         lines = lines.filter(~F.col("value").startswith(comment))
-    return lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    marked = lines.select("file", "line", "value", F.xxhash64("value").alias("mark"), F.xxhash64(F.lit(1), "value").alias("mark_2"))
+    first = settle(marked.groupBy("file").agg(*[F.min_by(m, "line").alias(m) for m in ("mark", "mark_2")]), "first-lines")
+    found = marked.join(first, ["file", "mark", "mark_2"])
+    return found.select("file", F.col("value").alias("header")).distinct()
 
 
 def header_groups(spark: SparkSession, path: str, sep: str = ",", comment: str | None = None) -> list[str | list[str]]:

@@ -15,7 +15,7 @@ from cohortloom.sinks.tables import write_table
 from cohortloom.sources import attributes as A
 from cohortloom.sources.catalog import classify_cell_tables, classify_files, pick_member
 from cohortloom.sources.matrix import cell_columns, matrix_columns, scan_cell_matrix, scan_matrix_long
-from cohortloom.sources.tables import detect_separator, header_names, matrix_header, scan_table
+from cohortloom.sources.tables import detect_separator, first_lines, header_names, matrix_header, scan_table
 
 
 def put(tmp_path, name, text):
@@ -335,3 +335,14 @@ def test_header_stands_in_the_first_block(spark, tmp_path, monkeypatch):
         assert scan_matrix_long(spark, path, "S").agg(F.count("value"), F.sum("value")).first() == (2000, 1999000.0)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_first_lines_are_found_without_sorting_all(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    put(tmp_path / "many", "a.csv", "\n#c\nid,v\n" + "id,v\nv,id\n" * 500)
+    put(tmp_path / "many", "b.csv.gz", "v,id\n" + "id,v\n" * 500)
+    put(tmp_path / "many", "blank.csv", " \n")
+    found = first_lines(spark, str(tmp_path / "many"), "#")
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.file.rsplit("/", 1)[-1], r.header) for r in found.collect())
+    assert got == [("a.csv", "id,v"), ("b.csv.gz", "v,id")]
