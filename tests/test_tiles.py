@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators.genes import gene_index
 from cohortloom.sinks.features import from_tiles, sample_index, to_tiles
+from workload import QUERIES, Tables
 
 SCHEMA = "study string, sample_id string, gene string, value double"
 
@@ -47,3 +48,25 @@ def test_repeats_fail_and_nothing_gives_nothing(spark):
         to_tiles(expr, sample_index(expr), gene_index(expr)).collect()
     none = expr.limit(0)
     assert to_tiles(none, sample_index(none), gene_index(none)).collect() == []
+
+
+def test_places_of_dense_features_are_rows(spark, tmp_path):
+    tables = {
+        "region": [("AFRICA", 0), ("ASIA", 1), ("EUROPE", 2)], "nation": [(n, n) for n in range(3)], "supplier": [(n, n) for n in range(3)],
+        # genes 1 to 8 are common; of the samples in Europe the last has no value, and one gene is not common
+        "lineitem": [(1, p, s, 1.0) for p in range(1, 9) for s in (0, 1)]
+        + [(7, 3, 2, 2.0), (7, 3, 2, 4.0), (7, 8, 2, 0.5), (7, 99, 2, 9.0), (8, 1, 2, 1.0), (9, 5, 2, None), (9, 8, 2, None)],
+    }
+    schemas = {
+        "region": "r_name string, r_regionkey int", "nation": "n_nationkey int, n_regionkey int",
+        "supplier": "s_suppkey bigint, s_nationkey int", "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double",
+    }
+    for name, listed in tables.items():
+        spark.createDataFrame(listed, schemas[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = QUERIES["aligned_features"].run(Tables(spark, str(tmp_path)))
+    assert sorted(map(tuple, found.collect())) == [
+        ("EUROPE", "7", 8, 2, "2=180,7=30"), ("EUROPE", "8", 8, 1, "0=60"), ("EUROPE", "9", 8, 0, "")
+    ]
+    # no function is called for each of the places of a sample
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode(features" in plan and "transform(features" not in plan
