@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import mean_with_zeros, total_of
 from cohortloom.operators import genes as G
+from cohortloom.sinks.features import to_wide
 
 
 def brute_pairs(ids, symbols):
@@ -136,3 +137,15 @@ def test_common_genes_and_index(spark):
 def test_no_common_gene_is_an_error(spark):
     with pytest.raises(ValueError, match="no common gene"):
         G.require_genes(G.common_genes(gene_sets(spark).filter("gene <> 'G2'"), ["a", "b"]), "a, b")
+
+
+def test_wide_has_one_grouping(spark):
+    expr = spark.createDataFrame(
+        [("A", "1", "g", 1.0), ("A", "1", "h", None), ("A", "2", "other", 3.0), ("A", None, "h", 2.0), ("A", "3", None, 5.0)],
+        "study string, sample_id string, gene string, value double",
+    )
+    wide = to_wide(expr, ["h", "g"])
+    assert wide.columns == ["study", "sample_id", "h", "g"]
+    assert rows(wide) == [("A", "1", None, 1.0), ("A", "2", None, None), ("A", "3", None, None), ("A", None, 2.0, None)]
+    # no grouping by samples and genes before that by samples
+    assert "pivotfirst" not in wide._jdf.queryExecution().executedPlan().toString()
