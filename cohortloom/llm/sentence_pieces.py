@@ -10,8 +10,10 @@ segmentations of a text are put together from the N best of its words.
 
 from __future__ import annotations
 
-import re
+import gc
+import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from heapq import heappop, heappush
 from itertools import chain
 from math import inf
@@ -35,6 +37,9 @@ _MEMO = 60_000
 #: Words of up to so many characters are remembered, and segmented many at a time.
 _LONGEST_KEPT = 64
 _WORDS_AT_ONCE = 1 << 12
+_SIGNS_AT_ONCE = 1 << 16
+#: Words whose further segmentations are remembered.
+_SEARCHED = 4_000
 _SHIFT = 21
 #: Bytes of text whose words are looked at together.
 _BYTES_AT_ONCE = 1 << 20
@@ -61,25 +66,48 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces([model.id_to_piece(i) for i in ids], [float(model.get_score(i)) for i in ids], kinds)
 
 
-def _splitter(pieces: list[str]) -> str:
-    """Pattern of the longest parts of a text that pieces may tie together.
+#: Kinds of characters, and after which kind (row) which one (column) begins another part of a text.
+_LETTER, _SIGN, _TIED, _SPACE, _CUT = range(5)
+_BEGINS = np.zeros((5, 5), bool)
+_BEGINS[_CUT], _BEGINS[:, _CUT], _BEGINS[_LETTER, _SIGN] = True, True, True
+_BEGINS[:_SPACE, _SPACE] = True
 
-    The lattice falls apart before blanks, at control characters that no piece
-    holds, and between a letter or digit and a sign that no piece has behind one.
+
+def _kinds(pieces: list[str]):
+    """Kind of a character. It tells where a text falls into the longest parts that pieces may tie together:
+
+    before blanks, at control characters that no piece holds, and between a
+    letter or digit and a sign that no piece has behind one.
     """
     held = set("".join(pieces))
-    cut = "".join(c for c in "\n\t\r\x0b\x0c" if c not in held)
+    cut = {c for c in "\n\t\r\x0b\x0c" if c not in held}
     pairs = {pair for p in pieces for pair in zip(p, p[1:])}
     # rare letters that signs follow, such as a raised 2, count as signs themselves
     rare = {a for a, b in pairs if a.isalnum() and not b.isalnum() and not a.isascii()}
     tied = {b for a, b in pairs if a.isalnum() and a not in rare and (not b.isalnum() or b in rare)}
-    odd = "".join(re.escape(c) for c in sorted(rare))
-    sign, letter = f"[^\\w {cut}]|[_{odd}]", f"[^\\W_{odd}]"
-    sign = f"(?:{sign})"
-    tying = "".join(re.escape(c) for c in sorted(tied))
-    more = f"(?:[{tying}]{sign}*{letter}*)*" if tied else ""
-    word = f" *{sign}*{letter}*{more}"
-    return f"[{cut}]|(?=[^{cut}]){word}" if cut else f"(?=.){word}"
+
+    def kind(c: str) -> int:
+        if c == " ":
+            return _SPACE
+        if c in cut:
+            return _CUT
+        if c in tied:
+            return _TIED
+        return _LETTER if c.isalnum() and c not in rare else _SIGN
+
+    return kind
+
+
+@contextmanager
+def _acyclic():
+    """No search for cycles of objects meanwhile: what is made here has none, and the search goes through all remembered words."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
 
 
 Path = tuple[float, tuple[int, ...]]
@@ -111,16 +139,20 @@ class Encoder:
         if len(self.bytes) < 256:
             raise ValueError("the model has no piece for every byte")
         self.unknown = min((s for _, _, s in normal), default=0.0) - UNKNOWN_PENALTY
-        self.split = re.compile(_splitter([p for p, _, _ in normal]), re.DOTALL)
+        self.kind = _kinds([p for p, _, _ in normal])
+        # kinds of the characters met so far
+        self.kinds = np.full(sys.maxunicode + 1, 255, np.uint8)
         # words met lately, and those met before: a word that is met again stays
         self.memo: dict[str, tuple[tuple[int, ...], float, float]] = {}
         self.older: dict[str, tuple[tuple[int, ...], float, float]] = {}
+        self.searched: dict[tuple[str, int], list[Path]] = {}
         self.texts = ["" if k == "other" else p.replace(BLANK, " ") for p, k in zip(model.pieces, model.kinds)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
         # a byte below 128 is a character by itself; others have to be put together
         self.quick: list[str | None] = list(self.texts)
         for i, b in self.byte_of.items():
             self.quick[i] = chr(b) if b < 128 else None
+        self.raw = None
 
     def _arrays(self, grown: dict) -> None:
         """The trie as sorted (node, character) keys with the node behind (-1: none) and the id (-1: none) and score of a piece."""
@@ -141,70 +173,94 @@ class Encoder:
         self.after, self.own = (np.append(np.array(x, np.int32)[order], -1) for x in (after, own))
         self.scores = np.append(np.array(scores, float)[order], 0.0)
 
-    def learn(self, words) -> None:
-        """Segment and remember words that are not yet known, many at a time; the result is that of ``word``."""
-        new = [w for w in words if w not in self.memo and w not in self.older and 0 < len(w) <= _LONGEST_KEPT]
-        new.sort(key=len)  # words of like length share their tables
-        for at in range(0, len(new), _WORDS_AT_ONCE):
-            if len(self.memo) >= _MEMO:
-                self.memo, self.older = {}, self.memo
-            part = new[at : at + _WORDS_AT_ONCE]
-            self.memo.update(zip(part, self._segmented(part)))
-
-    def _edges(self, words: list[str], lengths: np.ndarray):
-        """All lattice pieces of the words as arrays (word, start, end, id, score), by start, then by word."""
+    def learn(self, words) -> list:
+        """What ``word`` gives for every word (nothing for an empty one); those not yet known are segmented many at a time."""
+        words = list(words)
+        found = list(map(self.memo.get, words))
+        new, older = [], self.older
+        for k in [k for k, got in enumerate(found) if got is None]:
+            w = words[k]
+            if w in older:
+                self._room()
+                self.memo[w] = found[k] = older[w]
+            elif len(w) > _LONGEST_KEPT:
+                found[k] = self.word(w)
+            elif w:
+                new.append((len(w), k))
+        new.sort()  # words of like length share their tables
+        at = 0
+        while at < len(new):
+            longest = new[min(at + _WORDS_AT_ONCE, len(new)) - 1][0]
+            places = [k for _, k in new[at : at + min(_WORDS_AT_ONCE, _SIGNS_AT_ONCE // longest)]]
+            part = [words[k] for k in places]
+            got = self._segmented(part)
+            self._room()
+            self.memo.update(zip(part, got))
+            for k, x in zip(places, got):
+                found[k] = x
+            at += len(places)
+        return found
+
+    def _room(self) -> None:
+        if len(self.memo) >= _MEMO:
+            self.memo, self.older = {}, self.memo
+
+    def _pieces_at(self, words: list[str], lengths: np.ndarray):
+        """Lattice pieces of the words: ids and scores (-inf: none) by length less 1, start and word, and the lengths met at every start."""
         raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         signs = np.where(raw == ord(BLANK), 0, np.where(raw == 32, ord(BLANK), raw))
-        word = np.repeat(np.arange(len(words)), lengths)
-        first = np.cumsum(lengths) - lengths
-        start = np.arange(len(raw)) - first[word]
-        left = lengths[word] - start
-        alive, node, depth, found = np.arange(len(raw)), np.zeros(len(raw), np.int64), 0, []
-        alone = np.zeros(len(raw), bool)
+        n, longest = len(words), int(lengths[-1])
+        word = np.repeat(np.arange(n), lengths)
+        start = np.arange(len(raw)) - (np.cumsum(lengths) - lengths)[word]
+        left, cell = lengths[word] - start, start * n + word
+        alive, node, depth = np.arange(len(raw)), np.zeros(len(raw), np.int64), 0
+        own, scores, met = [], [], []
         while len(alive):
-            key = node << _SHIFT | signs[alive + depth]
-            at = np.searchsorted(self.keys, key)
-            met = self.keys[at] == key
-            alive, at = alive[met], at[met]
+            at = np.searchsorted(self.keys, node << _SHIFT | signs[alive + depth])
+            there = self.keys[at] == (node << _SHIFT | signs[alive + depth])
+            alive, at = alive[there], at[there]
             depth += 1
-            piece = self.own[at] >= 0
-            found.append((alive[piece], np.full(int(piece.sum()), depth), self.own[at[piece]], self.scores[at[piece]]))
-            if depth == 1:
-                alone[alive[piece]] = True
-            node = self.after[at].astype(np.int64)
+            ends = self.own[at] >= 0
+            cells = cell[alive[ends]]
+            ids, values = np.zeros(longest * n, np.int32), np.full(longest * n, -inf)
+            ids[cells], values[cells] = self.own[at[ends]], self.scores[at[ends]]
+            if depth == 1:  # a character that is no piece is unknown
+                bare = np.ones(len(raw), bool)
+                bare[alive[ends]] = False
+                ids[cell[bare]], values[cell[bare]] = -1 - raw[bare], self.unknown
+            own.append(ids.reshape(longest, n))
+            scores.append(values.reshape(longest, n))
+            met.append(np.ones(longest, bool) if depth == 1 else np.bincount(start[alive[ends]], minlength=longest) > 0)
+            node = self.after[at]
             on = (node >= 0) & (left[alive] > depth)
-            alive, node = alive[on], node[on]
-        bare = np.flatnonzero(~alone)
-        found.append((bare, np.ones(len(bare), np.int64), -1 - raw[bare], np.full(len(bare), self.unknown)))
-        place, size, own, score = (np.concatenate([f[i] for f in found]) for i in range(4))
-        order = np.lexsort((word[place], start[place]))
-        place, size = place[order], size[order]
-        return word[place], start[place], start[place] + size, own[order], score[order]
+            alive, node = alive[on], node[on].astype(np.int64)
+        return own, scores, [(np.flatnonzero(m) + 1).tolist() for m in np.transpose(met)]
 
     def _segmented(self, words: list[str]) -> list[tuple[tuple[int, ...], float, float]]:
-        """``word`` of many short words: forward and backward scores are found for one start of all words after the other."""
+        """``word`` of many short words, sorted by length: forward and backward scores go over all words at once."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        word, start, end, own, score = self._edges(words, lengths)
-        n, longest = len(words), int(lengths.max())
-        bounds = np.searchsorted(start, np.arange(longest + 1)).tolist()
-        best = np.full((n, longest + 1), -inf)
-        best[:, 0] = 0.0
-        back, back_own = np.zeros((n, longest + 1), np.int8), np.zeros((n, longest + 1), np.int32)
+        own, scores, sizes = self._pieces_at(words, lengths)
+        n, longest = len(words), int(lengths[-1])
+        longer = np.searchsorted(lengths, np.arange(longest), "right").tolist()  # the first word longer than k
+        best, back = np.full((longest + 1, n), -inf), np.zeros((longest + 1, n), np.int8)
+        best[0] = 0.0
         for k in range(longest):
-            of = slice(bounds[k], bounds[k + 1])
-            w, e = word[of], end[of]
-            total = best[w, k] + score[of]
-            up = total > best[w, e]
-            w, e = w[up], e[up]
-            best[w, e], back[w, e], back_own[w, e] = total[up], k, own[of][up]
-
-        after = np.zeros((n, longest + 1), np.int8)
+            for size in sizes[k]:
+                of = slice(longer[k + size - 1], n)
+                total = best[k, of] + scores[size - 1][k, of]
+                up = total > best[k + size, of]
+                np.copyto(best[k + size, of], total, where=up)
+                np.copyto(back[k + size, of], size, where=up)
+
+        taken = np.zeros((longest, n), np.int8)
         w, e, steps = np.arange(n), lengths, []
+        every = np.array([x.ravel() for x in own])
         while len(w):
-            k = back[w, e].astype(np.int64)
-            after[w, k] = e
-            steps.append((w, back_own[w, e]))
-            w, e = w[k > 0], k[k > 0]
+            size = back[e, w]
+            e = e - size
+            taken[e, w] = size
+            steps.append((w, every[size - 1, e * n + w]))
+            w, e = w[e > 0], e[e > 0]
         of, ids = (np.concatenate([x[i] for x in reversed(steps)]) for i in range(2))
         order = np.argsort(of, kind="stable")
         ids, of = ids[order], of[order]
@@ -212,20 +268,17 @@ class Encoder:
         odd = np.zeros(n, bool)
         odd[of[ids < 0]] = True
 
-        rest, second = np.full((n, longest + 1), -inf), np.full(n, -inf)
-        rest[np.arange(n), lengths] = 0.0
+        rest, second = np.full((longest + 1, n), -inf), np.full(n, -inf)
+        rest[lengths, np.arange(n)] = 0.0
         for k in reversed(range(longest)):
-            of = slice(bounds[k], bounds[k + 1])
-            w, e = word[of], end[of]
-            if not len(w):
-                continue
-            way = score[of] + rest[w, e]
-            groups = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-            owner = w[groups]
-            rest[owner, k] = np.maximum.reduceat(way, groups)
-            other = np.where(after[w, k] == e, -inf, way + best[w, k])
-            second[owner] = np.maximum(second[owner], np.maximum.reduceat(other, groups))
-        top = best[np.arange(n), lengths]
+            for size in sizes[k]:
+                of = slice(longer[k + size - 1], n)
+                way = scores[size - 1][k, of] + rest[k + size, of]
+                np.maximum(rest[k, of], way, out=rest[k, of])
+                way += best[k, of]
+                np.copyto(way, -inf, where=taken[k, of] == size)
+                np.maximum(second[of], way, out=second[of])
+        top = best[lengths, np.arange(n)]
         flat, ends = ids.tolist(), np.cumsum(counts).tolist()
         out, at = [], 0
         for stop, strange, total, loss in zip(ends, odd.tolist(), top.tolist(), (top - second).tolist()):
@@ -334,44 +387,94 @@ class Encoder:
             ids = tuple(pieces) if min(pieces) >= 0 else self._ids(pieces)
             got = (ids, best[-1], best[-1] - second)
         if len(word) <= _LONGEST_KEPT:
-            if len(self.memo) >= _MEMO:
-                self.memo, self.older = {}, self.memo
+            self._room()
             self.memo[word] = got
         return got
 
     def words(self, text: str) -> list[str]:
         """The parts of a text that are searched alone; a blank is put before the text, as the model's training does."""
-        return self.split.findall(" " + text) if text else []
+        different, codes, _ = self.words_all([text])
+        return [different[c] for c in codes.tolist()]
 
-    def encode(self, text: str, n: int = 1, words: list[str] | None = None):
-        """(ids, score, others) of a text: ``others`` lists up to n - 1 further segmentations; ``words`` are the text's, if known.
+    def words_all(self, texts: list[str]):
+        """(different, codes, bounds): the ``words`` of text i are those of ``codes[bounds[i]:bounds[i + 1]]`` in ``different``."""
+        import pyarrow as pa
 
-        Each is (score, edits); an edit (at, count, ids) puts ids in the place of
-        ``count`` ids from ``at`` on of the best segmentation.
+        ends = np.cumsum([len(text) + 1 if text else 0 for text in texts])
+        joined = "".join([" " + text for text in texts if text])
+        if not joined:
+            return [], np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        signs = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = self.kinds[signs]
+        new = np.unique(signs[kinds == 255]).tolist()
+        if new:
+            self.kinds[new] = [self.kind(chr(c)) for c in new]
+            kinds = self.kinds[signs]
+        begins = np.concatenate(([True], _BEGINS.ravel()[kinds[:-1] * np.uint8(5) + kinds[1:]]))
+        begins[ends[ends < len(signs)]] = True
+        starts = np.append(np.flatnonzero(begins), len(signs))
+        bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
+        raw = joined.encode("utf-8", "surrogatepass")
+        if len(raw) > len(signs):
+            sizes = 1 + (signs > 0x7F).astype(np.int8) + (signs > 0x7FF) + (signs > 0xFFFF)
+            starts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))[starts]
+        parts = [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(raw)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, parts).dictionary_encode()
+        different = [w.decode("utf-8", "surrogatepass") for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        return different, coded.indices.to_numpy().astype(np.int64), bounds
+
+    def encode(self, text: str, n: int = 1):
+        """(ids, score, others) of a text, as ``encode_all`` has them."""
+        ids, _, scores, others = self.encode_all([text], n)
+        return ids.tolist(), scores[0], others[0]
+
+    def encode_all(self, texts: list[str], n: int = 1):
+        """(ids, offsets, scores, others) of texts: text i has ``ids[offsets[i]:offsets[i + 1]]``.
+
+        ``others`` lists up to n - 1 further segmentations of every text. Each is (score, edits); an edit
+        (at, count, ids) puts ids in the place of ``count`` ids from ``at`` on of the best segmentation.
+        A word of these texts is looked up or segmented once, together with all others.
         """
-        words = self.words(text) if words is None else words
-        get, word = self.memo.get, self.word
-        found = [get(w) or word(w) for w in words]
-        ids = list(chain.from_iterable(map(itemgetter(0), found)))
-        score = float(sum(map(itemgetter(1), found)))
-        return ids, score, self._others(words, found, score, n) if n > 1 and words else []
-
-    def _others(self, words, found, score, n):
-        # a segmentation that changes a word outside the n - 1 cheapest to change has n - 1 better ones
-        losses = np.fromiter(map(itemgetter(2), found), float, len(found))
-        cheap = np.argsort(losses, kind="stable")[: n - 1].tolist()
-        lists = []
-        for k in cheap:
-            ids, total, loss = found[k]
-            if loss == inf:
-                break
-            own = [(total, ids)]
-            for path in self.search(words[k]):
+        different, codes, bounds = self.words_all(texts)
+        found = self.learn(different)
+        counts = np.fromiter(map(len, map(itemgetter(0), found)), np.int64, len(found))
+        pool = np.fromiter(chain.from_iterable(map(itemgetter(0), found)), np.int32, int(counts.sum()))
+        values, losses = (np.fromiter(map(itemgetter(i), found), float, len(found))[codes] for i in (1, 2))
+        lengths = counts[codes]
+        starts = np.concatenate(([0], np.cumsum(lengths)))
+        shift = (np.cumsum(counts) - counts)[codes] - starts[:-1]
+        ids = pool[np.arange(starts[-1]) + np.repeat(shift, lengths)]
+        scores, others = [], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            scores.append(float(sum(values[a:b].tolist())))
+            of = slice(a, b)
+            others.append(self._others(different, codes[of], losses[of], starts[of], scores[-1], n) if n > 1 and a < b else [])
+        return ids, starts[bounds], scores, others
+
+    def _listed(self, word: str, n: int) -> list[Path]:
+        """The n best segmentations of a word, the very best first; of short words they are remembered."""
+        got = self.searched.get((word, n))
+        if got is None:
+            ids, total, _ = self.word(word)
+            got = [(total, ids)]
+            for path in self.search(word):
                 if path[1] != ids:  # of equal scores the search may meet another one first
-                    own.append(path)
-                if len(own) == n:
+                    got.append(path)
+                if len(got) == n:
                     break
-            lists.append((k, own))
+            if len(word) <= _LONGEST_KEPT:
+                if len(self.searched) >= _SEARCHED:
+                    self.searched.clear()
+                self.searched[word, n] = got
+        return got
+
+    def _others(self, different, codes, losses, starts, score, n):
+        # a segmentation that changes a word outside the n - 1 cheapest to change has n - 1 better ones
+        cheap = np.arange(len(losses))
+        if len(losses) >= n:
+            cheap = np.flatnonzero(losses <= np.partition(losses, n - 2)[n - 2])
+        cheap = cheap[np.argsort(losses[cheap], kind="stable")[: n - 1]].tolist()
+        lists = [(k, self._listed(different[codes[k]], n)) for k in cheap if losses[k] < inf]
         heap = [(0.0, (0,) * len(lists), 0)] if lists else []
         chosen = []
         while heap and len(chosen) < n:
@@ -382,16 +485,24 @@ class Encoder:
                 if places[j] + 1 < len(own):
                     more = loss + own[places[j]][0] - own[places[j] + 1][0]
                     heappush(heap, (more, places[:j] + (places[j] + 1,) + places[j + 1 :], j))
-        lengths = np.cumsum(np.fromiter(map(len, map(itemgetter(0), found)), np.int64, len(found)))
-        starts = {k: int(lengths[k]) - len(found[k][0]) for k, _ in lists}
         return [
             (
                 score - loss,
-                sorted((starts[k], len(own[0][1]), list(own[p][1])) for (k, own), p in zip(lists, places) if p),
+                sorted((int(starts[k] - starts[0]), len(own[0][1]), list(own[p][1])) for (k, own), p in zip(lists, places) if p),
             )
             for loss, places in chosen[1:]
         ]
 
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """``decode`` of the ids of every text of ``encode_all``, put together by Arrow."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.raw is None:
+            self.raw = pa.array([bytes((self.byte_of[i],)) if i in self.byte_of else t.encode() for i, t in enumerate(self.texts)])
+        parts = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.raw.take(pa.array(ids)))
+        return [x.decode("utf-8", "replace").removeprefix(" ") for x in pc.binary_join(parts, b"").to_pylist()]
+
     def decode(self, ids) -> str:
         """The text of ids: bytes in a row are read as UTF-8 (wrong ones as U+FFFD), the blank put before the text goes."""
         quick = [self.quick[i] for i in ids]
@@ -437,27 +548,23 @@ def with_pieces(
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
-        encoder = Encoder(model)
+        with _acyclic():
+            encoder = Encoder(model)
         types = [to_arrow_type(k) for k in kinds]
         for batch in batches:
             for start, end in text_ranges(batch.column(len(keep)), _BYTES_AT_ONCE):
                 part = batch.slice(start, end - start)
                 texts = [text or "" for text in part.column(len(keep)).to_pylist()]
-                listed = [encoder.words(text) for text in texts]
-                # a word of these texts is segmented once, together with all others that are new
-                encoder.learn(set(chain.from_iterable(listed)))
-                found = [encoder.encode(text, n, words) for text, words in zip(texts, listed)]
-                lengths = np.fromiter((len(ids) for ids, _, _ in found), np.int64, len(found))
-                flat = np.fromiter(chain.from_iterable(map(itemgetter(0), found)), np.int32, int(lengths.sum()))
-                offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+                with _acyclic():
+                    ids, offsets, scores, found = encoder.encode_all(texts, n)
                 others = [
                     [{"score": s, "edits": [dict(zip(("at", "count", "ids"), e)) for e in edits]} for s, edits in other]
-                    for _, _, other in found
+                    for other in found
                 ]
-                trips = [encoder.decode(ids) == text for (ids, _, _), text in zip(found, texts)]
+                trips = [back == text for back, text in zip(encoder.decode_all(ids, offsets), texts)]
                 columns = [
-                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                    *[pa.array(c, t) for c, t in zip((lengths, [f[1] for f in found], others, trips), types[1:])],
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)),
+                    *[pa.array(c, t) for c, t in zip((np.diff(offsets), scores, others, trips), types[1:])],
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *names])
 

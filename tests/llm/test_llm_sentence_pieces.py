@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 
@@ -71,6 +72,46 @@ def test_many_words_at_once(spark, model):
     many.learn([])
 
 
+def plain_words(model, text):
+    """Parts of a text by a regular expression."""
+    pieces = [p for p, k in zip(model.pieces, model.kinds) if k == "normal"]
+    held = set("".join(pieces))
+    cut = "".join(c for c in "\n\t\r\x0b\x0c" if c not in held)
+    pairs = {pair for p in pieces for pair in zip(p, p[1:])}
+    rare = {a for a, b in pairs if a.isalnum() and not b.isalnum() and not a.isascii()}
+    tied = {b for a, b in pairs if a.isalnum() and a not in rare and (not b.isalnum() or b in rare)}
+    odd, tying = ("".join(re.escape(c) for c in sorted(x)) for x in (rare, tied))
+    sign, letter = f"(?:[^\\w {cut}]|[_{odd}])", f"[^\\W_{odd}]"
+    more = f"(?:[{tying}]{sign}*{letter}*)*" if tied else ""
+    return re.findall(f"[{cut}]|(?=[^{cut}]) *{sign}*{letter}*{more}", " " + text, re.DOTALL) if text else []
+
+
+def test_parts_of_many_texts(model, encoder):
+    draw = random.Random(11)
+    texts = ["", "a", " ", "▁", "", "don't -- x²y_z  A\n\n b", "中文 é\r\tü😀!", ""]
+    texts += ["".join(draw.choice("abE9 _'’-.#²½é▁中😀\n\t\x0b\xa0") for _ in range(draw.randint(0, 60))) for _ in range(500)]
+    different, codes, bounds = encoder.words_all(texts)
+    assert len(set(different)) == len(different) and len(bounds) == len(texts) + 1
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert [different[c] for c in codes[a:b]] == encoder.words(text) == plain_words(model, text)
+    assert encoder.words_all([])[0] == encoder.words_all(["", ""])[0] == []
+
+
+def test_words_are_segmented_once(model, monkeypatch):
+    draw = random.Random(12)
+    made = [" " + "".join(draw.choice("abenst") for _ in range(9)) for _ in range(600)]
+    texts = ["x the" + "".join(draw.sample(made, 200)) + " the" for _ in range(30)] + [" " + "w" * 70, "", "☃ é"]
+    want = [P.Encoder(model).encode(text, 4) for text in texts]
+    monkeypatch.setattr(P, "_MEMO", 50)  # far fewer than the words of these texts
+    met, lattice = [], P.Encoder._lattice
+    monkeypatch.setattr(P.Encoder, "_lattice", lambda self, word: met.append(word) or lattice(self, word))
+    encoder = P.Encoder(model)
+    ids, offsets, scores, others = encoder.encode_all(texts, 4)
+    assert [(ids[a:b].tolist(), s, o) for a, b, s, o in zip(offsets, offsets[1:], scores, others)] == want
+    assert encoder.decode_all(ids, offsets) == texts
+    assert met.count(" the") == 1 and len(met) < 150  # only those whose further segmentations are asked for
+
+
 def test_long_run_of_one_character(encoder):
     import time
 
