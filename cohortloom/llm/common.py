@@ -90,6 +90,13 @@ def remainder(ids: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def sent(docs: DataFrame, keep: list[str], text_col: str) -> tuple[DataFrame, int]:
+    """What a function over batches needs: the columns to keep and the text, and the text's place; a text that is kept goes there once."""
+    if text_col in keep:
+        return docs.select(*[col(c) for c in keep]), keep.index(text_col)
+    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))), len(keep)
+
+
 def hot_keys(groups: DataFrame, key: str, size: str, share: int = 256, most: int = 1000) -> DataFrame:
     """``key, salts`` of the largest groups: into how many parts of ``share`` rows each should be dealt.
 

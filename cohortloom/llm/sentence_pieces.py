@@ -14,6 +14,7 @@ import gc
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 from heapq import heappop, heappush
 from itertools import chain
 from math import inf
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import Run, col, free_name, table, tidy
+from .common import Run, col, free_name, sent, table, tidy
 from .tokens import pieces as text_ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -33,7 +34,7 @@ BLANK = "▁"
 N_BEST = 4
 #: An unknown character scores this much below the worst piece.
 UNKNOWN_PENALTY = 10.0
-_MEMO = 60_000
+_MEMO = 30_000
 #: Words of up to so many characters are remembered, and segmented many at a time.
 _LONGEST_KEPT = 64
 _WORDS_AT_ONCE = 1 << 12
@@ -42,7 +43,7 @@ _SIGNS_AT_ONCE = 1 << 16
 _SEARCHED = 4_000
 _SHIFT = 21
 #: Bytes of text whose words are looked at together.
-_BYTES_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 1 << 18
 
 
 class Pieces(NamedTuple):
@@ -121,20 +122,18 @@ class Encoder:
         crossing = [p for p, _, _ in normal if BLANK in p.lstrip(BLANK)]
         if crossing:
             raise ValueError(f"a piece holds a blank behind another character: {crossing[0]!r}")
-        self.table = {p: (i, s) for p, i, s in normal}
+        self.model = model
         # by character: the id and score of the piece that ends there, if one does, and what may follow, if anything may
-        grown: dict = {}
+        self.trie: dict = {}
         for piece, own, score in normal:
-            node = grown
+            node = self.trie
             for c in piece[:-1]:
-                node = node.setdefault(c, [None, {}])[1]
-            node.setdefault(piece[-1], [None, {}])[0] = (own, score)
-
-        def packed(node: dict) -> dict:
-            return {c: (*(piece or (None, 0.0)), packed(after) or None) for c, (piece, after) in node.items()}
-
-        self.trie = packed(grown)
-        self._arrays(grown)
+                at = node.setdefault(c, [None, 0.0, None])
+                if at[2] is None:
+                    at[2] = {}
+                node = at[2]
+            node.setdefault(piece[-1], [None, 0.0, None])[:2] = own, score
+        self._arrays()
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(model.pieces) if model.kinds[i] == "byte"}
         if len(self.bytes) < 256:
             raise ValueError("the model has no piece for every byte")
@@ -154,18 +153,22 @@ class Encoder:
             self.quick[i] = chr(b) if b < 128 else None
         self.raw = None
 
-    def _arrays(self, grown: dict) -> None:
+    @cached_property
+    def table(self) -> dict[str, tuple[int, float]]:
+        """Id and score of every normal piece."""
+        return {p: (i, self.model.scores[i]) for i, p in enumerate(self.model.pieces) if self.model.kinds[i] == "normal"}
+
+    def _arrays(self) -> None:
         """The trie as sorted (node, character) keys with the node behind (-1: none) and the id (-1: none) and score of a piece."""
-        keys, after, own, scores, nodes, at = [], [], [], [], [grown], 0
+        keys, after, own, scores, nodes, at = [], [], [], [], [self.trie], 0
         while at < len(nodes):
-            for c, (piece, below) in nodes[at].items():
+            for c, (piece, score, below) in nodes[at].items():
                 keys.append(at << _SHIFT | ord(c))
                 after.append(len(nodes) if below else -1)
-                own.append(piece[0] if piece else -1)
-                scores.append(piece[1] if piece else 0.0)
+                own.append(-1 if piece is None else piece)
+                scores.append(score)
                 if below:
                     nodes.append(below)
-            nodes[at] = {}
             at += 1
         order = np.argsort(np.array(keys, np.int64)) if keys else np.zeros(0, np.int64)
         # one more key that nothing has, so that a search always ends on a key
@@ -540,6 +543,7 @@ def with_pieces(
     column has a new column's name, underscores are added to the new one.
     """
     kept = docs.select(*[col(c) for c in keep])
+    needed, place = sent(docs, keep, text_col)
     names = [free_name(kept, x) for x in ("ids", "n_pieces", "score", "others", "round_trip")]
     kinds = [ArrayType(IntegerType()), LongType(), DoubleType(), _OTHER, BooleanType()]
     schema = StructType([*[docs.schema[c] for c in keep], *[StructField(x, k) for x, k in zip(names, kinds)]])
@@ -552,9 +556,9 @@ def with_pieces(
             encoder = Encoder(model)
         types = [to_arrow_type(k) for k in kinds]
         for batch in batches:
-            for start, end in text_ranges(batch.column(len(keep)), _BYTES_AT_ONCE):
+            for start, end in text_ranges(batch.column(place), _BYTES_AT_ONCE):
                 part = batch.slice(start, end - start)
-                texts = [text or "" for text in part.column(len(keep)).to_pylist()]
+                texts = [text or "" for text in part.column(place).to_pylist()]
                 with _acyclic():
                     ids, offsets, scores, found = encoder.encode_all(texts, n)
                 others = [
@@ -568,7 +572,7 @@ def with_pieces(
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names=[*keep, *names])
 
-    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(tidy(run), schema)
+    return needed.mapInArrow(tidy(run), schema)
 
 
 def decoded(encoded: DataFrame, model: Pieces, ids_col: str = "ids", name: str = "text") -> DataFrame:

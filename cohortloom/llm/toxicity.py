@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Run, col, free_name, remainder, table, tidy
+from .common import Run, col, free_name, remainder, sent, table, tidy
 from .labelled import logistic, training_rows
 from .tokens import encode, pieces, segment_max
 
@@ -59,7 +59,7 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 65_536
 _MEMO = 50_000
 #: Bytes of text whose words are looked at together.
-_BYTES_AT_ONCE = 1 << 21
+_BYTES_AT_ONCE = 1 << 19
 
 
 # ---- character model -------------------------------------------------------------------------
@@ -213,8 +213,8 @@ def _spaced(offsets: np.ndarray, codes: np.ndarray, vocabulary: list[str]):
 class _Words:
     """Restored words and what is known about them, remembered within a task up to a bound."""
 
-    def __init__(self, model: np.ndarray, known):
-        self.model, self.known, self.memo = model.tolist(), known, {}
+    def __init__(self, model: list[float], known):
+        self.model, self.known, self.memo = model, known, {}
 
     def __call__(self, word: str):
         got = self.memo.get(word)
@@ -234,10 +234,11 @@ def _counted_features(rows: DataFrame, model: np.ndarray) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        listed_model = model.tolist()
         for batch in batches:
             for start, end in pieces(batch.column(1), _BYTES_AT_ONCE):
                 offsets, codes, vocabulary = encode(batch.column(1).slice(start, end - start))
-                words = _Words(model, features)
+                words = _Words(listed_model, features)
                 listed = [words(w) for w in vocabulary]
                 extra: dict[int, list[str]] = {}
                 for text, letters in _spaced(offsets, codes, vocabulary):
@@ -273,16 +274,18 @@ def _with_strongest(
     strong = {f: float(_strength(t, c, n_toxic, n_clean)) for f, (t, c) in counts.items()}
     without = {f: float(_strength(t - 1, c, n_toxic - 1, n_clean)) for f, (t, c) in counts.items()} if own else {}
     schema = StructType([*[docs.schema[c] for c in keep], StructField(name, DoubleType())])
+    needed, place = sent(docs, keep, text_col)
 
     def run(batches):
         import pyarrow as pa
 
-        words = _Words(model, lambda w: max((strong.get(f, 0.0) for f in features(w)), default=0.0))
-        others = _Words(model, lambda w: max((without.get(f, 0.0) for f in features(w)), default=0.0))
+        listed_model = model.tolist()
+        words = _Words(listed_model, lambda w: max((strong.get(f, 0.0) for f in features(w)), default=0.0))
+        others = _Words(listed_model, lambda w: max((without.get(f, 0.0) for f in features(w)), default=0.0))
         for batch in batches:
             found = [np.zeros(0)]
-            for start, end in pieces(batch.column(len(keep)), _BYTES_AT_ONCE):
-                offsets, codes, vocabulary = encode(batch.column(len(keep)).slice(start, end - start))
+            for start, end in pieces(batch.column(place), _BYTES_AT_ONCE):
+                offsets, codes, vocabulary = encode(batch.column(place).slice(start, end - start))
                 spaced = list(_spaced(offsets, codes, vocabulary))
 
                 def strongest(known):
@@ -299,7 +302,7 @@ def _with_strongest(
                 found.append(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(np.concatenate(found))], names=[*keep, name])
 
-    return docs.select(*[col(c) for c in keep], col(text_col).alias(free_name(docs, "raw_text"))).mapInArrow(tidy(run), schema)
+    return needed.mapInArrow(tidy(run), schema)
 
 
 class Toxicity(NamedTuple):

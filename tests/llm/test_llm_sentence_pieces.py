@@ -160,6 +160,26 @@ def test_table_and_edges(spark, model):
     assert P.with_pieces(docs.limit(0), model, ["doc_id"]).collect() == []
 
 
+def test_memory_of_a_task(spark, model, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs, taken, rng = spark.createDataFrame([], "doc_id long, text string"), [], random.Random(7)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: taken.append((self.columns, run)))
+    P.with_pieces(docs, model, docs.columns)
+    (columns, run), = taken
+    assert columns == ["doc_id", "text"]  # a text that is kept is sent once
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(800)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], names=columns)
+    tracemalloc.start()
+    try:
+        assert sum(part.num_rows for part in run([batch])) == 400
+        assert tracemalloc.get_traced_memory()[1] < 85e6  # 117 MB with larger memos, slices and tables
+    finally:
+        tracemalloc.stop()
+
+
 def test_query(spark, encoder):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     got = QUERIES["op5_sentence_pieces"](spark, FOLDER).collect()
