@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 
-def encode(texts, lower: bool = True):
-    """(offsets, codes, vocabulary): words ``codes[offsets[i]:offsets[i + 1]]`` of text i.
+def encoded(texts, lower: bool = True):
+    """(offsets, codes, vocabulary): words ``codes[offsets[i]:offsets[i + 1]]`` of text i, the vocabulary as an Arrow array.
 
     ``texts`` is an Arrow string array; a null text has no word. Words are runs
     without ASCII white space; ``lower`` puts A-Z in lower case first.
@@ -24,7 +24,33 @@ def encode(texts, lower: bool = True):
         offsets = np.concatenate(([0], np.cumsum(real)))[offsets]
         flat = flat.filter(pa.array(real))
     coded = flat.dictionary_encode()
-    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def encode(texts, lower: bool = True):
+    """As ``encoded``, the vocabulary as a list."""
+    offsets, codes, vocabulary = encoded(texts, lower)
+    return offsets, codes, vocabulary.to_pylist()
+
+
+def characters(words):
+    """(offsets, points): code points ``points[offsets[i]:offsets[i + 1]]`` of word i of an Arrow array without nulls."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    offsets = np.concatenate(([0], np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.scalar("", words.type))[0].as_py()
+    return offsets, np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+
+
+def from_characters(offsets: np.ndarray, points: np.ndarray):
+    """The words that ``characters`` took apart, as an Arrow array of large strings."""
+    import pyarrow as pa
+
+    sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    ends = np.concatenate(([0], np.cumsum(sizes)))[offsets]
+    data = points.tobytes().decode("utf-32-le").encode()
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(ends), pa.py_buffer(data))
 
 
 def pieces(batch_texts, limit: int = 1 << 22):

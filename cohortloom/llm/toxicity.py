@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Run, col, free_name, remainder, sent, table, tidy
+from .common import BLANKS, Run, col, free_name, remainder, sent, table, tidy
 from .labelled import logistic, training_rows
-from .tokens import encode, pieces, segment_max
+from .tokens import characters, encoded, from_characters, pieces, segment_max
 
 #: Symbols of the character model: word end, any other character, a-z, and the small letters of Latin-1.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))
@@ -58,21 +58,38 @@ MIN_SHARE = 0.01
 MAX_ROWS = 20_000
 MAX_FEATURES = 65_536
 _MEMO = 50_000
-#: Bytes of text whose words are looked at together.
+#: Bytes of text whose words are looked at together, and those whose characters are.
 _BYTES_AT_ONCE = 1 << 20
+_BYTES_COUNTED = 1 << 18
+#: Runs of equal characters in a word, up to which it is restored together with others.
+_LONG = 64
 
 
 # ---- character model -------------------------------------------------------------------------
 
 
-def _symbols(text: str) -> np.ndarray:
-    """Model symbols of a text in which NUL is the word end."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    table = np.ones(0x100, np.int64)
-    table[0] = 0
+def _symbol_table() -> np.ndarray:
+    """Model symbols of the characters below 0x100; the last entry is any other character's too."""
+    out = np.ones(0x101, np.int32)
     for c, i in _CODE.items():
-        table[ord(c)] = i
-    return np.where(points < 0x100, table[np.minimum(points, 0xFF)], 1)
+        out[ord(c)] = i
+    return out
+
+
+_SYMBOLS = _symbol_table()
+_CASELESS = _SYMBOLS.copy()
+_CASELESS[ord("A") : ord("Z") + 1] = _SYMBOLS[ord("a") : ord("z") + 1]
+_CASELESS[[ord(c) for c in BLANKS]] = 0
+
+
+def _triples(text: str) -> np.ndarray:
+    """Symbol triples of the words of a text, A-Z in lower case, each word between two word ends."""
+    points = np.frombuffer(("\n" + text + "\n").encode("utf-32-le"), np.uint32)
+    symbols = _CASELESS[np.minimum(points, 0x100)]
+    symbols = symbols[np.concatenate(([True], (symbols[1:] != 0) | (symbols[:-1] != 0)))]  # one blank of a run
+    last, this = symbols[:-1], symbols[1:]
+    before = np.concatenate(([0], symbols[:-2])) * (last != 0)  # before a word there are two word ends
+    return (before * _K + last) * _K + this
 
 
 def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -85,22 +102,13 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(_K**3)
+        total = np.zeros(_K**3, np.int64)
         for batch in batches:
-            for start, end in pieces(batch.column(0), _BYTES_AT_ONCE):
-                _, codes, vocabulary = encode(batch.column(0).slice(start, end - start))
-                if not vocabulary:
-                    continue
-                times = np.bincount(codes, minlength=len(vocabulary))
-                words = [w.replace("\0", " ") for w in vocabulary]
-                symbols = _symbols("\0\0" + "\0\0".join(words) + "\0")
-                weight = np.repeat(times, [len(w) + 2 for w in words])
-                triple = (symbols[:-2] * _K + symbols[1:-1]) * _K + symbols[2:]
-                # a triple that ends in the first of two word ends is the word's; one that ends in the second is none
-                inside = ~((symbols[1:-1] == 0) & (symbols[2:] == 0))
-                total += np.bincount(triple[inside], weights=weight[: len(triple)][inside], minlength=_K**3)
+            for start, end in pieces(batch.column(0), _BYTES_COUNTED):
+                texts = batch.column(0).slice(start, end - start).to_pylist()
+                total += np.bincount(_triples("\n".join(t for t in texts if t)), minlength=_K**3)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some].astype(np.int64))], names=["triple", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["triple", "n"])
 
     rows = docs.select(col(text_col).alias("text")).mapInArrow(tidy(run), "triple long, n long")
     counts = np.zeros(_K**3)
@@ -191,10 +199,156 @@ def features(word: str) -> list[str]:
     return ["=" + word, *[word[:n] for n in PREFIXES if len(word) >= n]]
 
 
-def _spaced(offsets: np.ndarray, codes: np.ndarray, vocabulary: list[str]):
-    """(text, characters) of every run of three or more single characters inside a text."""
-    single = np.fromiter((len(w) == 1 and (w in LEET or bool(_LETTER.match(w))) for w in vocabulary), bool, len(vocabulary))
-    marked = np.concatenate(([False], single[codes] if len(codes) else [], [False])).astype(bool)
+def feature_arrays(words) -> list:
+    """The features of an Arrow array of restored words: an array of each kind, null where a word is too short for it."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    none = pa.scalar(None, words.type)
+    sizes = pc.utf8_length(words)
+    beginnings = [pc.if_else(pc.greater_equal(sizes, n), pc.utf8_slice_codeunits(words, 0, n), none) for n in PREFIXES]
+    return [pc.binary_join_element_wise(pa.scalar("=", words.type), words, pa.scalar("", words.type)), *beginnings]
+
+
+def _doubled(symbols: np.ndarray, times: np.ndarray, starts: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Which runs of equal letters the likeliest path doubles, of words that hold no sign; the others it writes once.
+
+    Word i has the runs ``starts[i]:starts[i + 1]``, with their symbols and
+    lengths. As ``viterbi`` does, but run by run for all words: behind a run
+    only two contexts can be, the letter twice or the letter after the run before.
+    Sums are taken in the same order and equal paths decided alike.
+    """
+    sizes = np.diff(starts)
+    order = np.argsort(-sizes, kind="stable")
+    base, sizes = starts[:-1][order], sizes[order]
+    active = np.searchsorted(-sizes, -np.arange(sizes[0] if len(sizes) else 0), "left")
+    cost = np.where(times == 1, 0.0, LETTER_DROPPED)
+    cost_doubled = np.where(times == 2, LETTER_DOUBLED, LETTER_DROPPED)
+    # paths that end in a doubled letter and those that do not, and their last two symbols if they do not
+    twice, once = np.full(len(base), -np.inf), np.zeros(len(base))
+    before, last = np.zeros(len(base), np.int64), np.zeros(len(base), np.int64)
+    # whether a path came from one that did not end in a doubled letter, by how it ends; and whether one that merged doubles
+    twice_from_once, once_from_once = np.ones(len(times), bool), np.ones(len(times), bool)
+    merged_doubles = np.zeros(len(times), bool)
+    for j, m in enumerate(active.tolist()):
+        at = base[:m] + j
+        a, b, c = before[:m], last[:m], symbols[at]
+        step_twice, step_once = model[(b * _K + b) * _K + c], model[(a * _K + b) * _K + c]
+        p, q = twice[:m] + cost[at] + step_twice, once[:m] + cost[at] + step_once
+        run = np.flatnonzero(times[at] > 1)
+        if len(run):
+            again = model[(b[run] * _K + c[run]) * _K + c[run]]
+            p2 = twice[run] + cost_doubled[at[run]] + step_twice[run] + again
+            q2 = once[run] + cost_doubled[at[run]] + step_once[run] + again
+        other = q > p
+        best = np.where(other, q, p)
+        once_from_once[at] = other
+        twice[:m] = -np.inf
+        if len(run):
+            other = q2 > p2
+            twice[run] = np.where(other, q2, p2)
+            twice_from_once[at[run]] = other
+            # a letter without a symbol of its own after another such: both contexts are one
+            same = np.flatnonzero(b[run] == c[run])
+            if len(same):
+                rows = run[same]
+                paths = np.stack([p2[same], p[rows], q2[same], q[rows]])
+                first = paths.argmax(axis=0)
+                best[rows], twice[rows] = paths.max(axis=0), -np.inf
+                once_from_once[at[rows]], merged_doubles[at[rows]] = first >= 2, first % 2 == 0
+        once[:m] = best
+        before[:m], last[:m] = b.copy(), c
+    ends_twice = twice + model[(last * _K + last) * _K] >= once + model[(before * _K + last) * _K]
+    out = np.zeros(len(times), bool)
+    for j in range(len(active) - 1, -1, -1):
+        m = active[j]
+        at, now = base[:m] + j, ends_twice[:m]
+        out[at] = now | merged_doubles[at]
+        ends_twice[:m] = ~np.where(now, twice_from_once[at], once_from_once[at])
+    return out
+
+
+class _Words:
+    """Restores words, those without signs all together; the others one by one, remembered within a task up to a bound."""
+
+    def __init__(self, model: np.ndarray):
+        self.model, self.listed, self.memo = model, model.tolist(), {}
+        self.kinds = np.zeros(0x110000, np.uint8)  # 1: looked up, 2: letter, 4: has alternatives or ends a word
+
+    def _kinds(self, points: np.ndarray) -> np.ndarray:
+        new = points[self.kinds[points] == 0]
+        for point in np.unique(new).tolist():
+            c = chr(point)
+            self.kinds[point] = 1 + 2 * bool(_LETTER.match(c)) + 4 * bool(_DISGUISE.match(c) or c == "\0")
+        return self.kinds[points]
+
+    def __call__(self, vocabulary):
+        """Arrow array of what ``restore`` gives for every word of an Arrow array."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cores = pc.utf8_ltrim(pc.utf8_rtrim(vocabulary, characters=_EDGES), characters=_LEFT)
+        offsets, points = characters(cores)
+        kinds = self._kinds(points)
+
+        def holds(marks):
+            sums = np.concatenate(([0], np.cumsum(marks, dtype=np.int64)))
+            return np.diff(sums[offsets])
+
+        begins = np.ones(len(points), bool)
+        begins[1:] = points[1:] != points[:-1]
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        runs = holds(begins)
+        lettered, sizes = holds(kinds & 2) > 0, np.diff(offsets)
+        repeated = runs < sizes
+        alone = lettered & ((holds(kinds & 4) > 0) | (repeated & (runs > _LONG)))
+        together = lettered & repeated & ~alone
+
+        # every run of the words that are restored together
+        at = np.flatnonzero(begins & np.repeat(together, sizes))
+        run_starts = np.concatenate(([0], np.cumsum(runs[together])))
+        times = np.diff(np.flatnonzero(np.concatenate((begins, [True]))))[np.repeat(together, runs)]
+        symbols = _SYMBOLS[np.minimum(points[at], 0x100)].astype(np.int64)
+        doubled = _doubled(symbols, times, run_starts, self.model)
+        left = 1 + (doubled & (times > 1))
+        keep = np.ones(len(points), bool)
+        many = np.flatnonzero(times > left)
+        drop = times[many] - left[many]
+        first = np.repeat(at[many] + left[many] - np.concatenate(([0], np.cumsum(drop)[:-1])), drop) if len(many) else at[:0]
+        keep[first + np.arange(len(first))] = False
+        kept = np.concatenate(([0], np.cumsum(keep)))[offsets]
+        out = from_characters(kept, points[keep])
+
+        single = np.flatnonzero(alone)
+        if not len(single):
+            return out
+        found = []
+        for core in cores.take(pa.array(single)).to_pylist():
+            word = self.memo.get(core)
+            if word is None:
+                if len(self.memo) >= _MEMO:
+                    self.memo.clear()
+                word = self.memo[core] = restore(core, self.listed)
+            found.append(word)
+        place = np.arange(len(out))
+        place[single] = len(out) + np.arange(len(single))
+        return pa.concat_arrays([out, pa.array(found, pa.large_string())]).take(pa.array(place))
+
+    def spaced(self, offsets: np.ndarray, codes: np.ndarray, vocabulary) -> list[tuple[int, list[str]]]:
+        """(text, restored words) of every run of three or more single characters inside a text."""
+        return [(text, restore_spaced(letters, self.listed)) for text, letters in _spaced(offsets, codes, vocabulary)]
+
+
+def _spaced(offsets: np.ndarray, codes: np.ndarray, vocabulary):
+    """(text, characters) of every run of three or more single characters inside a text; the vocabulary is an Arrow array."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    short = np.flatnonzero(pc.utf8_length(vocabulary).to_numpy(zero_copy_only=False) == 1)
+    letters = {c: w for c, w in zip(short.tolist(), vocabulary.take(pa.array(short)).to_pylist()) if w in LEET or _LETTER.match(w)}
+    single = np.zeros(len(vocabulary), bool)
+    single[list(letters)] = True
+    marked = np.concatenate(([False], single[codes], [False]))
     edges = np.flatnonzero(marked[1:] != marked[:-1])
     bounds = set(offsets.tolist())
     for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -204,28 +358,34 @@ def _spaced(offsets: np.ndarray, codes: np.ndarray, vocabulary: list[str]):
         cuts = [start, *(x for x in range(start + 1, end) if x in bounds), end] if bounds else [start, end]
         for a, b in zip(cuts, cuts[1:]):
             if b - a >= 3:
-                yield int(np.searchsorted(offsets, a, "right") - 1), [vocabulary[c] for c in codes[a:b]]
+                yield int(np.searchsorted(offsets, a, "right") - 1), [letters[c] for c in codes[a:b].tolist()]
 
 
 # ---- scoring -------------------------------------------------------------------------------------
 
 
-class _Words:
-    """Restored words and what is known about them, remembered within a task up to a bound."""
+class _Strengths:
+    """Strengths of features, looked up for many restored words at once."""
+
+    def __init__(self, strong: dict[str, float]):
+        import pyarrow as pa
+
+        self.strong, self.names = strong, pa.array(list(strong), pa.large_string())
+        self.values = np.array([*strong.values(), 0.0])
 
-    def __init__(self, model: list[float], known):
-        self.model, self.known, self.memo = model, known, {}
+    def __call__(self, arrays: list) -> np.ndarray:
+        """The largest strength of the features of every word; unknown ones have 0."""
+        import pyarrow.compute as pc
 
-    def __call__(self, word: str):
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            got = self.memo[word] = self.known(restore(word, self.model))
-        return got
+        best = None
+        for features_ in arrays:
+            at = pc.fill_null(pc.index_in(features_, value_set=self.names), -1).to_numpy(zero_copy_only=False)
+            value = np.where(features_.is_null().to_numpy(zero_copy_only=False), -np.inf, self.values[at])
+            best = value if best is None else np.maximum(best, value)
+        return best
 
-    def spaced(self, letters: list[str]):
-        return [self.known(w) for w in restore_spaced(letters, self.model)]
+    def of(self, word: str) -> float:
+        return max(self.strong.get(f, 0.0) for f in features(word))
 
 
 def _counted_features(rows: DataFrame, model: np.ndarray) -> DataFrame:
@@ -233,24 +393,29 @@ def _counted_features(rows: DataFrame, model: np.ndarray) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        listed_model = model.tolist()
+        words = _Words(model)
         for batch in batches:
             for start, end in pieces(batch.column(1), _BYTES_AT_ONCE):
-                offsets, codes, vocabulary = encode(batch.column(1).slice(start, end - start))
-                words = _Words(listed_model, features)
-                listed = [words(w) for w in vocabulary]
-                extra: dict[int, list[str]] = {}
-                for text, letters in _spaced(offsets, codes, vocabulary):
-                    extra.setdefault(text, []).extend(f for fs in words.spaced(letters) for f in fs)
-                counts: dict[str, list[int]] = {}
-                for at, label in enumerate(batch.column(0).slice(start, end - start).to_pylist()):
-                    held = {f for c in np.unique(codes[offsets[at] : offsets[at + 1]]).tolist() for f in listed[c]}
-                    for f in held.union(extra.get(at, ())):
-                        counts.setdefault(f, [0, 0])[0 if label else 1] += 1
+                offsets, codes, vocabulary = encoded(batch.column(1).slice(start, end - start))
+                arrays = feature_arrays(words(vocabulary))
+                extra = [(text, f) for text, found in words.spaced(offsets, codes, vocabulary) for w in found for f in features(w)]
+                names = pa.concat_arrays([*arrays, pa.array([f for _, f in extra], pa.large_string())]).dictionary_encode()
+                number = pc.fill_null(names.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                # every word of a text once, then every feature of a text once
+                size, many = max(len(vocabulary), 1), max(len(names.dictionary), 1)
+                text, word = np.divmod(np.unique(np.repeat(np.arange(end - start), np.diff(offsets)) * size + codes), size)
+                held = [np.array([t for t, _ in extra], np.int64) * many + number[len(arrays) * len(vocabulary) :]]
+                for i in range(len(arrays)):
+                    f = number[i * len(vocabulary) + word]
+                    held.append((text * many + f)[f >= 0])
+                text, f = np.divmod(np.unique(np.concatenate(held)), many)
+                label = batch.column(0).slice(start, end - start).to_numpy(zero_copy_only=False)
+                toxic = label[text] != 0
+                counts = [np.bincount(f[x], minlength=len(names.dictionary)) for x in (toxic, ~toxic)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts)), *[pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1)]],
-                    names=["feature", "toxic", "clean"],
+                    [names.dictionary.cast(pa.string()), *[pa.array(n, pa.int64()) for n in counts]], names=["feature", "toxic", "clean"]
                 )
 
     partial = rows.select("label", "text").mapInArrow(tidy(run), "feature string, toxic long, clean long")
@@ -279,23 +444,21 @@ def _with_strongest(
     def run(batches):
         import pyarrow as pa
 
-        listed_model = model.tolist()
-        words = _Words(listed_model, lambda w: max((strong.get(f, 0.0) for f in features(w)), default=0.0))
-        others = _Words(listed_model, lambda w: max((without.get(f, 0.0) for f in features(w)), default=0.0))
+        words, known, others = _Words(model), _Strengths(strong), _Strengths(without)
         for batch in batches:
             found = [np.zeros(0)]
             for start, end in pieces(batch.column(place), _BYTES_AT_ONCE):
-                offsets, codes, vocabulary = encode(batch.column(place).slice(start, end - start))
-                spaced = list(_spaced(offsets, codes, vocabulary))
-
-                def strongest(known):
-                    values = np.fromiter(map(known, vocabulary), float, len(vocabulary))
-                    x = segment_max(values[codes], offsets, 0.0)
-                    for text, letters in spaced:
-                        x[text] = max([x[text], *known.spaced(letters)])
+                offsets, codes, vocabulary = encoded(batch.column(place).slice(start, end - start))
+                arrays = feature_arrays(words(vocabulary))
+                spaced = words.spaced(offsets, codes, vocabulary)
+
+                def strongest(strengths):
+                    x = segment_max(strengths(arrays)[codes], offsets, 0.0)
+                    for text, restored in spaced:
+                        x[text] = max([x[text], *map(strengths.of, restored)])
                     return x
 
-                x = strongest(words)
+                x = strongest(known)
                 if own:
                     label = np.array(batch.column(keep.index(own)).slice(start, end - start).to_pylist())
                     x = np.where(label == 1, strongest(others), x)

@@ -6,10 +6,11 @@ import pyarrow as pa
 import pytest
 
 from cohortloom.llm import quality_classifier as Q
+from cohortloom.llm import tokens
 from cohortloom.llm import toxicity as T
 from cohortloom.llm.labelled import logistic, training_rows
 from cohortloom.llm.queries import QUERIES
-from cohortloom.llm.tokens import encode, pieces
+from cohortloom.llm.tokens import encode, encoded, pieces
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -104,6 +105,73 @@ def test_disguises_are_undone(characters):
     assert "idiot" in T.restore_spaced(list("idiot"), model)
 
 
+def odd_words(draw, n):
+    alphabets = ["ab", "abé日本кк", "ab0!.-|", "aabbcdefgh", "a日日", "abc$€+\0x", "éß€1😀😀a", "=!abcd", "abc,.;"]
+    words = ["".join(draw.choice(list(a), draw.integers(0, 14))) for a in alphabets for _ in range(n)]
+    return [*words, "", "aa" * 200, "ab" * 40 + "bb", "a" * 500, "ab" * 32 + "aa"]
+
+
+@pytest.mark.parametrize("corpus", ["real", "empty", "random"])
+def test_words_are_restored_together_as_alone(characters, corpus):
+    counts = {"real": characters[1], "empty": np.zeros(T._K**3), "random": np.random.default_rng(0).integers(0, 9, T._K**3).astype(float)}[corpus]
+    model = T.character_model(counts)
+    words, listed = odd_words(np.random.default_rng(1), 400), model.tolist()
+    restored = T._Words(model)(pa.array(words))
+    assert restored.to_pylist() == [T.restore(w, listed) for w in words]
+    found = zip(*[a.to_pylist() for a in T.feature_arrays(restored)])
+    assert [[f for f in fs if f is not None] for fs in found] == [T.features(w) for w in restored.to_pylist()]
+    assert T._Words(model)(pa.array([], pa.string())).to_pylist() == []
+    assert T._Words(model)(pa.array(["aab,"], pa.large_string())).to_pylist() == [T.restore("aab,", listed)]
+
+
+def test_doubled_letters_need_no_search_of_their_own(characters, monkeypatch):
+    searched = []
+    plain = T.viterbi
+    monkeypatch.setattr(T, "viterbi", lambda units, model: searched.append(units) or plain(units, model))
+    draw = np.random.default_rng(2)
+    words = ["".join(draw.choice(list("aabbcdеёß"), 12)) for _ in range(2000)]
+    T._Words(T.character_model(characters[1]))(pa.array([*words, "1d10t"]))
+    assert len(searched) == 1
+
+
+def test_counted_features_and_strengths(spark, characters):
+    model = T.character_model(characters[1])
+    listed = model.tolist()
+    texts = ["Hello hello, 1d10t", None, "", "i d i o t x\0y", "bleed bleed a\x1cb", "=abc !=abcd abc", " \n", "hello i d i o t"]
+    rows = [(i % 2, t) for i, t in enumerate(texts)]
+    want = {}
+    for label, text in rows:
+        offsets, codes, vocabulary = encoded(pa.array([text], pa.string()))
+        found = [T.restore(w, listed) for w in vocabulary.to_pylist()]
+        found += [w for _, letters in T._spaced(offsets, codes, vocabulary) for w in T.restore_spaced(letters, listed)]
+        for f in {f for w in found for f in T.features(w)}:
+            want.setdefault(f, [0, 0])[1 - label] += 1
+    got = T._counted_features(spark.createDataFrame(rows, "label int, text string").coalesce(1), model).collect()
+    assert {r.feature: [r.toxic, r.clean] for r in got} == want and len(got) == len(want)
+    strong = {"=hello": -1.5, "hell": -2.0, "hello": -3.0, "=abc": 2.0, "blee": 0.5, "=": 0.25}
+    words = ["hello", "abc", "=abcd", "bleed", "", "hell", "x"]
+    known = T._Strengths(strong)
+    want = [max(strong.get(f, 0.0) for f in T.features(w)) for w in words]
+    assert known(T.feature_arrays(pa.array(words, pa.large_string()))).tolist() == want == [known.of(w) for w in words]
+
+
+def test_character_counts_of_odd_texts(spark):
+    texts = ["a\0b  \t c", "\x0b\x0c", "\0", "É é\x1cz", "", None, "日 AbÀ\r\n"]
+    want = np.zeros(T._K**3)
+    for word in [w for t in texts if t for w in t.encode().split()]:
+        s = [0, 0] + [T._CODE.get(c, 1) for c in word.decode().translate({x: x + 32 for x in range(65, 91)})] + [0]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            want[(a * T._K + b) * T._K + c] += 1
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert (T.character_counts(docs) == want).all() and not T.character_counts(docs.limit(0)).any()
+
+
+def test_characters_and_back():
+    words = pa.array(["skip", "aé", "", "日😀", "\0"]).slice(1)
+    offsets, points = tokens.characters(words)
+    assert offsets.tolist() == [0, 2, 2, 4, 5] and tokens.from_characters(offsets, points).to_pylist() == words.to_pylist()
+
+
 def test_toxicity_edges_and_planted(spark, characters):
     docs = characters[0]
     model = T.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
