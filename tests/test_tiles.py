@@ -1,6 +1,7 @@
 """The feature matrix in tiles."""
 
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -70,3 +71,21 @@ def test_places_of_dense_features_are_rows(spark, tmp_path):
     # no function is called for each of the places of a sample
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "posexplode(features" in plan and "transform(features" not in plan
+
+
+def test_dense_features_are_dealt_to_all_tasks(spark, tmp_path):
+    # few entries, many places: Spark would size the tasks by the entries
+    region, nation = [("AFRICA", 0), ("ASIA", 1), ("EUROPE", 2)], [(n, n) for n in range(3)]
+    lines = [(1, p, s, 1.0) for p in range(1, 4) for s in (0, 1)] + [(10 + k, 1 + k % 3, 2, float(k)) for k in range(200)]
+    spark.createDataFrame(region, "r_name string, r_regionkey int").write.parquet(str(tmp_path / "region.parquet"))
+    spark.createDataFrame(nation, "n_nationkey int, n_regionkey int").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame(nation, "s_suppkey bigint, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    schema = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double"
+    spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = QUERIES["aligned_features"].run(Tables(spark, str(tmp_path)))
+    tasks = found.withColumn("task", F.spark_partition_id()).select("sample_id", "n_features", "present", "task").collect()
+    assert {(r.sample_id, r.n_features, r.present) for r in tasks} == {(str(10 + k), 3, f"{k % 3}={60 * k}") for k in range(200)}
+    assert len(tasks) == 200 and len({r.task for r in tasks}) >= min(20, 2 * spark.sparkContext.defaultParallelism)
+    # one shuffle by sample for both groupings
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(study#\d+, sample_id#\d+, \d+\)", plan)) == 1
